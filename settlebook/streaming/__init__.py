@@ -1,0 +1,6 @@
+"""Intentionally empty.
+
+The settlement computation is a batch over fixed period cutoffs: there is no
+watermark, window, state or late-data rule to reproduce, so no Structured
+Streaming job is provided. Change-log tables are read as batch snapshots.
+"""
