@@ -14,7 +14,8 @@ def full_merge(left: DataFrame, right: DataFrame, on: Sequence[str],
     """Full outer join on ``on`` (NULL keys never match) and merge both sides.
 
     ``columns``: ``(name, first)`` pairs, ``first`` in {"left", "right"}; the
-    output is ``coalesce(first.name, other.name)``.
+    output is ``coalesce(first.name, other.name)``, or the one side's column
+    when only one side has it.
     ``add``: numeric columns merged as ``coalesce(l, 0) + coalesce(r, 0)``.
     """
     l, r = left.alias("_l"), right.alias("_r")
@@ -23,7 +24,10 @@ def full_merge(left: DataFrame, right: DataFrame, on: Sequence[str],
     out = []
     for name, first in columns:
         a, b = ("_l", "_r") if first == "left" else ("_r", "_l")
-        out.append(F.coalesce(F.col(f"{a}.{name}"), F.col(f"{b}.{name}")).alias(name))
+        if name in left.columns and name in right.columns:
+            out.append(F.coalesce(F.col(f"{a}.{name}"), F.col(f"{b}.{name}")).alias(name))
+        else:
+            out.append(F.col(f"{'_l' if name in left.columns else '_r'}.{name}").alias(name))
     for name in add:
         out.append((F.coalesce(F.col(f"_l.{name}"), F.lit(0)) + F.coalesce(F.col(f"_r.{name}"), F.lit(0))).alias(name))
     return j.select(*out)

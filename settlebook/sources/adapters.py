@@ -161,7 +161,7 @@ def _payout_columns() -> dict[str, Column]:
     return {
         "payout_id": pid,
         "event_id": F.when(eid % 50 == 0, uid + RIGHT_ONLY_EVENT_OFFSET).otherwise(uid),
-        "user_id": uid % 25,
+        "user_id": eid % 25,
         "currency": currency_of(uid),
         "country": F.substring(currency_of(uid), 1, 2),
         "payout_type": F.when(pid % 4 == 3, R.CHECK).otherwise(R.ACH),
