@@ -24,22 +24,27 @@ def not_in(df: DataFrame, key, keyset: DataFrame, key_col=None) -> DataFrame:
     """Rows of ``df`` where ``key NOT IN (SELECT key_col FROM keyset)``, with
     SQL's three-valued semantics:
 
-    * empty set: every row is kept, NULL keys included;
     * set containing a NULL: no row is kept;
+    * empty set: every row is kept, NULL keys included;
     * otherwise: rows whose key is not NULL and not in the set.
 
-    Spark's own null-aware anti join always broadcasts the set. Here the
-    set's row count and non-NULL count come from one scalar subquery (one row,
-    computed once), and membership is an ordinary ``left_anti`` join that the
-    planner may run as a sort-merge join, a shuffled hash join, or (when AQE
-    measures the set as small at runtime) a broadcast join. The set is
-    de-duplicated first; that aggregate is partial (map-side) and its output
-    partitioning is reused by the anti join.
+    Spark's own null-aware anti join always broadcasts the set, whatever its
+    size. Here membership is an ordinary ``left_anti`` join against the
+    distinct non-NULL keys (a partial aggregate, so duplicates are folded
+    map-side), which the planner runs as a shuffle join unless AQE measures
+    the set as small. Two one-row scalar subqueries settle the NULL cases:
+
+    * the number of distinct members: same plan as the join side, so its
+      shuffle is reused rather than recomputed;
+    * the number of NULL keys: ``IS NULL`` is pushed down (through
+      projections, aggregates and window partitions) to the scan, where
+      parquet null counts make it nearly free.
     """
     k = _key_column(keyset, key_col)
-    stats = keyset.select(F.struct(F.count(F.lit(1)).alias("n"), F.count(k).alias("nn")).alias("s")).scalar()
-    keep = (stats.getField("n") == 0) | ((stats.getField("n") == stats.getField("nn")) & _col(key).isNotNull())
     members = keyset.select(k.alias(_KEY)).where(F.col(_KEY).isNotNull()).distinct()
+    n_members = members.select(F.count(F.lit(1))).scalar()
+    n_nulls = keyset.select(k.alias(_KEY)).where(F.col(_KEY).isNull()).select(F.count(F.lit(1))).scalar()
+    keep = (n_nulls == 0) & (_col(key).isNotNull() | (n_members == 0))
     return df.where(keep).join(members, _col(key) == F.col(_KEY), "left_anti")
 
 

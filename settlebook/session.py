@@ -16,9 +16,12 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Popular events / payouts: let AQE split skewed join partitions.
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Runtime (size-checked) broadcast of small join sides only.
+    # Broadcast only what AQE has measured at runtime (shuffle statistics of
+    # the materialised side), never on plan-time estimates from file sizes.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
