@@ -54,3 +54,24 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     spark.sparkContext.setLogLevel(os.environ.get("SETTLEBOOK_LOG_LEVEL", "ERROR"))
     ensure_checkpoint_dir(spark)
     return spark
+
+
+def cluster_conf(executors: int = 1000, cores_per_executor: int = 8) -> dict:
+    """Settings for a large cluster (e.g. 1000 executors over ~100 TB).
+
+    Shuffles start wide (three waves of tasks) and AQE coalesces them to
+    ~256 MB partitions; scans split at 256 MB; a partition 4x the median and
+    over 512 MB counts as skewed and is split by AQE's skew-join handling;
+    runtime broadcast only for sides measured under 64 MB.
+    """
+    slots = executors * cores_per_executor
+    return {
+        "spark.sql.shuffle.partitions": str(slots * 3),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(slots * 3),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
+        "spark.sql.files.maxPartitionBytes": "256MB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512MB",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
