@@ -158,5 +158,19 @@ def oracle_sql() -> dict[str, str]:
         "payout_level_duplicates": doubles(
             "SELECT event_id, currency, count(*) AS rows FROM x_s7 GROUP BY event_id, currency HAVING count(*) > 1", []),
     }
+    q["latest_payment_options"] = doubles(
+        "SELECT event_id, changed, log_position, accept_eventbrite, accept_eventbrite_old, accept_paypal, "
+        "accept_authnet FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY changed DESC NULLS LAST, "
+        f"log_position DESC NULLS LAST) AS rk FROM x_options WHERE changed < {ts(P.options_before)}) WHERE rk = 1", [])
+    q["prior_period_duplicates"] = doubles(
+        "SELECT event_id FROM x_prior GROUP BY event_id HAVING count(*) > 1", [])
+    chg = lt("changed")
+    t0, t1 = ts(P.charges_settled_from), ts(P.charges_settled_before)
+    q["settled_charges"] = doubles(
+        f"SELECT id, event, currency, CASE WHEN (processed = 1 AND {chg} >= {t0} AND {chg} < {t1} "
+        f"AND payout_id IS NOT NULL) OR (processed = 1 AND {chg} < {t0} AND parent_id = id) THEN 1 ELSE 0 END "
+        "AS settled FROM x_charges", [])
+    q["net_sales_with_processors"] = doubles(
+        "SELECT n.*, p.payment_types FROM x_n1 n LEFT JOIN x_p1 p ON p.event = n.event_id", ["net_sales"])
     del steps
     return q

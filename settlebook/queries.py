@@ -304,6 +304,28 @@ def q_multi_processor_events(x, t):
     return multi_processor_events(x.orders)
 
 
+def latest_payment_options(x, t):
+    from settlebook.plans.net_sales import latest_payment_options as latest_options
+    return latest_options(x.history_payment_options, P)
+
+
+def prior_period_duplicates(x, t):
+    return duplicated_keys(x.prior_event_level, "event_id")
+
+
+def settled_charges(x, t):
+    from settlebook.plans.charges import with_settled
+    return with_settled(x.invoice_charges, P).select(
+        "id", "event", "currency", F.when(F.col("_settled"), 1).otherwise(0).alias("settled"))
+
+
+def net_sales_with_processors(x, t):
+    """Order-log net sales annotated with the event's processor combination."""
+    n = combined_net_sales(x.history_orders, x.orders, x.events, P)
+    p = multi_processor_events(x.orders).select(F.col("event").alias("_p_event"), "payment_types")
+    return n.join(p, F.col("event_id") == F.col("_p_event"), "left").drop("_p_event")
+
+
 def payout_level_duplicates(x, t):
     """Check query: (event, currency) keys that reach the charge join on more
     than one payout-level row (each such row receives the same charges)."""
@@ -321,6 +343,7 @@ _ALL = [
     q_itemized_net_sales, q_history_net_sales, q_combined_net_sales, q_merge_net_sales, q_with_parent,
     q_apply_payment_options, q_payout_snapshot, q_payout_buckets, q_charge_snapshot, q_charge_buckets,
     q_balance, q_multi_processor_events, payout_level_duplicates,
+    latest_payment_options, prior_period_duplicates, settled_charges, net_sales_with_processors,
 ]
 
 
