@@ -45,6 +45,8 @@ def main() -> None:
             if i:
                 runs.append(time.perf_counter() - t0)
         timings[name] = round(statistics.median(runs), 3)
+        if os.environ.get("BENCH_VERBOSE"):
+            print(name, [round(r, 2) for r in runs], file=sys.stderr)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "settlement_steps_total_warm_median",

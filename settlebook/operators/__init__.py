@@ -2,5 +2,5 @@ from settlebook.operators.anti import duplicated_keys, exists_flag, not_in  # no
 from settlebook.operators.conditional import (  # noqa: F401
     Bucket, bucket_sum, combine_bucket_sums, conditional_sums, partial_bucket_sums,
 )
-from settlebook.operators.latest import latest_as_of  # noqa: F401
+from settlebook.operators.latest import latest_as_of, newest  # noqa: F401
 from settlebook.operators.merge import full_merge, union_distinct  # noqa: F401

@@ -39,3 +39,18 @@ def latest_as_of(df: DataFrame, keys: Sequence[str], newest_first: Sequence,
     if then is not None:
         out = out.where(then)
     return out.drop(_RANK)
+
+
+def newest(order: Sequence[str], payload: Sequence[str], among: Column | None = None) -> Column:
+    """Aggregate expression: the newest row as a struct of ``order`` columns
+    followed by ``payload`` columns, optionally only among rows where
+    ``among`` holds (NULL when no row qualifies).
+
+    ``max`` over the struct compares the order columns first (NULLs lowest,
+    i.e. last in a descending ranking) and the payload only to break exact
+    ties, so the pick is deterministic. As an aggregate it is combined
+    map-side before any shuffle, and several variants (different ``among``)
+    come out of one pass over the data.
+    """
+    v = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in payload])
+    return F.max(v if among is None else F.when(among, v))

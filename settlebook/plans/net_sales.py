@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 
 from settlebook.functions.money import cents_to_units
 from settlebook.functions.timez import local_at_or_after, local_before, ts_lit
-from settlebook.operators import duplicated_keys, exists_flag, full_merge, latest_as_of, not_in, union_distinct
+from settlebook.operators import (
+    duplicated_keys, exists_flag, full_merge, latest_as_of, newest, not_in, union_distinct,
+)
 from settlebook.plans import rules as R
 from settlebook.plans.period import Period
 
@@ -71,7 +73,30 @@ def itemized_net_sales(items: DataFrame, orders: DataFrame, events: DataFrame, u
     )
 
 
-def _history_rows(history: DataFrame, transfers: DataFrame | None, period: Period, local: bool) -> DataFrame:
+_VERSION_PAYLOAD = ("status", "event_id", "currency", "gross", "mg_fee", "payment_type")
+
+
+def order_log_latest(history: DataFrame, events: DataFrame, transfers: DataFrame | None, period: Period,
+                     local: bool) -> DataFrame:
+    """Per order of the change log, in one pass over the log:
+
+    * ``_all``: the newest qualifying version (what the current-orders branch
+      excludes);
+    * ``_ev``: the newest qualifying version among versions whose event
+      exists (what the log branch sums).
+
+    Qualifying: changed on/after ``history_from``, a net-sales payment type,
+    a kept status, and changed before ``history_split`` unless the order is a
+    transfer. Both are NULL-free structs ``(changed, log_position, status,
+    event_id, currency, gross, mg_fee, payment_type)`` or NULL.
+
+    Plan: versions are folded per (order, event) with a partial aggregate —
+    the only shuffle at the size of the log, and a hot order or event is cut
+    down map-side. Event existence is then looked up per (order, event) pair,
+    versions are folded per order, and transfer membership (a property of
+    the order, so it commutes with ranking within an order) picks between the
+    before-split and the any-time variant.
+    """
     c = F.col("changed")
     if local:
         start = local_at_or_after(c, period.history_from, period.tz)
@@ -79,21 +104,27 @@ def _history_rows(history: DataFrame, transfers: DataFrame | None, period: Perio
     else:
         start = c >= ts_lit(period.history_from)
         before_split = c < ts_lit(period.history_split)
-    h = history.where(start & F.col("payment_type").isin(*R.NET_SALES_PAYMENT_TYPES)
-                      & F.col("status").isin(*R.ORDER_STATUSES_KEPT))
+    rows = history.where(start & F.col("payment_type").isin(*R.NET_SALES_PAYMENT_TYPES)
+                         & F.col("status").isin(*R.ORDER_STATUSES_KEPT))
     if transfers is None:
-        return h.where(before_split)
-    # changed < split OR order_id IN (transfers)
-    h = exists_flag(h, "order_id", transfers, "_transfer", "order_id")
-    return h.where(before_split | F.col("_transfer")).drop("_transfer")
-
-
-def _latest_paid(rows: DataFrame) -> DataFrame:
-    return latest_as_of(rows, ["order_id"], NEWEST_FIRST, then=F.col("status") == R.ORDER_STATUS_PAID)
+        rows = rows.where(before_split)
+    variants = {"_any": None} if transfers is None else {"_any": None, "_pre": before_split}
+    per_event = rows.groupBy("order_id", "event_id").agg(
+        *[newest(NEWEST_FIRST, _VERSION_PAYLOAD, among).alias(v) for v, among in variants.items()])
+    per_event = exists_flag(per_event, "event_id", events.select("id"), "_known_event", "id")
+    known = F.col("_known_event")
+    per_order = per_event.groupBy("order_id").agg(
+        *[F.max(v).alias(f"{v}_all") for v in variants],
+        *[F.max(F.when(known, F.col(v))).alias(f"{v}_ev") for v in variants])
+    if transfers is None:
+        return per_order.select("order_id", F.col("_any_all").alias("_all"), F.col("_any_ev").alias("_ev"))
+    per_order = exists_flag(per_order, "order_id", transfers, "_transfer", "order_id")
+    pick = lambda kind: F.when(F.col("_transfer"), F.col(f"_any_{kind}")).otherwise(F.col(f"_pre_{kind}"))
+    return per_order.select("order_id", pick("all").alias("_all"), pick("ev").alias("_ev"))
 
 
-def _with_existing_event(rows: DataFrame, events: DataFrame, key: str) -> DataFrame:
-    return rows.join(events.select(F.col("id").alias("_e_id")), F.col(key) == F.col("_e_id"), "left_semi")
+def _paid(latest: DataFrame, which: str) -> DataFrame:
+    return latest.where(F.col(f"{which}.status") == R.ORDER_STATUS_PAID)
 
 
 def _current_paid(orders: DataFrame, period: Period, local: bool) -> DataFrame:
@@ -107,22 +138,26 @@ def _is(pt: str) -> Column:
     return F.col("payment_type") == pt
 
 
+def _log_and_current(history, orders, events, transfers, period, local, measures):
+    latest = order_log_latest(history, events, transfers, period, local)
+    logged = _paid(latest, "_ev").select("_ev.*").groupBy("event_id", "currency").agg(*measures)
+    taken = _paid(latest, "_all").select("order_id")
+    current = not_in(_current_paid(orders, period, local), "id", taken, "order_id")
+    current = current.groupBy(F.col("event").alias("event_id"), "currency").agg(*measures)
+    return logged, current
+
+
 def history_net_sales(history: DataFrame, orders: DataFrame, events: DataFrame, users: DataFrame,
                       transfers: DataFrame, period: Period) -> DataFrame:
     """OP2: net sales from the order change log (latest version per order,
     local wall-clock window, plus all transfer orders), unioned with current
     orders the log did not already account for; split into the processor's
     (epp) and offline parts."""
-    rows = _history_rows(history, transfers, period, local=True)
     measures = [
         (-F.sum(F.when(_is(R.EPP_PAYMENT_TYPE), F.col("gross") - F.col("mg_fee")).otherwise(0))).alias("epp_net_sales"),
         F.sum(F.when(_is(R.OFFLINE_PAYMENT_TYPE), F.col("mg_fee")).otherwise(0)).alias("offline_net_sales"),
     ]
-    logged = _latest_paid(_with_existing_event(rows, events, "event_id"))
-    logged = logged.groupBy("event_id", "currency").agg(*measures)
-    taken = _latest_paid(rows).select("order_id")
-    current = not_in(_current_paid(orders, period, local=True), "id", taken, "order_id")
-    current = current.groupBy(F.col("event").alias("event_id"), "currency").agg(*measures)
+    logged, current = _log_and_current(history, orders, events, transfers, period, True, measures)
     dims = ["event_id", "current_status", "org_uid", "account_type", "currency", "end_date"]
     branches = [_event_attributes(b, events, users).select(*dims, "epp_net_sales", "offline_net_sales")
                 for b in (logged, current)]
@@ -135,14 +170,9 @@ def history_net_sales(history: DataFrame, orders: DataFrame, events: DataFrame,
 def combined_net_sales(history: DataFrame, orders: DataFrame, events: DataFrame, period: Period) -> DataFrame:
     """OP3: one signed net-sales figure per (event, status, organiser,
     currency): raw timestamps, no users, no transfer exception."""
-    rows = _history_rows(history, None, period, local=False)
     measure = F.sum(F.when(_is(R.EPP_PAYMENT_TYPE), F.col("gross") - F.col("mg_fee"))
                      .otherwise(-F.col("mg_fee"))).alias("net_sales")
-    logged = _latest_paid(_with_existing_event(rows, events, "event_id"))
-    logged = logged.groupBy("event_id", "currency").agg(measure)
-    taken = _latest_paid(rows).select("order_id")
-    current = not_in(_current_paid(orders, period, local=False), "id", taken, "order_id")
-    current = current.groupBy(F.col("event").alias("event_id"), "currency").agg(measure)
+    logged, current = _log_and_current(history, orders, events, None, period, False, [measure])
     dims = ["event_id", "current_status", "org_uid", "currency"]
     branches = [_event_attributes(b, events, None, with_account=False).select(*dims, "net_sales")
                 for b in (logged, current)]
