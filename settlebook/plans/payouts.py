@@ -9,9 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from settlebook.functions.timez import effective_before, local_before, local_between, ts_lit
-from settlebook.operators import (
-    Bucket, combine_bucket_sums, latest_as_of, not_in, partial_bucket_sums, union_distinct,
-)
+from settlebook.operators import Bucket, combine_bucket_sums, newest, not_in, partial_bucket_sums, union_distinct
 from settlebook.plans import rules as R
 from settlebook.plans.period import Period
 
@@ -71,31 +69,42 @@ def latam_rule(period: Period) -> Column:
 def payout_snapshot(history: DataFrame, current: DataFrame, manual_voids: DataFrame,
                     period: Period) -> DataFrame:
     """OP7: one row per payout and source: the latest qualifying log version
-    (two rule families), plus current payouts the log never saw.
-
-    The NOT IN filters of the BRL/ARS family test ``payout_id``, the ranking
-    key, so they remove whole ranking groups and are applied to the ranked
-    output (same rows, far fewer to join). The two key sets (payouts ever
-    wired; every payout id in the log) come from one aggregate of the log.
+    under each of the two rule families, plus current payouts the log never
+    saw.
+
+    Plan: a single aggregate of the log per ``payout_id`` (partial, so a hot
+    payout is folded map-side; the log is shuffled once) yields the newest
+    version qualifying under the cutoff matrix, the newest qualifying under
+    the BRL/ARS rule, and whether the payout was ever wired. The BRL/ARS NOT
+    IN filters test ``payout_id``, the ranking key, so they remove whole
+    ranking groups and apply to the folded rows; their key sets (payouts ever
+    wired; every payout id in the log) come from the same aggregate.
     """
     cols = [c for c in R.SNAPSHOT_COLUMNS if c != "source"]
-    logged = [c for c in cols]
-    log_ids = history.groupBy("payout_id").agg(
+    payload = [c for c in cols if c not in NEWEST_FIRST and c != "payout_id"]
+    per_payout = history.groupBy("payout_id").agg(
+        newest(NEWEST_FIRST, payload, cutoff_matrix(period)).alias("_matrix"),
+        newest(NEWEST_FIRST, payload, latam_rule(period)).alias("_latam"),
         F.max(F.when(F.col("status") == R.WIRE_STATUS, 1).otherwise(0)).alias("_wired"))
-    wired = log_ids.where(F.col("_wired") == 1).select("payout_id")
-    matrix = latest_as_of(history, ["payout_id"], NEWEST_FIRST, where=cutoff_matrix(period))
-    latam = latest_as_of(history, ["payout_id"], NEWEST_FIRST, where=latam_rule(period))
-    latam = not_in(latam, "payout_id", wired, "payout_id")
+    wired = per_payout.where(F.col("_wired") == 1).select("payout_id")
+    log_ids = per_payout.select("payout_id")
+
+    def version(field: str) -> DataFrame:
+        return per_payout.where(F.col(field).isNotNull()).select(
+            *[F.col(f"{field}.{c}").alias(c) for c in cols if c != "payout_id"], "payout_id")
+
+    matrix = version("_matrix")
+    latam = not_in(version("_latam"), "payout_id", wired, "payout_id")
     latam = not_in(latam, "payout_id", manual_voids, "payout_id")
     fresh = current.where(F.col("created") < ts_lit(period.payouts_created_before))
-    fresh = not_in(fresh, "id", log_ids.select("payout_id"), "payout_id")
+    fresh = not_in(fresh, "id", log_ids, "payout_id")
     fresh = fresh.select(
         *[F.col("id").alias("payout_id") if c == "payout_id" else
           F.col("event").alias("event_id") if c == "event_id" else
           F.lit(None).cast("int").alias("status_old") if c == "status_old" else F.col(c)
           for c in cols],
         F.lit("payout").alias("source"))
-    tagged = [b.select(*logged, F.lit("history_payout").alias("source")) for b in (matrix, latam)]
+    tagged = [b.select(*cols, F.lit("history_payout").alias("source")) for b in (matrix, latam)]
     return union_distinct(*tagged, fresh)
 
 
