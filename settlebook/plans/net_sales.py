@@ -158,13 +158,16 @@ def history_net_sales(history: DataFrame, orders: DataFrame, events: DataFrame,
         F.sum(F.when(_is(R.OFFLINE_PAYMENT_TYPE), F.col("mg_fee")).otherwise(0)).alias("offline_net_sales"),
     ]
     logged, current = _log_and_current(history, orders, events, transfers, period, True, measures)
-    dims = ["event_id", "current_status", "org_uid", "account_type", "currency", "end_date"]
-    branches = [_event_attributes(b, events, users).select(*dims, "epp_net_sales", "offline_net_sales")
-                for b in (logged, current)]
-    both = union_distinct(*branches)
+    # Attributes are functions of the event, so the distinct union, the
+    # non-zero filter and the re-aggregation run on (event_id, currency); one
+    # inner lookup at the end also drops current orders of unknown events.
+    both = union_distinct(logged, current)
     both = both.where((F.col("epp_net_sales") != 0) | (F.col("offline_net_sales") != 0))
-    return both.groupBy(*dims).agg(F.round(F.sum("epp_net_sales"), 2).alias("epp_net_sales"),
-                                   F.round(F.sum("offline_net_sales"), 2).alias("offline_net_sales"))
+    both = both.groupBy("event_id", "currency").agg(F.round(F.sum("epp_net_sales"), 2).alias("epp_net_sales"),
+                                                    F.round(F.sum("offline_net_sales"), 2).alias("offline_net_sales"))
+    return _event_attributes(both, events, users).select(
+        "event_id", "current_status", "org_uid", "account_type", "currency", "end_date",
+        "epp_net_sales", "offline_net_sales")
 
 
 def combined_net_sales(history: DataFrame, orders: DataFrame, events: DataFrame, period: Period) -> DataFrame:
@@ -173,11 +176,10 @@ def combined_net_sales(history: DataFrame, orders: DataFrame, events: DataFrame,
     measure = F.sum(F.when(_is(R.EPP_PAYMENT_TYPE), F.col("gross") - F.col("mg_fee"))
                      .otherwise(-F.col("mg_fee"))).alias("net_sales")
     logged, current = _log_and_current(history, orders, events, None, period, False, [measure])
-    dims = ["event_id", "current_status", "org_uid", "currency"]
-    branches = [_event_attributes(b, events, None, with_account=False).select(*dims, "net_sales")
-                for b in (logged, current)]
-    both = union_distinct(*branches).where(F.col("net_sales") != 0)
-    return both.groupBy(*dims).agg(F.sum("net_sales").alias("net_sales"))
+    both = union_distinct(logged, current).where(F.col("net_sales") != 0)
+    both = both.groupBy("event_id", "currency").agg(F.sum("net_sales").alias("net_sales"))
+    return _event_attributes(both, events, None, with_account=False).select(
+        "event_id", "current_status", "org_uid", "currency", "net_sales")
 
 
 def merge_net_sales(itemized: DataFrame, history: DataFrame) -> DataFrame:
