@@ -38,3 +38,14 @@ def test_entry_runs(spark):
     df = entry_module.entry(spark)
     assert df.columns[0] == "balance" and len(df.columns) == 56
     assert df.count() > 0
+
+
+def test_results_do_not_depend_on_session_time_zone(spark, con):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for name in ("local_wall_clock", "local_cutoff", "effective_date", "history_net_sales", "charge_buckets"):
+            r = compare(spark, name, QUERIES[name], ORACLE[name], SF, con)
+            assert r["ok"], r
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
