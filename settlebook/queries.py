@@ -26,14 +26,24 @@ P = FIXTURE
 NEWEST_FIRST = ("changed", "log_position")
 
 
-def inputs(spark: SparkSession, sf_dir: str) -> SettlementInputs:
-    return settlement_inputs(DriverTables(spark, sf_dir))
+_RESOLVED: dict = {}
+
+
+def inputs(spark: SparkSession, sf_dir: str) -> tuple[SettlementInputs, DriverTables]:
+    """The driver tables and the settlement inputs derived from them, resolved
+    once per session and folder (lazy DataFrames: the scans run with each
+    query, in full)."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _RESOLVED:
+        t = DriverTables(spark, sf_dir)
+        _RESOLVED[key] = (settlement_inputs(t), t)
+    return _RESOLVED[key]
 
 
 def _q(fn: Callable[[SettlementInputs, DriverTables], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        t = DriverTables(spark, sf_dir)
-        return decimals_to_double(fn(settlement_inputs(t), t))
+        x, t = inputs(spark, sf_dir)
+        return decimals_to_double(fn(x, t))
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
     return run
