@@ -12,11 +12,7 @@ from pyspark.sql import functions as F
 from settlebook.functions.money import cents_to_units, decimals_to_double
 from settlebook.functions.timez import effective_before, effective_local, local_at_or_after, local_before, local_ts, ts_lit
 from settlebook.operators import duplicated_keys, exists_flag, full_merge, latest_as_of, not_in, union_distinct
-from settlebook.plans import (
-    FIXTURE, apply_payment_options, balance, charge_buckets, charge_snapshot, close_period, combined_net_sales,
-    history_net_sales, itemized_net_sales, merge_net_sales, multi_processor_events, payment_type_sets,
-    payout_buckets, payout_snapshot, with_parent,
-)
+from settlebook.plans import FIXTURE, close_period, combined_net_sales, multi_processor_events, payment_type_sets
 from settlebook.plans import rules as R
 from settlebook.plans.payouts import cutoff_matrix, latam_rule
 from settlebook.sources import DriverTables, SettlementInputs, settlement_inputs
@@ -257,21 +253,23 @@ def count_distinct_list(x, t):
 
 # --- settlement steps ----------------------------------------------------------
 
-def _itemized(x):
-    return itemized_net_sales(x.order_itemizations, x.orders, x.events, x.users, x.event_exclusions,
-                              x.prior_event_level, x.transfer_orders, P)
+_CLOSES: dict = {}
 
 
-def _history(x):
-    return history_net_sales(x.history_orders, x.orders, x.events, x.users, x.transfer_orders, P)
+def _close(x: SettlementInputs):
+    """The lazy close DAG for a set of inputs, built once (a plan, not a
+    result: each query below still executes its whole plan)."""
+    if id(x) not in _CLOSES:
+        _CLOSES[id(x)] = (x, close_period(x, P))
+    return _CLOSES[id(x)][1]
 
 
 def q_itemized_net_sales(x, t):
-    return _itemized(x)
+    return _close(x).itemized
 
 
 def q_history_net_sales(x, t):
-    return _history(x)
+    return _close(x).history
 
 
 def q_combined_net_sales(x, t):
@@ -279,35 +277,35 @@ def q_combined_net_sales(x, t):
 
 
 def q_merge_net_sales(x, t):
-    return merge_net_sales(_itemized(x), _history(x))
+    return _close(x).merged
 
 
 def q_with_parent(x, t):
-    return with_parent(merge_net_sales(_itemized(x), _history(x)), x.events)
+    return _close(x).parented
 
 
 def q_apply_payment_options(x, t):
-    return close_period(x, P).net_sales
+    return _close(x).net_sales
 
 
 def q_payout_snapshot(x, t):
-    return payout_snapshot(x.history_payouts, x.payouts, x.manual_voids, P)
+    return _close(x).payout_snapshot
 
 
 def q_payout_buckets(x, t):
-    return close_period(x, P).payout_level
+    return _close(x).payout_level
 
 
 def q_charge_snapshot(x, t):
-    return charge_snapshot(x.invoice_charges, P)
+    return _close(x).charge_snapshot
 
 
 def q_charge_buckets(x, t):
-    return close_period(x, P).event_level
+    return _close(x).event_level
 
 
 def q_balance(x, t):
-    return close_period(x, P).balance
+    return _close(x).balance
 
 
 def q_multi_processor_events(x, t):
@@ -339,7 +337,7 @@ def net_sales_with_processors(x, t):
 def payout_level_duplicates(x, t):
     """Check query: (event, currency) keys that reach the charge join on more
     than one payout-level row (each such row receives the same charges)."""
-    pl = close_period(x, P).payout_level
+    pl = _close(x).payout_level
     return pl.groupBy("event_id", "currency").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1)
 
 
