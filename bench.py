@@ -2,7 +2,8 @@
 
 Runs each headline query over the whole tables at $BENCH_SF_DIR (default
 /root/testdata/sf0.1) on local[$BENCH_CPUS], executing the full plan into
-Spark's ``noop`` sink (no collect). One warm-up run, then the median of
+Spark's ``noop`` sink (no collect). $BENCH_WARMUP (default 2) warm-up runs
+(the JVM needs a few runs to compile the generated code), then the median of
 $BENCH_REPS (default 3) timed runs. Prints ONE JSON line.
 """
 
@@ -31,6 +32,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     reps = int(os.environ.get("BENCH_REPS", "3"))
+    warmup = int(os.environ.get("BENCH_WARMUP", "2"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     spark = build_session(f"local[{cpus}]", int(cpus) * 2, app_name="settlebook-bench",
                           extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
@@ -39,10 +41,10 @@ def main() -> None:
     for name in only or HEADLINE:
         fn = qs[name]
         runs = []
-        for i in range(reps + 1):
+        for i in range(warmup + reps):
             t0 = time.perf_counter()
             fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            if i:
+            if i >= warmup:
                 runs.append(time.perf_counter() - t0)
         timings[name] = round(statistics.median(runs), 3)
         if os.environ.get("BENCH_VERBOSE"):
