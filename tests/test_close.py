@@ -28,3 +28,28 @@ def test_checkpointed_and_reloaded_close_agree(spark):
         write_stage(getattr(x, f.name), f"{root}/{f.name}")
     reloaded = load_inputs(spark, root)
     assert fingerprint(close_period(reloaded, FIXTURE).balance) == lazy
+
+
+def test_december_2018_period_matches_oracle(spark):
+    """The worksheet's own dates (odd-second bounds, per-currency cutoffs)
+    through the whole close, against the direct SQL with the same period.
+    The driver data lies outside most of these windows, so this mainly checks
+    that a period's literals mean the same in both engines."""
+    from settlebook.functions import decimals_to_double as to_double
+    from settlebook.oracle.compare import compare, duckdb_connection
+    from settlebook.oracle.steps import with_ctes
+    from settlebook.plans import Period
+    from settlebook.plans import rules as R
+
+    dec = Period.dec_2018()
+    x = settlement_inputs(DriverTables(spark, SF_SMALL))
+    close = close_period(x, dec)
+    con = duckdb_connection(SF_SMALL)
+    money = ("balance", "epp_net_sales", "offline_net_sales") + R.PAYOUT_BUCKETS + R.CHARGE_BUCKETS
+    for stage, cte, cols in (("history", "x_s2", ("epp_net_sales", "offline_net_sales")),
+                             ("payout_snapshot", "x_s6", ("amount",)),
+                             ("balance", "x_s10", money)):
+        rep = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols)
+        sql = with_ctes(f"SELECT * REPLACE ({rep}) FROM {cte}", dec)
+        r = compare(spark, stage, lambda s, d, st=stage: to_double(getattr(close, st)), sql, SF_SMALL, con)
+        assert r["ok"], r
