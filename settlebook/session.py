@@ -14,6 +14,10 @@ BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Coalesce post-shuffle partitions to the advisory size rather than
+    # keeping at least the default parallelism (Spark's advice for shared
+    # clusters; small aggregated stages then run as few tasks).
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     # Popular events / payouts: let AQE split skewed join partitions.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Broadcast only what AQE has measured at runtime (shuffle statistics of
