@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from settlebook.functions.timez import effective_before, local_before, local_between, ts_lit
-from settlebook.operators import Bucket, combine_bucket_sums, newest, not_in, partial_bucket_sums, union_distinct
+from settlebook.operators import Bucket, combine_bucket_sums, newest, not_in, partial_bucket_sums
 from settlebook.plans import rules as R
 from settlebook.plans.period import Period
 
@@ -78,7 +78,10 @@ def payout_snapshot(history: DataFrame, current: DataFrame, manual_voids: DataFr
     the BRL/ARS rule, and whether the payout was ever wired. The BRL/ARS NOT
     IN filters test ``payout_id``, the ranking key, so they remove whole
     ranking groups and apply to the folded rows; their key sets (payouts ever
-    wired; every payout id in the log) come from the same aggregate.
+    wired; every payout id in the log) come from the same aggregate. The
+    UNION's duplicate removal is exact without a shuffle of the snapshot:
+    log rows are unique per payout and family, a BRL/ARS row duplicates only
+    the matrix row of its own payout, and current rows carry another source.
     """
     cols = [c for c in R.SNAPSHOT_COLUMNS if c != "source"]
     payload = [c for c in cols if c not in NEWEST_FIRST and c != "payout_id"]
@@ -89,12 +92,19 @@ def payout_snapshot(history: DataFrame, current: DataFrame, manual_voids: DataFr
     wired = per_payout.where(F.col("_wired") == 1).select("payout_id")
     log_ids = per_payout.select("payout_id")
 
-    def version(field: str) -> DataFrame:
-        return per_payout.where(F.col(field).isNotNull()).select(
+    def version(field: str, same_as_matrix: Column | None = None) -> DataFrame:
+        rows = per_payout.where(F.col(field).isNotNull())
+        if same_as_matrix is not None:
+            rows = rows.where(~same_as_matrix)
+        return rows.select(
             *[F.col(f"{field}.{c}").alias(c) for c in cols if c != "payout_id"], "payout_id")
 
     matrix = version("_matrix")
-    latam = not_in(version("_latam"), "payout_id", wired, "payout_id")
+    # UNION removes a BRL/ARS row only when it equals the matrix row of the
+    # same payout: compare the two folded versions in place instead of
+    # shuffling the whole snapshot for a distinct.
+    latam = version("_latam", F.col("_latam").eqNullSafe(F.col("_matrix")))
+    latam = not_in(latam, "payout_id", wired, "payout_id")
     latam = not_in(latam, "payout_id", manual_voids, "payout_id")
     fresh = current.where(F.col("created") < ts_lit(period.payouts_created_before))
     fresh = not_in(fresh, "id", log_ids, "payout_id")
@@ -105,7 +115,9 @@ def payout_snapshot(history: DataFrame, current: DataFrame, manual_voids: DataFr
           for c in cols],
         F.lit("payout").alias("source"))
     tagged = [b.select(*cols, F.lit("history_payout").alias("source")) for b in (matrix, latam)]
-    return union_distinct(*tagged, fresh)
+    # Log rows are unique per (payout, family) and differ from current rows in
+    # ``source``; only the current-payout branch can repeat a row.
+    return tagged[0].unionByName(tagged[1]).unionByName(fresh.distinct())
 
 
 def payout_bucket_rules(currency: Column) -> list[Bucket]:
