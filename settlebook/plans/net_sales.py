@@ -54,8 +54,10 @@ def itemized_net_sales(items: DataFrame, orders: DataFrame, events: DataFrame, u
     created = F.col("transaction_created")
     it = items.where((created >= ts_lit(period.itemized_from)) & (created < ts_lit(period.itemized_to)))
     it = not_in(it, "order_id", transfers, "order_id")
+    # Partitioned by order id once: that serves both the DISTINCT (a subset of
+    # its keys) and the join, instead of one shuffle for each.
     order_keys = orders.select(F.col("id").alias("_o_id"), F.col("event").alias("_o_event"),
-                               F.col("currency").alias("_o_currency")).distinct()
+                               F.col("currency").alias("_o_currency")).repartition("_o_id").distinct()
     j = it.join(order_keys, F.col("order_id") == F.col("_o_id"), "left")
     sums = (j.groupBy(F.coalesce("event_id", "_o_event").alias("event_id"),
                       F.coalesce("currency", "_o_currency").alias("currency"))
