@@ -141,3 +141,56 @@ def test_wire_in_events_are_removed(spark):
     assert level.collect()[0].wire_paid_out == D("10")
     wire_ins = spark.createDataFrame([(7,)], "event_id bigint")
     assert charge_buckets(level, empty(spark, CHARGES), wire_ins, DEC).count() == 0
+
+
+def _level(spark, rows):
+    snap = spark.createDataFrame(rows, SNAP).drop("log_position").withColumn("source", F.lit("history_payout"))
+    return payout_buckets(empty(spark, NET), snap)
+
+
+def test_check_deleted_is_positive_and_voided_negative(spark):
+    r = _level(spark, [_snap(1, 3, T(2018, 6, 1), T(2018, 6, 1), ptype="CHECK", user=1),
+                       _snap(2, 4, T(2018, 6, 1), T(2018, 6, 1), ptype="CHECK", user=1)]).collect()[0]
+    assert (r.check_deleted, r.check_voided, r.check_written) == (D("10"), D("-10"), D("20"))
+
+
+def test_underpayment_refund_enters_total_only_when_settled(spark):
+    level = _level(spark, [_snap(1, 1, T(2018, 6, 1), T(2018, 6, 1), event=7, user=1)])
+    charges = spark.createDataFrame([
+        (1, 7, "USD", T(2018, 6, 1), T(2018, 6, 1), "CHARGE_UNDERPAYMENT_REFUND", 0, D("4"), None, 2),   # not settled
+        (2, 7, "USD", T(2018, 6, 1), T(2018, 6, 1), "CHARGE_UNDERPAYMENT_REFUND", 1, D("8"), 55, 3),     # settled
+        (3, 7, "USD", T(2018, 6, 1), T(2018, 6, 1), "CREDIT_BACKUP_FUNDING", 0, D("16"), None, 4),       # always
+    ], CHARGES)
+    r = charge_buckets(level, charges, empty(spark, "event_id bigint"), DEC).collect()[0]
+    assert r.credit_backup_funding_total == D("28")
+    assert r.credits_charges_total == D("24")
+
+
+def test_current_only_payouts_count_as_withheld_not_in_file(spark):
+    hist = empty(spark, SNAP)
+    cur = spark.createDataFrame([_snap(9, 5, T(2018, 6, 1), T(2018, 6, 1), status_old=2)], SNAP) \
+        .drop("status_old", "log_position").withColumnRenamed("payout_id", "id").withColumnRenamed("event_id", "event")
+    cur = cur.withColumn("withheld_status", F.lit(2))
+    snap = payout_snapshot(hist, cur, empty(spark, "payout_id bigint"), DEC)
+    r = payout_buckets(empty(spark, NET), snap).collect()[0]
+    assert (r.ach_withheld_fraud_in_file, r.ach_withheld_fraud_not_in_file) == (0, D("10"))
+
+
+def test_payment_options_come_from_the_parent_event(spark):
+    net = spark.createDataFrame([(7, "live", "self", T(2018, 2, 1), 1, "USD", D("5"), D("3"), 70)], NET + ", parent bigint")
+    schema = ("event_id bigint, changed timestamp_ntz, log_position bigint, accept_eventbrite int, "
+              "accept_eventbrite_old int, accept_paypal int, accept_authnet int")
+    own = spark.createDataFrame([(7, T(2018, 5, 1), 1, 1, 0, 0, 0)], schema)
+    parent = spark.createDataFrame([(70, T(2018, 5, 1), 1, 0, 0, 0, 0)], schema)
+    assert apply_payment_options(net, own.unionByName(parent), DEC).collect()[0].offline_net_sales == 0
+
+
+def test_parent_step_drops_rows_of_unknown_events(spark):
+    from settlebook.plans import with_parent
+    merged = spark.createDataFrame([(7, "self", "live", 1, "USD", T(2018, 2, 1), D("1"), D("0")),
+                                    (8, None, None, None, "USD", None, D("2"), D("0"))],
+                                   "event_id bigint, account_type string, current_status string, org_uid bigint, "
+                                   "currency string, end_date timestamp_ntz, epp_net_sales decimal(28,2), "
+                                   "offline_net_sales decimal(28,2)")
+    out = with_parent(merged, events(spark, [7])).collect()
+    assert [(r.event_id, r.parent) for r in out] == [(7, 7)]
