@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -14,10 +13,9 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    extra = {}
-    if not os.environ.get("SPARK_CHECKPOINT_DIR"):
-        # Tests only: a scratch checkpoint folder when the session names none.
-        extra["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="settlebook-test-ckpt-")
-    s = build_session("local[*]", 8, app_name="settlebook-tests", extra=extra)
+    # spark.checkpoint.dir is taken from the session's configuration; only
+    # when it is unset does settlebook fall back to a scratch folder (local
+    # mode only).
+    s = build_session("local[*]", 8, app_name="settlebook-tests")
     yield s
     s.stop()
