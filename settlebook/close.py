@@ -2,7 +2,7 @@
 
 usage:
   python -m settlebook.close --inputs /warehouse/settlement --out /warehouse/close_2018_12 \
-      --period dec_2018 [--format parquet|table] [--checkpoint]
+      --period dec_2018 [--format parquet|table] [--no-checkpoint]
   python -m settlebook.close --driver-tables /root/testdata/sf0.1 --out /shared/close_fixture
 
 With ``--driver-tables`` the inputs are derived from the driver's test tables
@@ -31,7 +31,8 @@ def main(argv=None) -> None:
     ap.add_argument("--period", default="dec_2018", choices=["dec_2018", "driver_fixture"])
     ap.add_argument("--out", required=True)
     ap.add_argument("--stages", default="balance", help="comma list of stages to write, or 'all'")
-    ap.add_argument("--checkpoint", action="store_true", help="checkpoint wide stages to spark.checkpoint.dir")
+    ap.add_argument("--no-checkpoint", dest="checkpoint", action="store_false",
+                    help="do not checkpoint the wide stages to spark.checkpoint.dir (default: checkpoint)")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
 

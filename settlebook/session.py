@@ -24,6 +24,8 @@ BASE_CONF = {
     # cache of 100 they are evicted and recompiled on every run, in the
     # driver and in every executor. Static: takes effect at session start.
     "spark.sql.codegen.cache.maxEntries": "2000",
+    # Remove checkpoint files once their DataFrames are gone.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
