@@ -48,12 +48,23 @@ def not_in(df: DataFrame, key, keyset: DataFrame, key_col=None) -> DataFrame:
     return df.where(keep).join(members, _col(key) == F.col(_KEY), "left_anti")
 
 
-def exists_flag(df: DataFrame, key, keyset: DataFrame, name: str, key_col=None) -> DataFrame:
+def exists_flag(df: DataFrame, key, keyset: DataFrame, name: str, key_col=None,
+                keys_unique: bool = False) -> DataFrame:
     """Add boolean ``name`` = ``key IN (SELECT key_col FROM keyset)`` for use
     inside a WHERE (where FALSE and NULL both drop the row), e.g.
-    ``changed < cutoff OR order_id IN (transfers)``."""
+    ``changed < cutoff OR order_id IN (transfers)``.
+
+    The key set is de-duplicated so the left join cannot repeat rows. When it
+    is already unique (``keys_unique``, e.g. the ids of a table keyed by id)
+    that aggregate is skipped; both join inputs are then plain shuffles, which
+    lets AQE split a partition holding a hot key (skew-join handling does not
+    apply when an aggregate sits between a shuffle and the join).
+    """
     k = _key_column(keyset, key_col)
-    members = keyset.select(k.alias(_KEY)).where(F.col(_KEY).isNotNull()).distinct().withColumn(name, F.lit(True))
+    members = keyset.select(k.alias(_KEY)).where(F.col(_KEY).isNotNull())
+    if not keys_unique:
+        members = members.distinct()
+    members = members.withColumn(name, F.lit(True))
     return (df.join(members, _col(key) == F.col(_KEY), "left")
               .withColumn(name, F.coalesce(F.col(name), F.lit(False)))
               .drop(_KEY))

@@ -53,17 +53,23 @@ def itemized_net_sales(items: DataFrame, orders: DataFrame, events: DataFrame, u
     prior period's output."""
     created = F.col("transaction_created")
     it = items.where((created >= ts_lit(period.itemized_from)) & (created < ts_lit(period.itemized_to)))
-    it = not_in(it, "order_id", transfers, "order_id")
+    # Fold line items per (order, event, currency) first: a partial aggregate,
+    # so an order or event with a huge number of lines is reduced map-side.
+    # Sums of partial sums equal the sums (NULL rows drop out either way), and
+    # a fan-out of the order-key join repeats a partial sum exactly as it would
+    # repeat each of its lines.
+    per_order = it.groupBy("order_id", "event_id", "currency").agg(
+        F.sum(_sum_expr(R.EPP_COMPONENTS)).alias("_epp_cents"),
+        F.sum(reduce(lambda a, b: a - b, [F.lit(0)] + [F.col(c) for c in R.OFFLINE_DEDUCTIONS])).alias("_offline_cents"))
+    per_order = not_in(per_order, "order_id", transfers, "order_id")
     # Partitioned by order id once: that serves both the DISTINCT (a subset of
     # its keys) and the join, instead of one shuffle for each.
     order_keys = orders.select(F.col("id").alias("_o_id"), F.col("event").alias("_o_event"),
                                F.col("currency").alias("_o_currency")).repartition("_o_id").distinct()
-    j = it.join(order_keys, F.col("order_id") == F.col("_o_id"), "left")
+    j = per_order.join(order_keys, F.col("order_id") == F.col("_o_id"), "left")
     sums = (j.groupBy(F.coalesce("event_id", "_o_event").alias("event_id"),
                       F.coalesce("currency", "_o_currency").alias("currency"))
-             .agg(F.sum(_sum_expr(R.EPP_COMPONENTS)).alias("_epp_cents"),
-                  F.sum(reduce(lambda a, b: a - b, [F.lit(0)] + [F.col(c) for c in R.OFFLINE_DEDUCTIONS]))
-                   .alias("_offline_cents")))
+             .agg(F.sum("_epp_cents").alias("_epp_cents"), F.sum("_offline_cents").alias("_offline_cents")))
     # NOT IN on the event key commutes with grouping by it: filter the aggregate.
     sums = not_in(sums, "event_id", exclusions)
     sums = not_in(sums, "event_id", duplicated_keys(prior_event_level, "event_id"))
@@ -113,7 +119,7 @@ def order_log_latest(history: DataFrame, events: DataFrame, transfers: DataFrame
     variants = {"_any": None} if transfers is None else {"_any": None, "_pre": before_split}
     per_event = rows.groupBy("order_id", "event_id").agg(
         *[newest(NEWEST_FIRST, _VERSION_PAYLOAD, among).alias(v) for v, among in variants.items()])
-    per_event = exists_flag(per_event, "event_id", events.select("id"), "_known_event", "id")
+    per_event = exists_flag(per_event, "event_id", events.select("id"), "_known_event", "id", keys_unique=True)
     known = F.col("_known_event")
     per_order = per_event.groupBy("order_id").agg(
         *[F.max(v).alias(f"{v}_all") for v in variants],

@@ -59,3 +59,28 @@ def test_hot_event_holds_a_third_of_the_orders(skewed_dir):
     share = con.execute("SELECT avg(CASE WHEN o_custkey = 42 THEN 1 ELSE 0 END) FROM orders").fetchall()[0][0]
     assert share > 0.33
 
+
+
+def test_hot_event_partition_is_split_by_aqe(spark, skewed_dir):
+    """The per-(order, event) rows of the hot event meet the events table in a
+    join whose inputs are plain shuffles, so AQE's skew-join handling splits
+    that partition (thresholds scaled down to the fixture's size)."""
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = queries()["combined_net_sales"](spark, skewed_dir)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan and "AQEShuffleRead skewed" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
