@@ -79,7 +79,7 @@ SELECT o_orderkey AS id, o_custkey AS event, {cur('o_custkey')} AS currency,
   CAST(o_totalprice AS DECIMAL(18,2)) AS gross,
   CASE WHEN o_orderkey % 10 = 0 THEN CAST(0 AS DECIMAL(18,2))
        ELSE CAST(ROUND(CAST(o_totalprice AS DECIMAL(18,2)) * CAST(0.05 AS DECIMAL(3,2)), 2) AS DECIMAL(18,2)) END AS mg_fee,
-  CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'eventbrite' WHEN '2' THEN 'offline' WHEN '3' THEN 'paypal'
+  CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN {q(R.EPP_PAYMENT_TYPE)} WHEN '2' THEN {q(R.OFFLINE_PAYMENT_TYPE)} WHEN '3' THEN 'paypal'
        WHEN '4' THEN 'google' ELSE 'free' END AS payment_type,
   CAST(CASE o_orderstatus WHEN 'F' THEN 100 WHEN 'O' THEN CASE WHEN o_orderkey % 2 = 0 THEN 100 ELSE 200 END
        WHEN 'P' THEN 400 END AS INTEGER) AS status,
@@ -118,12 +118,12 @@ SELECT l.l_orderkey AS order_id,
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""",
     "x_history_payouts": "SELECT " + ",\n  ".join(f"{v} AS {k}" for k, v in _payout_cols().items()) + "\nFROM events",
     "x_payouts": _payouts_current(),
-    "x_options": """
+    "x_options": f"""
 SELECT user_id AS event_id, ts AS changed, event_id AS log_position,
-  CASE WHEN event_type IN ('purchase', 'view') THEN 1 ELSE 0 END AS accept_eventbrite,
-  CASE WHEN event_type = 'click' THEN 1 ELSE 0 END AS accept_eventbrite_old,
-  CASE WHEN event_type <> 'error' THEN CAST(event_id % 2 AS INTEGER) END AS accept_paypal,
-  CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END AS accept_authnet
+  CASE WHEN event_type IN ('purchase', 'view') THEN 1 ELSE 0 END AS {R.ACCEPT_PROCESSOR},
+  CASE WHEN event_type = 'click' THEN 1 ELSE 0 END AS {R.ACCEPT_PROCESSOR_OLD},
+  CASE WHEN event_type <> 'error' THEN CAST(event_id % 2 AS INTEGER) END AS {R.ACCEPT_PAYPAL},
+  CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END AS {R.ACCEPT_AUTHNET}
 FROM events""",
     "x_charges": f"""
 SELECT o_orderkey AS id, o_custkey AS event, {cur('o_custkey')} AS currency, o_orderdate AS created,

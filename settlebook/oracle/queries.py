@@ -58,7 +58,8 @@ def oracle_sql() -> dict[str, str]:
             "SELECT id, changed FROM x_orders WHERE changed BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'", []),
         "filter_in_not_in_list": doubles(
             "SELECT id, payment_type, status FROM x_orders "
-            "WHERE payment_type IN ('eventbrite', 'offline', 'paypal') AND status NOT IN (200, 400)", []),
+            f"WHERE payment_type IN {in_list((R.EPP_PAYMENT_TYPE, R.OFFLINE_PAYMENT_TYPE, 'paypal'))} "
+            "AND status NOT IN (200, 400)", []),
         "filter_code_null_logic": doubles(
             "SELECT id, charge_type, processed, payout_id, parent_id, amount FROM x_charges "
             "WHERE (processed = 1 AND payout_id IS NOT NULL AND amount > 100) OR (processed = 1 AND parent_id = id)",
@@ -122,9 +123,9 @@ def oracle_sql() -> dict[str, str]:
             "AS offline_net_sales FROM x_items GROUP BY event_id, currency", NET),
         "conditional_sum": doubles(
             "SELECT event_id, currency, "
-            "-sum(CASE WHEN payment_type = 'eventbrite' THEN gross - mg_fee ELSE 0 END) AS epp_net_sales, "
+            f"-sum(CASE WHEN payment_type = '{R.EPP_PAYMENT_TYPE}' THEN gross - mg_fee ELSE 0 END) AS epp_net_sales, "
             "sum(CASE WHEN payment_type = 'offline' THEN mg_fee ELSE 0 END) AS offline_net_sales, "
-            "sum(CASE WHEN payment_type = 'eventbrite' THEN gross - mg_fee ELSE -mg_fee END) AS net_sales "
+            f"sum(CASE WHEN payment_type = '{R.EPP_PAYMENT_TYPE}' THEN gross - mg_fee ELSE -mg_fee END) AS net_sales "
             "FROM x_history_orders GROUP BY event_id, currency", NET + ("net_sales",)),
         "reaggregate_rounded": doubles(
             "SELECT event_id, currency, round(sum(s), 2) AS net_sales, sum(s) AS net_sales_raw FROM ("
@@ -159,8 +160,8 @@ def oracle_sql() -> dict[str, str]:
             "SELECT event_id, currency, count(*) AS rows FROM x_s7 GROUP BY event_id, currency HAVING count(*) > 1", []),
     }
     q["latest_payment_options"] = doubles(
-        "SELECT event_id, changed, log_position, accept_eventbrite, accept_eventbrite_old, accept_paypal, "
-        "accept_authnet FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY changed DESC NULLS LAST, "
+        f"SELECT event_id, changed, log_position, {R.ACCEPT_PROCESSOR}, {R.ACCEPT_PROCESSOR_OLD}, {R.ACCEPT_PAYPAL}, "
+        f"{R.ACCEPT_AUTHNET} FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY changed DESC NULLS LAST, "
         f"log_position DESC NULLS LAST) AS rk FROM x_options WHERE changed < {ts(P.options_before)}) WHERE rk = 1", [])
     q["prior_period_duplicates"] = doubles(
         "SELECT event_id FROM x_prior GROUP BY event_id HAVING count(*) > 1", [])

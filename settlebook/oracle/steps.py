@@ -63,8 +63,10 @@ GROUP BY {key}, e.current_status, e.uid, u.account_type, coalesce(i.currency, k.
 
 
 def _s2(p: Period) -> str:
-    epp = "-sum(CASE WHEN {a}.payment_type = 'eventbrite' THEN {a}.gross - {a}.mg_fee ELSE 0 END) AS epp_net_sales"
-    off = "sum(CASE WHEN {a}.payment_type = 'offline' THEN {a}.mg_fee ELSE 0 END) AS offline_net_sales"
+    epp = ("-sum(CASE WHEN {a}.payment_type = '" + R.EPP_PAYMENT_TYPE
+           + "' THEN {a}.gross - {a}.mg_fee ELSE 0 END) AS epp_net_sales")
+    off = ("sum(CASE WHEN {a}.payment_type = '" + R.OFFLINE_PAYMENT_TYPE
+           + "' THEN {a}.mg_fee ELSE 0 END) AS offline_net_sales")
     return f"""
 SELECT event_id, current_status, org_uid, account_type, currency, end_date,
   round(sum(epp_net_sales), 2) AS epp_net_sales, round(sum(offline_net_sales), 2) AS offline_net_sales
@@ -93,7 +95,8 @@ GROUP BY event_id, current_status, org_uid, account_type, currency, end_date"""
 
 
 def _n1(p: Period) -> str:
-    net = "sum(CASE WHEN {a}.payment_type = 'eventbrite' THEN {a}.gross - {a}.mg_fee ELSE -{a}.mg_fee END) AS net_sales"
+    net = ("sum(CASE WHEN {a}.payment_type = '" + R.EPP_PAYMENT_TYPE
+           + "' THEN {a}.gross - {a}.mg_fee ELSE -{a}.mg_fee END) AS net_sales")
     return f"""
 SELECT event_id, current_status, org_uid, currency, sum(net_sales) AS net_sales
 FROM (
@@ -137,8 +140,8 @@ FROM x_s3 m JOIN x_events e ON e.id = m.event_id"""
 def _s5(p: Period) -> str:
     return f"""
 SELECT n.event_id, n.current_status, n.account_type, n.end_date, n.org_uid, n.currency, n.epp_net_sales,
-  CASE WHEN (o.accept_eventbrite = 1 OR o.accept_eventbrite_old = 1)
-        AND (o.accept_paypal <> 1 AND o.accept_authnet <> 1)
+  CASE WHEN (o.{R.ACCEPT_PROCESSOR} = 1 OR o.{R.ACCEPT_PROCESSOR_OLD} = 1)
+        AND (o.{R.ACCEPT_PAYPAL} <> 1 AND o.{R.ACCEPT_AUTHNET} <> 1)
        THEN n.offline_net_sales ELSE 0 END AS offline_net_sales
 FROM x_s4 n
 LEFT JOIN (

@@ -219,11 +219,11 @@ def apply_payment_options(net_sales: DataFrame, options: DataFrame, period: Peri
     payment options accept the processor and neither PayPal nor Authorize.net
     (NULL flags count as not accepting)."""
     p = latest_payment_options(options, period).select(
-        F.col("event_id").alias("_p_event"), "accept_eventbrite", "accept_eventbrite_old",
-        "accept_paypal", "accept_authnet")
+        F.col("event_id").alias("_p_event"), R.ACCEPT_PROCESSOR, R.ACCEPT_PROCESSOR_OLD, R.ACCEPT_PAYPAL,
+        R.ACCEPT_AUTHNET)
     j = net_sales.join(p, F.col("parent") == F.col("_p_event"), "left")
-    keeps = (((F.col("accept_eventbrite") == 1) | (F.col("accept_eventbrite_old") == 1))
-             & ((F.col("accept_paypal") != 1) & (F.col("accept_authnet") != 1)))
+    keeps = (((F.col(R.ACCEPT_PROCESSOR) == 1) | (F.col(R.ACCEPT_PROCESSOR_OLD) == 1))
+             & ((F.col(R.ACCEPT_PAYPAL) != 1) & (F.col(R.ACCEPT_AUTHNET) != 1)))
     return j.select("event_id", "current_status", "account_type", "end_date", "org_uid", "currency",
                     "epp_net_sales",
                     F.when(keeps, F.col("offline_net_sales")).otherwise(0).alias("offline_net_sales"))

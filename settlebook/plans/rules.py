@@ -18,6 +18,14 @@ NET_SALES_PAYMENT_TYPES = ("eventbrite", "offline")
 EPP_PAYMENT_TYPE = "eventbrite"
 OFFLINE_PAYMENT_TYPE = "offline"
 
+# Payment options of an event (columns of the options log): offline sales
+# count only if the processor is accepted (now or formerly) and neither PayPal
+# nor Authorize.net is.
+ACCEPT_PROCESSOR = "accept_eventbrite"
+ACCEPT_PROCESSOR_OLD = "accept_eventbrite_old"
+ACCEPT_PAYPAL = "accept_paypal"
+ACCEPT_AUTHNET = "accept_authnet"
+
 # Itemized net sales: organiser components (cents) and offline deductions.
 EPP_COMPONENTS = (
     "refund__ap_organizer__gts__epp",

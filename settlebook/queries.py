@@ -68,7 +68,7 @@ def filter_between_inclusive(x, t):
 
 
 def filter_in_not_in_list(x, t):
-    return x.orders.where(F.col("payment_type").isin("eventbrite", "offline", "paypal")
+    return x.orders.where(F.col("payment_type").isin(R.EPP_PAYMENT_TYPE, R.OFFLINE_PAYMENT_TYPE, "paypal")
                           & ~F.col("status").isin(200, 400)).select("id", "payment_type", "status")
 
 
@@ -217,9 +217,9 @@ def conditional_sum(x, t):
     pt = F.col("payment_type")
     net = F.col("gross") - F.col("mg_fee")
     return x.history_orders.groupBy("event_id", "currency").agg(
-        (-F.sum(F.when(pt == "eventbrite", net).otherwise(0))).alias("epp_net_sales"),
+        (-F.sum(F.when(pt == R.EPP_PAYMENT_TYPE, net).otherwise(0))).alias("epp_net_sales"),
         F.sum(F.when(pt == "offline", F.col("mg_fee")).otherwise(0)).alias("offline_net_sales"),
-        F.sum(F.when(pt == "eventbrite", net).otherwise(-F.col("mg_fee"))).alias("net_sales"))
+        F.sum(F.when(pt == R.EPP_PAYMENT_TYPE, net).otherwise(-F.col("mg_fee"))).alias("net_sales"))
 
 
 def reaggregate_rounded(x, t):

@@ -1,3 +1,5 @@
 from settlebook.sources.adapters import SettlementInputs, settlement_inputs  # noqa: F401
 from settlebook.sources.tables import DRIVER_TABLES, DriverTables  # noqa: F401
-from settlebook.sources.warehouse import INPUT_TABLES, load_inputs, read_table, write_stage  # noqa: F401
+from settlebook.sources.warehouse import (  # noqa: F401
+    INPUT_TABLES, load_inputs, manual_voids_table, read_table, write_stage,
+)

@@ -27,7 +27,7 @@ from settlebook.sources.tables import DriverTables
 CURRENCY_CYCLE = ("USD", "AUD", "CAD", "EUR", "GBP", "NZD", "BRL", "ARS", "MXN", "SGD", "HKD")
 EVENT_STATUSES = ("live", "started", "ended", "canceled")
 ACCOUNT_TYPES = ("self", "enterprise", "partner")
-HISTORY_PAYMENT_TYPES = ("eventbrite", "eventbrite", "offline", "paypal")
+HISTORY_PAYMENT_TYPES = (R.EPP_PAYMENT_TYPE, R.EPP_PAYMENT_TYPE, R.OFFLINE_PAYMENT_TYPE, "paypal")
 PAYOUT_STATUS_CYCLE = (0, 1, 2, 3, 4, 5, 5, 5, 5, 5, 6, 7, 8, 10, 11, 12, 13)
 STATUS_OLD_CYCLE = (None, 2, 1)
 WITHHELD_CYCLE = (None, 1, 2, 4, 5, 3)
@@ -92,7 +92,7 @@ def orders(t: DriverTables) -> DataFrame:
         gross.alias("gross"),
         F.when(key % 10 == 0, F.lit(0).cast(MONEY))
          .otherwise(F.round(gross * dec_lit("0.05", 3, 2), 2).cast(MONEY)).alias("mg_fee"),
-        F.when(prio == "1", "eventbrite").when(prio == "2", "offline").when(prio == "3", "paypal")
+        F.when(prio == "1", R.EPP_PAYMENT_TYPE).when(prio == "2", R.OFFLINE_PAYMENT_TYPE).when(prio == "3", "paypal")
          .when(prio == "4", "google").otherwise("free").alias("payment_type"),
         F.when(F.col("o_orderstatus") == "F", 100)
          .when(F.col("o_orderstatus") == "O", F.when(key % 2 == 0, 100).otherwise(200))
@@ -204,10 +204,10 @@ def history_payment_options(t: DriverTables) -> DataFrame:
         F.col("user_id").alias("event_id"),
         F.col("ts").alias("changed"),
         eid.alias("log_position"),
-        F.when(et.isin("purchase", "view"), 1).otherwise(0).alias("accept_eventbrite"),
-        F.when(et == "click", 1).otherwise(0).alias("accept_eventbrite_old"),
-        F.when(et != "error", (eid % 2).cast("int")).alias("accept_paypal"),
-        F.when(eid % 3 == 0, 1).otherwise(0).alias("accept_authnet"),
+        F.when(et.isin("purchase", "view"), 1).otherwise(0).alias(R.ACCEPT_PROCESSOR),
+        F.when(et == "click", 1).otherwise(0).alias(R.ACCEPT_PROCESSOR_OLD),
+        F.when(et != "error", (eid % 2).cast("int")).alias(R.ACCEPT_PAYPAL),
+        F.when(eid % 3 == 0, 1).otherwise(0).alias(R.ACCEPT_AUTHNET),
     )
 
 

@@ -52,3 +52,9 @@ def write_stage(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
+
+
+def manual_voids_table(spark: SparkSession, payout_ids) -> DataFrame:
+    """The ``manual_voids`` input from a list of payout ids, e.g. the
+    December 2018 lists in ``settlebook.plans.rules``."""
+    return spark.createDataFrame([(int(i),) for i in payout_ids], "payout_id bigint")

@@ -12,6 +12,9 @@ from settlebook.plans import (
 from settlebook.plans import rules as R
 
 DEC = Period.dec_2018()
+EPP = R.EPP_PAYMENT_TYPE
+OPTIONS = (f"event_id bigint, changed timestamp_ntz, log_position bigint, {R.ACCEPT_PROCESSOR} int, "
+           f"{R.ACCEPT_PROCESSOR_OLD} int, {R.ACCEPT_PAYPAL} int, {R.ACCEPT_AUTHNET} int")
 T = dt.datetime
 
 EVENTS = "id bigint, uid bigint, event_parent bigint, current_status string, start_date timestamp_ntz, end_date timestamp_ntz"
@@ -55,15 +58,15 @@ def test_null_component_drops_the_row_from_the_sum(spark):
 
 
 def test_union_counts_equal_branches_once(spark):
-    hist = spark.createDataFrame([(1, 7, D("10"), D("1"), "eventbrite", "USD", 100, T(2017, 3, 1), 1)], HIST)
-    orders = spark.createDataFrame([(2, 7, "USD", D("10"), D("1"), "eventbrite", 100, T(2017, 4, 1))], ORDERS)
+    hist = spark.createDataFrame([(1, 7, D("10"), D("1"), EPP, "USD", 100, T(2017, 3, 1), 1)], HIST)
+    orders = spark.createDataFrame([(2, 7, "USD", D("10"), D("1"), EPP, 100, T(2017, 4, 1))], ORDERS)
     out = combined_net_sales(hist, orders, events(spark, [7]), DEC).collect()
     assert [(r.event_id, r.net_sales) for r in out] == [(7, D("9.00"))]
 
 
 def test_zero_branches_are_dropped_before_the_outer_sum(spark):
-    hist = spark.createDataFrame([(1, 7, D("10"), D("5"), "eventbrite", "USD", 100, T(2017, 3, 1), 1),
-                                  (3, 8, D("10"), D("10"), "eventbrite", "USD", 100, T(2017, 3, 1), 1)], HIST)
+    hist = spark.createDataFrame([(1, 7, D("10"), D("5"), EPP, "USD", 100, T(2017, 3, 1), 1),
+                                  (3, 8, D("10"), D("10"), EPP, "USD", 100, T(2017, 3, 1), 1)], HIST)
     orders = spark.createDataFrame([(2, 7, "USD", D("10"), D("5"), "offline", 100, T(2017, 4, 1))], ORDERS)
     out = {r.event_id: r.net_sales for r in combined_net_sales(hist, orders, events(spark, [7, 8]), DEC).collect()}
     assert out == {7: D("0.00")}
@@ -72,9 +75,9 @@ def test_zero_branches_are_dropped_before_the_outer_sum(spark):
 def test_history_split_local_time_and_transfers(spark):
     # 2018-01-01 07:59:59 UTC is still 2017 in Los Angeles; 08:00:00 is not,
     # unless the order is a transfer.
-    hist = spark.createDataFrame([(1, 7, D("10"), D("1"), "eventbrite", "USD", 100, T(2018, 1, 1, 7, 59, 59), 1),
-                                  (2, 7, D("20"), D("2"), "eventbrite", "USD", 100, T(2018, 1, 1, 8), 1),
-                                  (3, 7, D("40"), D("4"), "eventbrite", "USD", 100, T(2018, 6, 1), 1)], HIST)
+    hist = spark.createDataFrame([(1, 7, D("10"), D("1"), EPP, "USD", 100, T(2018, 1, 1, 7, 59, 59), 1),
+                                  (2, 7, D("20"), D("2"), EPP, "USD", 100, T(2018, 1, 1, 8), 1),
+                                  (3, 7, D("40"), D("4"), EPP, "USD", 100, T(2018, 6, 1), 1)], HIST)
     transfers = spark.createDataFrame([(3,)], "order_id bigint")
     out = history_net_sales(hist, empty(spark, ORDERS), events(spark, [7]), users(spark), transfers, DEC).collect()
     assert [(r.event_id, r.epp_net_sales) for r in out] == [(7, D("-45.00"))]
@@ -83,11 +86,10 @@ def test_history_split_local_time_and_transfers(spark):
 def test_null_payment_option_flags_suppress_offline(spark):
     net = spark.createDataFrame([(7, "live", "self", T(2018, 2, 1), 1, "USD", D("5"), D("3"), 7)], NET + ", parent bigint")
     opts = spark.createDataFrame([(7, T(2018, 5, 1), 1, 1, 0, None, 0)],
-                                 "event_id bigint, changed timestamp_ntz, log_position bigint, accept_eventbrite int, "
-                                 "accept_eventbrite_old int, accept_paypal int, accept_authnet int")
+                                 OPTIONS)
     out = apply_payment_options(net, opts, DEC).collect()[0]
     assert out.offline_net_sales == 0
-    opts2 = opts.withColumn("accept_paypal", F.lit(0))
+    opts2 = opts.withColumn(R.ACCEPT_PAYPAL, F.lit(0))
     assert apply_payment_options(net, opts2, DEC).collect()[0].offline_net_sales == D("3")
 
 
@@ -178,8 +180,7 @@ def test_current_only_payouts_count_as_withheld_not_in_file(spark):
 
 def test_payment_options_come_from_the_parent_event(spark):
     net = spark.createDataFrame([(7, "live", "self", T(2018, 2, 1), 1, "USD", D("5"), D("3"), 70)], NET + ", parent bigint")
-    schema = ("event_id bigint, changed timestamp_ntz, log_position bigint, accept_eventbrite int, "
-              "accept_eventbrite_old int, accept_paypal int, accept_authnet int")
+    schema = OPTIONS
     own = spark.createDataFrame([(7, T(2018, 5, 1), 1, 1, 0, 0, 0)], schema)
     parent = spark.createDataFrame([(70, T(2018, 5, 1), 1, 0, 0, 0, 0)], schema)
     assert apply_payment_options(net, own.unionByName(parent), DEC).collect()[0].offline_net_sales == 0
