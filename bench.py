@@ -34,7 +34,7 @@ def main() -> None:
     reps = int(os.environ.get("BENCH_REPS", "3"))
     warmup = int(os.environ.get("BENCH_WARMUP", "2"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
-    spark = build_session(f"local[{cpus}]", int(cpus) * 2, app_name="settlebook-bench",
+    spark = build_session(f"local[{cpus}]", int(cpus), app_name="settlebook-bench",
                           extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
     qs = queries()
     timings = {}
