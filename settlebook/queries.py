@@ -29,7 +29,11 @@ def inputs(spark: SparkSession, sf_dir: str) -> tuple[SettlementInputs, DriverTa
     """The driver tables and the settlement inputs derived from them, resolved
     once per session and folder (lazy DataFrames: the scans run with each
     query, in full)."""
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # e.g. a Spark Connect session has no SparkContext
+        app = None
+    key = (id(spark), app, sf_dir.rstrip("/"))
     if key not in _RESOLVED:
         t = DriverTables(spark, sf_dir)
         _RESOLVED[key] = (settlement_inputs(t), t)
