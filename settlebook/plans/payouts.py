@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from settlebook.functions.timez import effective_before, local_before, local_between, ts_lit
-from settlebook.operators import Bucket, combine_bucket_sums, newest, not_in, partial_bucket_sums
+from settlebook.operators import Bucket, combine_bucket_sums, exists_flag, newest, not_in, partial_bucket_sums
 from settlebook.plans import rules as R
 from settlebook.plans.period import Period
 
@@ -66,6 +66,10 @@ def latam_rule(period: Period) -> Column:
             & ~F.col("status").isin(*R.LATAM_EXCLUDED_STATUSES))
 
 
+def _count(df: DataFrame) -> Column:
+    return df.select(F.count(F.lit(1))).scalar()
+
+
 def payout_snapshot(history: DataFrame, current: DataFrame, manual_voids: DataFrame,
                     period: Period) -> DataFrame:
     """OP7: one row per payout and source: the latest qualifying log version
@@ -73,15 +77,24 @@ def payout_snapshot(history: DataFrame, current: DataFrame, manual_voids: DataFr
     saw.
 
     Plan: a single aggregate of the log per ``payout_id`` (partial, so a hot
-    payout is folded map-side; the log is shuffled once) yields the newest
-    version qualifying under the cutoff matrix, the newest qualifying under
-    the BRL/ARS rule, and whether the payout was ever wired. The BRL/ARS NOT
-    IN filters test ``payout_id``, the ranking key, so they remove whole
-    ranking groups and apply to the folded rows; their key sets (payouts ever
-    wired; every payout id in the log) come from the same aggregate. The
-    UNION's duplicate removal is exact without a shuffle of the snapshot:
-    log rows are unique per payout and family, a BRL/ARS row duplicates only
-    the matrix row of its own payout, and current rows carry another source.
+    payout is folded map-side) yields the newest version under the cutoff
+    matrix, the newest under the BRL/ARS rule and whether the payout was ever
+    wired; it has exactly one consumer, so the log is shuffled once at full
+    width. Its row is exploded into one row per rule family.
+
+    The BRL/ARS family's ``payout_id NOT IN (payouts ever wired)`` tests the
+    ranking key against a set made of whole groups of the same aggregate, so
+    membership is the row's own wired flag; the set's NULL / empty cases come
+    from two one-row counts whose filters reach the scan. The manual-void
+    NOT IN is a flag join against that (small) table plus its own NULL /
+    empty counts. Current payouts are anti-joined against the distinct log
+    ids (one narrow column).
+
+    The UNION's duplicate removal is exact without a shuffle of the
+    snapshot: log rows are unique per payout and family, a BRL/ARS row can
+    only repeat the matrix row of its own payout (compared in place), and
+    current rows carry another ``source``; only the current branch is
+    de-duplicated.
     """
     cols = [c for c in R.SNAPSHOT_COLUMNS if c != "source"]
     payload = [c for c in cols if c not in NEWEST_FIRST and c != "payout_id"]
@@ -89,35 +102,36 @@ def payout_snapshot(history: DataFrame, current: DataFrame, manual_voids: DataFr
         newest(NEWEST_FIRST, payload, cutoff_matrix(period)).alias("_matrix"),
         newest(NEWEST_FIRST, payload, latam_rule(period)).alias("_latam"),
         F.max(F.when(F.col("status") == R.WIRE_STATUS, 1).otherwise(0)).alias("_wired"))
-    wired = per_payout.where(F.col("_wired") == 1).select("payout_id")
-    log_ids = per_payout.select("payout_id")
-
-    def version(field: str, same_as_matrix: Column | None = None) -> DataFrame:
-        rows = per_payout.where(F.col(field).isNotNull())
-        if same_as_matrix is not None:
-            rows = rows.where(~same_as_matrix)
-        return rows.select(
-            *[F.col(f"{field}.{c}").alias(c) for c in cols if c != "payout_id"], "payout_id")
-
-    matrix = version("_matrix")
-    # UNION removes a BRL/ARS row only when it equals the matrix row of the
-    # same payout: compare the two folded versions in place instead of
-    # shuffling the whole snapshot for a distinct.
-    latam = version("_latam", F.col("_latam").eqNullSafe(F.col("_matrix")))
-    latam = not_in(latam, "payout_id", wired, "payout_id")
-    latam = not_in(latam, "payout_id", manual_voids, "payout_id")
+
+    pid = F.col("payout_id")
+    wired = history.where(F.col("status") == R.WIRE_STATUS)
+    n_wired = _count(wired)
+    n_wired_null = _count(wired.where(pid.isNull()))
+    not_wired = (n_wired_null == 0) & ((n_wired == 0) | (pid.isNotNull() & (F.col("_wired") == 0)))
+    latam_ok = (F.col("_latam").isNotNull() & ~F.col("_latam").eqNullSafe(F.col("_matrix")) & not_wired)
+    rows = per_payout.select(pid, F.explode(F.array(
+        F.struct(F.lit(True).alias("matrix"), F.col("_matrix").alias("v")),
+        F.struct(F.lit(False).alias("matrix"), F.when(latam_ok, F.col("_latam")).alias("v")))).alias("_r"))
+    rows = rows.select(pid, F.col("_r.matrix").alias("_is_matrix"), F.col("_r.v").alias("_v")) \
+               .where(F.col("_v").isNotNull())
+
+    void_ids = manual_voids.select(F.col("payout_id").alias("_void"))
+    n_voids = _count(void_ids)
+    n_void_null = _count(void_ids.where(F.col("_void").isNull()))
+    rows = exists_flag(rows, "payout_id", void_ids, "_voided", "_void")
+    not_void = (n_void_null == 0) & ((n_voids == 0) | (pid.isNotNull() & ~F.col("_voided")))
+    logged = rows.where(F.col("_is_matrix") | not_void).select(
+        pid, *[F.col(f"_v.{c}").alias(c) for c in cols if c != "payout_id"], F.lit("history_payout").alias("source"))
+
     fresh = current.where(F.col("created") < ts_lit(period.payouts_created_before))
-    fresh = not_in(fresh, "id", log_ids, "payout_id")
+    fresh = not_in(fresh, "id", history.select("payout_id"), "payout_id")
     fresh = fresh.select(
         *[F.col("id").alias("payout_id") if c == "payout_id" else
           F.col("event").alias("event_id") if c == "event_id" else
           F.lit(None).cast("int").alias("status_old") if c == "status_old" else F.col(c)
           for c in cols],
         F.lit("payout").alias("source"))
-    tagged = [b.select(*cols, F.lit("history_payout").alias("source")) for b in (matrix, latam)]
-    # Log rows are unique per (payout, family) and differ from current rows in
-    # ``source``; only the current-payout branch can repeat a row.
-    return tagged[0].unionByName(tagged[1]).unionByName(fresh.distinct())
+    return logged.select(*cols, "source").unionByName(fresh.distinct())
 
 
 def payout_bucket_rules(currency: Column) -> list[Bucket]:

@@ -195,3 +195,23 @@ def test_parent_step_drops_rows_of_unknown_events(spark):
                                    "offline_net_sales decimal(28,2)")
     out = with_parent(merged, events(spark, [7])).collect()
     assert [(r.event_id, r.parent) for r in out] == [(7, 7)]
+
+
+def test_brl_family_not_in_wired_payouts_with_null_semantics(spark):
+    cur = empty(spark, SNAP).drop("status_old", "log_position").withColumnRenamed("payout_id", "id") \
+        .withColumnRenamed("event_id", "event")
+    t = T(2018, 6, 1)
+    base = [_snap(1, 3, t, t, currency="BRL", log=1),                       # never wired: kept
+            _snap(2, 3, t, t + dt.timedelta(hours=1), currency="BRL", log=2),  # newest version ...
+            _snap(2, 8, t, t, currency="BRL", log=1)]                        # ... but wired once: dropped
+    voids = empty(spark, "payout_id bigint")
+    out = payout_snapshot(spark.createDataFrame(base, SNAP), cur, voids, DEC)
+    latam = sorted(r.payout_id for r in out.where(F.col("currency") == "BRL").where(F.col("status") != 8).collect())
+    assert latam == [1]
+    # a wired log row without a payout id puts NULL in the NOT IN set: no BRL/ARS row survives
+    with_null = spark.createDataFrame(base + [_snap(None, 8, t, t, currency="USD", log=9)], SNAP)
+    out = payout_snapshot(with_null, cur, voids, DEC)
+    assert out.where((F.col("currency") == "BRL") & (F.col("status") == 3)).count() == 0
+    # a manual void removes the BRL row too
+    out = payout_snapshot(spark.createDataFrame(base, SNAP), cur, spark.createDataFrame([(1,)], "payout_id bigint"), DEC)
+    assert out.where((F.col("currency") == "BRL") & (F.col("status") == 3)).count() == 0
