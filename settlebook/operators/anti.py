@@ -44,7 +44,9 @@ def not_in(df: DataFrame, key, keyset: DataFrame, key_col=None) -> DataFrame:
     members = keyset.select(k.alias(_KEY)).where(F.col(_KEY).isNotNull()).distinct()
     n_members = members.select(F.count(F.lit(1))).scalar()
     n_nulls = keyset.select(k.alias(_KEY)).where(F.col(_KEY).isNull()).select(F.count(F.lit(1))).scalar()
-    keep = (n_nulls == 0) & (_col(key).isNotNull() | (n_members == 0))
+    # One expression on the key (no key-free conjunct that Catalyst could
+    # propagate across the join into the key set's plan).
+    keep = F.when(n_nulls != 0, F.lit(False)).when(_col(key).isNull(), n_members == 0).otherwise(F.lit(True))
     return df.where(keep).join(members, _col(key) == F.col(_KEY), "left_anti")
 
 
