@@ -29,25 +29,32 @@ def not_in(df: DataFrame, key, keyset: DataFrame, key_col=None) -> DataFrame:
     * otherwise: rows whose key is not NULL and not in the set.
 
     Spark's own null-aware anti join always broadcasts the set, whatever its
-    size. Here membership is an ordinary ``left_anti`` join against the
-    distinct non-NULL keys (a partial aggregate, so duplicates are folded
-    map-side), which the planner runs as a shuffle join unless AQE measures
-    the set as small. Two one-row scalar subqueries settle the NULL cases:
+    size. Here membership is an ordinary anti join against the distinct keys
+    (a partial aggregate, so duplicates are folded map-side), which the
+    planner runs as a shuffle join unless AQE measures the set as small. Two
+    one-row scalar subqueries settle the NULL cases:
 
-    * the number of distinct members: same plan as the join side, so its
+    * the number of distinct keys: same plan as the join side, so its
       shuffle is reused rather than recomputed;
     * the number of NULL keys: ``IS NULL`` is pushed down (through
       projections, aggregates and window partitions) to the scan, where
       parquet null counts make it nearly free.
+
+    The join matches with ``<=>`` and keeps a NULL key in the set: with the
+    guard below that changes no result (a NULL in the set keeps nothing; a
+    NULL left key is decided by the guard, not by the join), and unlike ``=``
+    it makes Spark infer no ``IS NOT NULL`` on the set, which would otherwise
+    be pushed into the plan that produces the set and stop it from sharing a
+    shuffle with other users of that plan.
     """
     k = _key_column(keyset, key_col)
-    members = keyset.select(k.alias(_KEY)).where(F.col(_KEY).isNotNull()).distinct()
+    members = keyset.select(k.alias(_KEY)).distinct()
     n_members = members.select(F.count(F.lit(1))).scalar()
     n_nulls = keyset.select(k.alias(_KEY)).where(F.col(_KEY).isNull()).select(F.count(F.lit(1))).scalar()
     # One expression on the key (no key-free conjunct that Catalyst could
     # propagate across the join into the key set's plan).
     keep = F.when(n_nulls != 0, F.lit(False)).when(_col(key).isNull(), n_members == 0).otherwise(F.lit(True))
-    return df.where(keep).join(members, _col(key) == F.col(_KEY), "left_anti")
+    return df.where(keep).join(members, _col(key).eqNullSafe(F.col(_KEY)), "left_anti")
 
 
 def exists_flag(df: DataFrame, key, keyset: DataFrame, name: str, key_col=None,
