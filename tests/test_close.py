@@ -53,3 +53,16 @@ def test_december_2018_period_matches_oracle(spark):
         sql = with_ctes(f"SELECT * REPLACE ({rep}) FROM {cte}", dec)
         r = compare(spark, stage, lambda s, d, st=stage: to_double(getattr(close, st)), sql, SF_SMALL, con)
         assert r["ok"], r
+
+
+def test_december_2018_manual_voids_load_as_a_table(spark):
+    from dataclasses import replace
+
+    from settlebook.plans import Period
+    from settlebook.plans import rules as R
+    from settlebook.sources import manual_voids_table
+
+    voids = manual_voids_table(spark, R.DEC_2018_MANUAL_VOIDS_BRL + R.DEC_2018_MANUAL_VOIDS_ARS)
+    assert voids.count() == len(R.DEC_2018_MANUAL_VOIDS_BRL) + len(R.DEC_2018_MANUAL_VOIDS_ARS) == 106
+    x = replace(settlement_inputs(DriverTables(spark, SF_SMALL)), manual_voids=voids)
+    assert close_period(x, Period.dec_2018()).payout_snapshot.count() >= 0
