@@ -31,14 +31,10 @@ def not_in(df: DataFrame, key, keyset: DataFrame, key_col=None) -> DataFrame:
     Spark's own null-aware anti join always broadcasts the set, whatever its
     size. Here membership is an ordinary anti join against the distinct keys
     (a partial aggregate, so duplicates are folded map-side), which the
-    planner runs as a shuffle join unless AQE measures the set as small. Two
-    one-row scalar subqueries settle the NULL cases:
-
-    * the number of distinct keys: same plan as the join side, so its
-      shuffle is reused rather than recomputed;
-    * the number of NULL keys: ``IS NULL`` is pushed down (through
-      projections, aggregates and window partitions) to the scan, where
-      parquet null counts make it nearly free.
+    planner runs as a shuffle join unless AQE measures the set as small. One
+    one-row scalar subquery over the same distinct keys (so it reuses the
+    join side's shuffle) settles the NULL cases: ``count(*)`` is 0 for an
+    empty set, and ``count(*) != count(key)`` when the set holds a NULL.
 
     The join matches with ``<=>`` and keeps a NULL key in the set: with the
     guard below that changes no result (a NULL in the set keeps nothing; a
@@ -49,11 +45,11 @@ def not_in(df: DataFrame, key, keyset: DataFrame, key_col=None) -> DataFrame:
     """
     k = _key_column(keyset, key_col)
     members = keyset.select(k.alias(_KEY)).distinct()
-    n_members = members.select(F.count(F.lit(1))).scalar()
-    n_nulls = keyset.select(k.alias(_KEY)).where(F.col(_KEY).isNull()).select(F.count(F.lit(1))).scalar()
+    stats = members.select(F.struct(F.count(F.lit(1)).alias("n"), F.count(_KEY).alias("nn")).alias("s")).scalar()
+    n, nn = stats.getField("n"), stats.getField("nn")
     # One expression on the key (no key-free conjunct that Catalyst could
     # propagate across the join into the key set's plan).
-    keep = F.when(n_nulls != 0, F.lit(False)).when(_col(key).isNull(), n_members == 0).otherwise(F.lit(True))
+    keep = F.when(n != nn, F.lit(False)).when(_col(key).isNull(), n == 0).otherwise(F.lit(True))
     return df.where(keep).join(members, _col(key).eqNullSafe(F.col(_KEY)), "left_anti")
 
 
