@@ -66,8 +66,10 @@ def latam_rule(period: Period) -> Column:
             & ~F.col("status").isin(*R.LATAM_EXCLUDED_STATUSES))
 
 
-def _count(df: DataFrame) -> Column:
-    return df.select(F.count(F.lit(1))).scalar()
+def _counts(df: DataFrame, col: str) -> tuple[Column, Column]:
+    """One-row scalar subquery: (rows, rows whose ``col`` is NULL)."""
+    s = df.select(F.struct(F.count(F.lit(1)).alias("n"), F.count(col).alias("nn")).alias("s")).scalar()
+    return s.getField("n"), s.getField("n") - s.getField("nn")
 
 
 def payout_snapshot(history: DataFrame, current: DataFrame, manual_voids: DataFrame,
@@ -85,9 +87,9 @@ def payout_snapshot(history: DataFrame, current: DataFrame, manual_voids: DataFr
     The BRL/ARS family's ``payout_id NOT IN (payouts ever wired)`` tests the
     ranking key against a set made of whole groups of the same aggregate, so
     membership is the row's own wired flag; the set's NULL / empty cases come
-    from two one-row counts whose filters reach the scan. The manual-void
+    from one one-row count whose filter reaches the scan. The manual-void
     NOT IN is a flag join against that (small) table plus its own NULL /
-    empty counts. Current payouts are anti-joined against the distinct log
+    empty count. Current payouts are anti-joined against the distinct log
     ids (one narrow column).
 
     The UNION's duplicate removal is exact without a shuffle of the
@@ -104,9 +106,7 @@ def payout_snapshot(history: DataFrame, current: DataFrame, manual_voids: DataFr
         F.max(F.when(F.col("status") == R.WIRE_STATUS, 1).otherwise(0)).alias("_wired"))
 
     pid = F.col("payout_id")
-    wired = history.where(F.col("status") == R.WIRE_STATUS)
-    n_wired = _count(wired)
-    n_wired_null = _count(wired.where(pid.isNull()))
+    n_wired, n_wired_null = _counts(history.where(F.col("status") == R.WIRE_STATUS), "payout_id")
     not_wired = (n_wired_null == 0) & ((n_wired == 0) | (pid.isNotNull() & (F.col("_wired") == 0)))
     latam_ok = (F.col("_latam").isNotNull() & ~F.col("_latam").eqNullSafe(F.col("_matrix")) & not_wired)
     rows = per_payout.select(pid, F.explode(F.array(
@@ -116,8 +116,7 @@ def payout_snapshot(history: DataFrame, current: DataFrame, manual_voids: DataFr
                .where(F.col("_v").isNotNull())
 
     void_ids = manual_voids.select(F.col("payout_id").alias("_void"))
-    n_voids = _count(void_ids)
-    n_void_null = _count(void_ids.where(F.col("_void").isNull()))
+    n_voids, n_void_null = _counts(void_ids, "_void")
     rows = exists_flag(rows, "payout_id", void_ids, "_voided", "_void")
     not_void = (n_void_null == 0) & ((n_voids == 0) | (pid.isNotNull() & ~F.col("_voided")))
     logged = rows.where(F.col("_is_matrix") | not_void).select(
