@@ -1,12 +1,13 @@
-"""Encoding of texts by way of their distinct chunks.
-
-Byte-level BPE encodes each match of its split pattern by itself, and a match
-never spans the border in front of a space that is followed by a non-space: in
-a run of white space all but the last character form one match, and that last
-one, if it is a space, opens the next. So a text may be cut in front of such
-spaces and each piece encoded alone, with the same ids as the whole text. Most
-pieces are single words that come again and again, which a bounded dictionary
-of the worker remembers; only new pieces reach the encoder, in batches.
+"""Encoding of texts by way of their distinct pieces.
+
+Byte-level BPE encodes each match of its split pattern by itself, so a text may
+be cut wherever a match must end, and each piece encoded alone, with the same
+ids as the whole text. Such places are: in front of a space that a non-space
+follows (of a run of white space all but the last character form one match,
+and that last one, if it is a space, opens the next), on both sides of a single
+line end between non-spaces, and in front of a full stop or comma that follows
+a letter or digit. Most pieces are words that come again and again; a bounded
+dictionary of the worker remembers them, and only new pieces reach the encoder.
 """
 
 from __future__ import annotations
@@ -14,8 +15,15 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable, Iterator
 
-CUT = re.compile(r"(?<=.)(?= \S)", re.S)
-RUN = re.compile(r" (?:\s|\Z)")  # a space that does not open a word
+# Texts in which a space, line end, full stop or comma stands elsewhere than described.
+ODD = re.compile(r"\s[\s\x85]|\s\Z|\A\s|[^A-Za-z0-9\xc0-\xd6\xd8-\xf6\xf8-\xff][.,]|\0|\x85")
+CUT = re.compile(r"(?<=.)(?= [^\s\x85])", re.S)
+
+
+def pieces_of(text: str) -> list[str]:
+    if ODD.search(text):
+        return CUT.split(text)
+    return (text.replace(" ", "\0 ").replace("\n", "\0\n\0").replace(".", "\0.").replace(",", "\0,")).split("\0")
 
 
 class ChunkEncoder:
@@ -25,7 +33,7 @@ class ChunkEncoder:
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 400_000):
         self.encode, self.limit = encode, limit
-        self.after_space: dict[str, bytes] = {}  # word -> ids of " " + word
+        self.known: dict[str, bytes] = {}
 
     def __call__(self, texts: Iterable[str], budget: int = 4_000_000) -> Iterator[bytes]:
         """Ids of each text, as bytes; texts are taken in groups of about ``budget`` characters."""
@@ -40,28 +48,11 @@ class ChunkEncoder:
             yield from self._group(group)
 
     def _group(self, texts: list[str]) -> Iterator[bytes]:
-        if len(self.after_space) > self.limit:
-            self.after_space.clear()
-        known, plain, odd = self.after_space, [], []
-        new: dict[str, None] = {}
-        heads: dict[str, bytes] = {}
-        for k, t in enumerate(texts):
-            head, *words = t.split(" ")
-            missing = [w for w in words if w not in known]
-            if RUN.search(t):
-                odd.append(k)
-                heads.update(dict.fromkeys(CUT.split(t)))
-            else:
-                heads[head] = b""
-                new.update(dict.fromkeys(missing))
-            plain.append((head, words))
-        todo = [*heads, *(" " + w for w in new)]
-        ids = self.encode(todo) if todo else []
-        heads = dict(zip(heads, ids))
-        known.update(zip(new, ids[len(heads):]))
-        odd = set(odd)
-        for k, (head, words) in enumerate(plain):
-            if k in odd:
-                yield b"".join(map(heads.__getitem__, CUT.split(texts[k])))
-            else:
-                yield heads[head] + b"".join(map(known.__getitem__, words))
+        if len(self.known) > self.limit:
+            self.known.clear()
+        known, cut = self.known, [pieces_of(t) for t in texts]
+        new = list(dict.fromkeys(p for pieces in cut for p in pieces if p not in known))
+        if new:
+            known.update(zip(new, self.encode(new)))
+        for pieces in cut:
+            yield b"".join(map(known.__getitem__, pieces))

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from settlebook.llm.scratch import table
+from settlebook.llm.scratch import Scratch, table
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,8 +23,15 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per piece: its ids' place in its document, their checksum, and its place in a sequence."""
+    from settlebook.llm.packing import pack, token_pieces
+    pieces = token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pack(pieces, Scratch(spark, "op9"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_bpe,)}
+    return {f.__name__: f for f in (op2_bpe, op9_packing)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -8,12 +8,18 @@ freezes generated row ids, and gives column pruning to later readers.
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@functools.cache
+def _own_dir() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="settlebook-llm-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The session's ``spark.checkpoint.dir``; a local session without the
     setting (tests, a laptop) gets a folder of its own, a cluster session
@@ -22,8 +28,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not path:
         if not spark.conf.get("spark.master", "local").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        path = "file://" + tempfile.mkdtemp(prefix="settlebook-llm-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        path = _own_dir()
     return path.rstrip("/")
 
 
