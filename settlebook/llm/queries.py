@@ -23,6 +23,12 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per page: its main text and the number of its code points."""
+    from settlebook.llm.html import extract
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per piece: its ids' place in its document, their checksum, and its place in a sequence."""
     from settlebook.llm.packing import pack, token_pieces
@@ -31,7 +37,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_bpe, op9_packing)}
+    return {f.__name__: f for f in (op2_bpe, op3_html, op9_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
