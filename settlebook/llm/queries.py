@@ -29,6 +29,20 @@ def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per page: length, digest and kind of its record, as read back from the archive."""
+    from settlebook.llm import warc
+    scratch = Scratch(spark, "op4")
+    path, run = warc.write(table(spark, sf_dir, "pages"), scratch)
+    return warc.read(scratch, path, run).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op6_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: the document that stays for its text, the size of its group, its digest."""
+    from settlebook.llm.exact import dedup
+    return dedup(table(spark, sf_dir, "documents"), Scratch(spark, "op6")).drop("rid")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per piece: its ids' place in its document, their checksum, and its place in a sequence."""
     from settlebook.llm.packing import pack, token_pieces
@@ -37,8 +51,24 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_bpe, op3_html, op9_packing)}
+    return {f.__name__: f for f in (op2_bpe, op3_html, op4_warc, op6_exact, op9_packing)}
+
+
+OP4_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+m AS (SELECT payload_digest, max(page_id) AS original FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND original <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND original <> page_id THEN original END AS refers_to
+FROM p LEFT JOIN m USING (payload_digest)
+"""
+
+OP6_SQL = r"""
+WITH n AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, text_sha256
+FROM n WINDOW w AS (PARTITION BY text_sha256)
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_warc": OP4_SQL, "op6_exact": OP6_SQL}
