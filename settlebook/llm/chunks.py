@@ -15,13 +15,14 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable, Iterator
 
-# Texts in which a space, line end, full stop or comma stands elsewhere than described.
-ODD = re.compile(r"\s[\s\x85]|\s\Z|\A\s|[^A-Za-z0-9\xc0-\xd6\xd8-\xf6\xf8-\xff][.,]|\0|\x85")
+RARE = re.compile(r"[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\0]").search
+LOOSE = re.compile(r"[.,](?<![A-Za-z0-9\xc0-\xd6\xd8-\xf6\xf8-\xff].)").search
 CUT = re.compile(r"(?<=.)(?= [^\s\x85])", re.S)
 
 
 def pieces_of(text: str) -> list[str]:
-    if ODD.search(text):
+    if ("  " in text or "\n " in text or " \n" in text or "\n\n" in text or text[:1].isspace() or text[-1:].isspace()
+            or LOOSE(text) or RARE(text)):  # one of these stands elsewhere than described
         return CUT.split(text)
     return (text.replace(" ", "\0 ").replace("\n", "\0\n\0").replace(".", "\0.").replace(",", "\0,")).split("\0")
 
@@ -51,7 +52,7 @@ class ChunkEncoder:
         if len(self.known) > self.limit:
             self.known.clear()
         known, cut = self.known, [pieces_of(t) for t in texts]
-        new = list(dict.fromkeys(p for pieces in cut for p in pieces if p not in known))
+        new = list(set().union(*cut).difference(known))
         if new:
             known.update(zip(new, self.encode(new)))
         for pieces in cut:

@@ -22,6 +22,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from itertools import groupby
+from struct import pack as pack_ids
 
 import numpy as np
 import pyarrow as pa
@@ -41,9 +42,10 @@ def _encoder(path: str) -> ChunkEncoder:
         tok.encode_special_tokens = True  # their strings in a text are ordinary text
 
         def encode(pieces: list[str]) -> list[bytes]:
-            return [np.array(e.ids, dtype="<u4").tobytes() for e in tok.encode_batch_fast(pieces, add_special_tokens=False)]
+            return [pack_ids("<%dI" % len(ids), *ids) for ids in
+                    (e.ids for e in tok.encode_batch_fast(pieces, add_special_tokens=False))]
 
-        _ENCODERS[path] = ChunkEncoder(encode)
+        _ENCODERS[path] = ChunkEncoder(encode, limit=1_000_000)
     return _ENCODERS[path]
 
 

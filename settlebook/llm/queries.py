@@ -6,6 +6,8 @@ parameters and returns the columns its contract names.
 
 from __future__ import annotations
 
+import re
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +39,13 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(scratch, path, run).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: base counts, the base verdict and the verdict of all rules."""
+    from settlebook.llm.quality import judge
+    return judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op6_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: the document that stays for its text, the size of its group, its digest."""
     from settlebook.llm.exact import dedup
@@ -51,7 +60,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_bpe, op3_html, op4_warc, op6_exact, op9_packing)}
+    return {f.__name__: f for f in (op2_bpe, op3_html, op4_warc, op5_quality, op6_exact, op9_packing)}
 
 
 OP4_SQL = """
@@ -63,6 +72,34 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
 FROM p LEFT JOIN m USING (payload_digest)
 """
 
+OP5_SQL = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM documents),
+windows AS (SELECT doc_id, i, list_slice(w, i, i + 7) AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM t)),
+repeated AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM windows),
+covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM (SELECT doc_id, i, unnest(range(8)) AS k FROM repeated WHERE c > 1)
+            GROUP BY doc_id),
+m AS (
+  SELECT t.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+         length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         length(t) - length(replace(t, '!', '')) AS n_exclamations, len(l) AS n_lines,
+         len(l) - len(list_distinct(l)) AS n_dup_lines,
+         len(list_filter(l, lambda x: regexp_matches(x, '^\s*[•▪◦*\-–]\s'))) AS n_bullet_lines,
+         len(list_filter(l, lambda x: regexp_matches(x, '(?:\.\.\.|…)\s*$'))) AS n_cut_lines,
+         len(list_filter(w, lambda x: regexp_matches(x, '\p{L}'))) AS n_letter_words,
+         len(list_filter(w, lambda x: regexp_matches(lower(x), '^(?:STOP_WORDS)(?:[.,;:!?]|$)'))) AS n_stop_words,
+         coalesce(c.n, 0) AS n_repeat_words
+  FROM t LEFT JOIN covered c USING (doc_id)),
+f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+       CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+       CASE WHEN base_failed THEN false ELSE VERDICT END AS kept
+FROM f
+"""
+
 OP6_SQL = r"""
 WITH n AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, text_sha256
@@ -71,4 +108,6 @@ FROM n WINDOW w AS (PARTITION BY text_sha256)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_warc": OP4_SQL, "op6_exact": OP6_SQL}
+    from settlebook.llm.quality import STOP_WORDS, verdict
+    op5 = OP5_SQL.replace("STOP_WORDS", "|".join(STOP_WORDS)).replace("VERDICT", re.sub(r"(?<=[0-9])D\b", "", verdict()))
+    return {"op4_warc": OP4_SQL, "op5_quality": op5, "op6_exact": OP6_SQL}
