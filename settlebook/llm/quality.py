@@ -44,7 +44,7 @@ RULES = (
     Rule("shouting", "n_exclamations / n_words", most=0.5),
     Rule("letters", "n_letter_words / n_words", least=0.6),
     Rule("stop_words", "n_stop_words / n_words", least=0.004, words=100),
-    Rule("repeated_lines", "n_dup_lines / greatest(n_lines, 1)", most=0.3, words=20),
+    Rule("repeated_lines", "n_dup_lines / greatest(n_lines, 1)", most=0.5, words=20),
     Rule("bullet_lines", "n_bullet_lines / greatest(n_lines, 1)", most=0.9, words=20),
     Rule("cut_lines", "n_cut_lines / greatest(n_lines, 1)", most=0.3, words=20),
 )

@@ -59,8 +59,16 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(pieces, Scratch(spark, "op9"))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: predicted language and its score, and whether the document was held out."""
+    from settlebook.llm.langid import fit, predict
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return predict(docs, fit(docs)).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_bpe, op3_html, op4_warc, op5_quality, op6_exact, op9_packing)}
+    return {f.__name__: f for f in (op2_bpe, op3_html, op4_warc, op5_quality, op6_exact, op9_packing, op10_language)}
 
 
 OP4_SQL = """
