@@ -52,6 +52,20 @@ def op6_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(table(spark, sf_dir, "documents"), Scratch(spark, "op6")).drop("rid")
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: counts and digest of the base spans, and all spans."""
+    from settlebook.llm.pii import BASE, KINDS, described, find
+    found = find(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s.base)
+
+    def count(k: str):
+        return F.size(F.filter("base", lambda s: s.kind == KINDS.index(k))).cast("long").alias(f"n_{k}")
+
+    counts = [count(k) for k in BASE]
+    return found.withColumn("base", base).select("doc_id", *counts, F.sha2(described(F.col("base")), 256).alias("base_sha256"),
+                                                 described(F.col("spans")).alias("spans"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per piece: its ids' place in its document, their checksum, and its place in a sequence."""
     from settlebook.llm.packing import pack, token_pieces
@@ -68,7 +82,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_bpe, op3_html, op4_warc, op5_quality, op6_exact, op9_packing, op10_language)}
+    return {f.__name__: f for f in (op2_bpe, op3_html, op4_warc, op5_quality, op6_exact, op8_pii, op9_packing, op10_language)}
 
 
 OP4_SQL = """
