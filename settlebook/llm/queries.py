@@ -15,6 +15,12 @@ from pyspark.sql import functions as F
 from settlebook.llm.scratch import Scratch, table
 
 
+def op1_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: size of its shingle set, its component, whether it stays."""
+    from settlebook.llm.near import link
+    return link(table(spark, sf_dir, "documents"), Scratch(spark, "op1")).drop("th")
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: number of ids, SHA-256 of the ids and of the decoded bytes."""
     from settlebook.llm.bpe import encode_decode
@@ -82,7 +88,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_bpe, op3_html, op4_warc, op5_quality, op6_exact, op8_pii, op9_packing, op10_language)}
+    return {f.__name__: f for f in (op1_near, op2_bpe, op3_html, op4_warc, op5_quality, op6_exact, op8_pii, op9_packing, op10_language)}
 
 
 OP4_SQL = """
