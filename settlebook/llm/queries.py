@@ -58,6 +58,12 @@ def op6_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(table(spark, sf_dir, "documents"), Scratch(spark, "op6")).drop("rid")
 
 
+def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: number of words, of removed words, and a digest of the kept ones."""
+    from settlebook.llm.substring import dedup
+    return dedup(table(spark, sf_dir, "documents"), Scratch(spark, "op7")).drop("spans")
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: counts and digest of the base spans, and all spans."""
     from settlebook.llm.pii import BASE, KINDS, described, find
@@ -88,7 +94,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_near, op2_bpe, op3_html, op4_warc, op5_quality, op6_exact, op8_pii, op9_packing, op10_language)}
+    return {f.__name__: f for f in (op1_near, op2_bpe, op3_html, op4_warc, op5_quality, op6_exact, op7_substring, op8_pii, op9_packing, op10_language)}
 
 
 OP4_SQL = """

@@ -60,15 +60,26 @@ def word_hashes(data: bytes) -> np.ndarray:
 
 
 def runs(words: np.ndarray, size: int) -> np.ndarray:
-    """A hash per window of ``size`` consecutive words."""
+    """A hash per window of ``size`` consecutive words: a polynomial in their
+    hashes, put together from windows of 1, 2, 4, ... words."""
     n = len(words) - size + 1
     if n <= 0:
         return np.empty(0, np.uint64)
-    with np.errstate(over="ignore"):
-        out = np.zeros(n, np.uint64)
-        for i in range(size):
-            out = out * np.uint64(0xF1357AEA2E62A9C5) + words[i:i + n]
-    return mix(out + np.uint64(size))
+    power, width, step = 0xF1357AEA2E62A9C5, 1, words  # step: windows of ``width`` words; power: base ** width
+    out, done, left = None, 0, size
+    while True:
+        if left & 1:
+            if out is None:
+                out = step.copy()
+            else:
+                m = len(words) - done - width + 1
+                out = out[:m] * np.uint64(power) + step[done:done + m]
+            done += width
+        left >>= 1
+        if not left:
+            return mix(out[:n] + np.uint64(size))
+        step = step[:-width] * np.uint64(power) + step[width:]
+        power, width = power * power % 2**64, 2 * width
 
 
 def shingles(data: bytes, size: int) -> np.ndarray:
