@@ -248,10 +248,11 @@ def redact(docs: DataFrame, row: str, key: str = "doc_id", text: str = "text") -
     ``row`` identifies rows. Base spans of different kinds may overlap; a span
     that starts inside the one before only adds what lies beyond it.
     """
-    spans = find(docs, key, text, row).where(F.size("spans") > 0).select(F.col("rid").alias("_rid"), "spans")
-    joined = docs.join(spans, F.col(row) == F.col("_rid"), "left")
+    rid, found = "_settlebook_rid", "_settlebook_spans"  # names that no input column has
+    spans = find(docs, key, text, row).where(F.size("spans") > 0).select(F.col("rid").alias(rid), F.col("spans").alias(found))
+    joined = docs.join(spans, F.col(row) == F.col(rid), "left")
     names = F.array(*map(F.lit, KINDS))
-    by_place = F.array_sort(F.transform("spans", lambda s: F.struct(s.start, s.end, s.kind)))
+    by_place = F.array_sort(F.transform(found, lambda s: F.struct(s.start, s.end, s.kind)))
     # every span brings the text between it and the furthest end so far
     parts = F.aggregate(
         by_place, F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out")),
@@ -259,5 +260,5 @@ def redact(docs: DataFrame, row: str, key: str = "doc_id", text: str = "text") -
             F.when(s["start"] >= a["at"], F.concat(F.substring(F.col(text), (a["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int")),
                                                    F.lit("["), F.upper(F.get(names, s["kind"])), F.lit("]"))).otherwise(F.lit("")))).alias("out")),
         lambda a: F.concat(F.array_join(a["out"], ""), F.substring(F.col(text), (a["at"] + 1).cast("int"), F.length(text))))
-    redacted = F.when(F.col("spans").isNull(), F.col(text)).otherwise(parts)
-    return joined.withColumn(text, redacted).drop("spans", "_rid")
+    redacted = F.when(F.col(found).isNull(), F.col(text)).otherwise(parts)
+    return joined.withColumn(text, redacted).drop(found, rid)
