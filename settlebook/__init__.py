@@ -9,7 +9,6 @@ sources/    table loading and the adapters that derive the settlement-shaped
             tables from the driver's parquet tables
 plans/      the settlement steps (net sales, payouts, charges, balance) and the
             period close that chains them
-streaming/  nothing: every computation is a batch over a fixed cutoff
 oracle/     DuckDB SQL used as an independent correctness oracle
 """
 

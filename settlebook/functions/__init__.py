@@ -1,5 +1,5 @@
 from settlebook.functions.money import (  # noqa: F401
-    MONEY, TOTAL, cents_to_units, dec_lit, decimals_to_double, money, round2,
+    MONEY, TOTAL, cents_to_units, dec_lit, decimals_to_double, money,
 )
 from settlebook.functions.timez import (  # noqa: F401
     LOCAL_TZ, effective_before, effective_local, floor_second, local_at_or_after,

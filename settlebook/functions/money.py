@@ -32,10 +32,6 @@ def cents_to_units(c) -> Column:
     return (col_of(c).cast(T.DecimalType(38, 0)) / F.lit(100)).cast(TOTAL)
 
 
-def round2(c) -> Column:
-    return F.round(col_of(c), 2)
-
-
 def decimals_to_double(df: DataFrame) -> DataFrame:
     """Cast every DECIMAL column to DOUBLE (exact values rounded once at the end)."""
     out = []

@@ -20,7 +20,7 @@ def _key_column(keyset: DataFrame, key_col) -> Column:
     return _col(key_col)
 
 
-def not_in(df: DataFrame, key, keyset: DataFrame, key_col=None) -> DataFrame:
+def not_in(df: DataFrame, key, keyset: DataFrame, key_col=None, keys_unique: bool = False) -> DataFrame:
     """Rows of ``df`` where ``key NOT IN (SELECT key_col FROM keyset)``, with
     SQL's three-valued semantics:
 
@@ -29,28 +29,26 @@ def not_in(df: DataFrame, key, keyset: DataFrame, key_col=None) -> DataFrame:
     * otherwise: rows whose key is not NULL and not in the set.
 
     Spark's own null-aware anti join always broadcasts the set, whatever its
-    size. Here membership is an ordinary anti join against the distinct keys
-    (a partial aggregate, so duplicates are folded map-side), which the
-    planner runs as a shuffle join unless AQE measures the set as small. One
-    one-row scalar subquery over the same distinct keys (so it reuses the
-    join side's shuffle) settles the NULL cases: ``count(*)`` is 0 for an
-    empty set, and ``count(*) != count(key)`` when the set holds a NULL.
-
-    The join matches with ``<=>`` and keeps a NULL key in the set: with the
-    guard below that changes no result (a NULL in the set keeps nothing; a
-    NULL left key is decided by the guard, not by the join), and unlike ``=``
-    it makes Spark infer no ``IS NOT NULL`` on the set, which would otherwise
-    be pushed into the plan that produces the set and stop it from sharing a
-    shuffle with other users of that plan.
+    size. Here membership is an ordinary anti join with ``=`` (so both sides
+    can reuse a partitioning by the key), which the planner runs as a shuffle
+    join unless AQE measures the set as small. The keys are folded by a
+    partial aggregate first; a set that is unique already (``keys_unique``)
+    is joined as it is, so that both inputs are plain shuffles and AQE can
+    split a hot key of ``df``.
+
+    One one-row scalar subquery over the key column alone (a narrow scan)
+    settles the NULL cases: ``count(*)`` is 0 for an empty set, and
+    ``count(*) != count(key)`` when the set holds a NULL.
     """
     k = _key_column(keyset, key_col)
-    members = keyset.select(k.alias(_KEY)).distinct()
-    stats = members.select(F.struct(F.count(F.lit(1)).alias("n"), F.count(_KEY).alias("nn")).alias("s")).scalar()
+    keys = keyset.select(k.alias(_KEY))
+    stats = keys.select(F.struct(F.count(F.lit(1)).alias("n"), F.count(_KEY).alias("nn")).alias("s")).scalar()
     n, nn = stats.getField("n"), stats.getField("nn")
     # One expression on the key (no key-free conjunct that Catalyst could
     # propagate across the join into the key set's plan).
     keep = F.when(n != nn, F.lit(False)).when(_col(key).isNull(), n == 0).otherwise(F.lit(True))
-    return df.where(keep).join(members, _col(key).eqNullSafe(F.col(_KEY)), "left_anti")
+    members = keys if keys_unique else keys.distinct()
+    return df.where(keep).join(members, _col(key) == F.col(_KEY), "left_anti")
 
 
 def exists_flag(df: DataFrame, key, keyset: DataFrame, name: str, key_col=None,

@@ -1,4 +1,4 @@
-"""The month-end close: every step chained, with optional stage checkpoints.
+"""The month-end close: every step chained, with stages written on request.
 
 DAG::
 
@@ -7,15 +7,16 @@ DAG::
     history ──┘                                  ├─ payout_level ─ event_level ─ balance
                            payout_snapshot ──────┘        charge_snapshot ┘
 
-Each step is a lazy DataFrame. With ``checkpoint=True`` the three wide
-intermediate results (net sales, payout snapshot, payout level) are written
-with ``DataFrame.checkpoint()`` to the session's ``spark.checkpoint.dir``
-(shared storage on a cluster): that cuts lineage, so a lost executor
-recomputes at most one stage instead of the whole close.
+Each step is a lazy DataFrame. With a ``store`` (see
+``settlebook.sources.warehouse.StageStore``) every stage that it keeps is
+written once and read back before the next stage uses it: a stage is computed
+once however many later stages read it, lineage is cut at a table that any
+executor can read again, and a later run can go on from the tables.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from typing import TYPE_CHECKING
 
@@ -47,24 +48,26 @@ class Close:
     balance: DataFrame
 
 
-def _stage(df: DataFrame, checkpoint: bool) -> DataFrame:
-    if not checkpoint:
-        return df
-    from settlebook.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+STAGES = ("itemized", "history", "merged", "parented", "net_sales", "payout_snapshot", "payout_level",
+          "charge_snapshot", "event_level", "balance")
 
+Store = Callable[[str, Callable[[], DataFrame]], DataFrame]
 
-def close_period(x: "SettlementInputs", period: Period, checkpoint: bool = False) -> Close:
-    itemized = itemized_net_sales(x.order_itemizations, x.orders, x.events, x.users, x.event_exclusions,
-                                  x.prior_event_level, x.transfer_orders, period)
-    history = history_net_sales(x.history_orders, x.orders, x.events, x.users, x.transfer_orders, period)
-    merged = merge_net_sales(itemized, history)
-    parented = with_parent(merged, x.events)
-    net_sales = _stage(apply_payment_options(parented, x.history_payment_options, period), checkpoint)
-    snapshot = _stage(payout_snapshot(x.history_payouts, x.payouts, x.manual_voids, period), checkpoint)
-    payout_level = _stage(payout_buckets(net_sales, snapshot), checkpoint)
-    charges = charge_snapshot(x.invoice_charges, period)
-    event_level = charge_buckets(payout_level, charges, x.wire_in_events, period)
-    return Close(itemized, history, merged, parented, net_sales, snapshot, payout_level, charges,
-                 event_level, balance(event_level))
+
+def close_period(x: "SettlementInputs", period: Period, store: Store | None = None) -> Close:
+    """The stages in order; ``store(name, make)`` returns the stage to go on
+    from (by default ``make()`` itself, a lazy plan)."""
+    keep: Store = store or (lambda name, make: make())
+    itemized = keep("itemized", lambda: itemized_net_sales(
+        x.order_itemizations, x.orders, x.events, x.users, x.event_exclusions, x.prior_event_level, x.transfer_orders, period))
+    history = keep("history", lambda: history_net_sales(
+        x.history_orders, x.orders, x.events, x.users, x.transfer_orders, period))
+    merged = keep("merged", lambda: merge_net_sales(itemized, history))
+    parented = keep("parented", lambda: with_parent(merged, x.events))
+    net_sales = keep("net_sales", lambda: apply_payment_options(parented, x.history_payment_options, period))
+    snapshot = keep("payout_snapshot", lambda: payout_snapshot(x.history_payouts, x.payouts, x.manual_voids, period))
+    payout_level = keep("payout_level", lambda: payout_buckets(net_sales, snapshot))
+    charges = keep("charge_snapshot", lambda: charge_snapshot(x.invoice_charges, period))
+    event_level = keep("event_level", lambda: charge_buckets(payout_level, charges, x.wire_in_events, period))
+    owed = keep("balance", lambda: balance(event_level))
+    return Close(itemized, history, merged, parented, net_sales, snapshot, payout_level, charges, event_level, owed)

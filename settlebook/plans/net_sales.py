@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from settlebook.functions.money import cents_to_units
 from settlebook.functions.timez import local_at_or_after, local_before, ts_lit
 from settlebook.operators import (
-    duplicated_keys, exists_flag, full_merge, latest_as_of, newest, not_in, union_distinct,
+    duplicated_keys, exists_flag, full_merge, latest_as_of, newest, not_in,
 )
 from settlebook.plans import rules as R
 from settlebook.plans.period import Period
@@ -84,55 +84,34 @@ def itemized_net_sales(items: DataFrame, orders: DataFrame, events: DataFrame, u
 _VERSION_PAYLOAD = ("status", "event_id", "currency", "gross", "mg_fee", "payment_type")
 
 
-def order_log_latest(history: DataFrame, events: DataFrame, transfers: DataFrame | None, period: Period,
-                     local: bool) -> DataFrame:
-    """Per order of the change log, in one pass over the log:
-
-    * ``_all``: the newest qualifying version (what the current-orders branch
-      excludes);
-    * ``_ev``: the newest qualifying version among versions whose event
-      exists (what the log branch sums).
-
-    Qualifying: changed on/after ``history_from``, a net-sales payment type,
-    a kept status, and changed before ``history_split`` unless the order is a
-    transfer. Both are NULL-free structs ``(changed, log_position, status,
-    event_id, currency, gross, mg_fee, payment_type)`` or NULL.
-
-    Plan: versions are folded per (order, event) with a partial aggregate —
-    the only shuffle at the size of the log, and a hot order or event is cut
-    down map-side. Event existence is then looked up per (order, event) pair,
-    versions are folded per order, and transfer membership (a property of
-    the order, so it commutes with ranking within an order) picks between the
-    before-split and the any-time variant.
-    """
+def _qualifying(history: DataFrame, transfers: DataFrame | None, period: Period, local: bool) -> DataFrame:
+    """Log versions that may represent an order: changed on/after
+    ``history_from``, a net-sales payment type, a kept status, and changed
+    before ``history_split`` unless the order is a transfer. Later versions
+    count for transfers alone, so only those of transfer orders (a semi join
+    on the later part of the log) go on."""
     c = F.col("changed")
     if local:
         start = local_at_or_after(c, period.history_from, period.tz)
         before_split = local_before(c, period.history_split, period.tz)
+        after_split = local_at_or_after(c, period.history_split, period.tz)
     else:
         start = c >= ts_lit(period.history_from)
         before_split = c < ts_lit(period.history_split)
+        after_split = c >= ts_lit(period.history_split)
     rows = history.where(start & F.col("payment_type").isin(*R.NET_SALES_PAYMENT_TYPES)
                          & F.col("status").isin(*R.ORDER_STATUSES_KEPT))
+    early = rows.where(before_split)
     if transfers is None:
-        rows = rows.where(before_split)
-    variants = {"_any": None} if transfers is None else {"_any": None, "_pre": before_split}
-    per_event = rows.groupBy("order_id", "event_id").agg(
-        *[newest(NEWEST_FIRST, _VERSION_PAYLOAD, among).alias(v) for v, among in variants.items()])
-    per_event = exists_flag(per_event, "event_id", events.select("id"), "_known_event", "id", keys_unique=True)
-    known = F.col("_known_event")
-    per_order = per_event.groupBy("order_id").agg(
-        *[F.max(v).alias(f"{v}_all") for v in variants],
-        *[F.max(F.when(known, F.col(v))).alias(f"{v}_ev") for v in variants])
-    if transfers is None:
-        return per_order.select("order_id", F.col("_any_all").alias("_all"), F.col("_any_ev").alias("_ev"))
-    per_order = exists_flag(per_order, "order_id", transfers, "_transfer", "order_id")
-    pick = lambda kind: F.when(F.col("_transfer"), F.col(f"_any_{kind}")).otherwise(F.col(f"_pre_{kind}"))
-    return per_order.select("order_id", pick("all").alias("_all"), pick("ev").alias("_ev"))
+        return early
+    t = transfers.select(F.col("order_id").alias("_t_id"))
+    return early.unionByName(rows.where(after_split).join(t, F.col("order_id") == F.col("_t_id"), "left_semi"))
 
 
-def _paid(latest: DataFrame, which: str) -> DataFrame:
-    return latest.where(F.col(f"{which}.status") == R.ORDER_STATUS_PAID)
+def _newest_per_event(rows: DataFrame) -> DataFrame:
+    """Versions folded per (order, event) with a partial aggregate: the only
+    shuffle at the size of the log; a hot order or event is cut down map-side."""
+    return rows.groupBy("order_id", "event_id").agg(newest(NEWEST_FIRST, _VERSION_PAYLOAD).alias("_v"))
 
 
 def _current_paid(orders: DataFrame, period: Period, local: bool) -> DataFrame:
@@ -146,13 +125,46 @@ def _is(pt: str) -> Column:
     return F.col("payment_type") == pt
 
 
-def _log_and_current(history, orders, events, transfers, period, local, measures):
-    latest = order_log_latest(history, events, transfers, period, local)
-    logged = _paid(latest, "_ev").select("_ev.*").groupBy("event_id", "currency").agg(*measures)
-    taken = _paid(latest, "_all").select("order_id")
-    current = not_in(_current_paid(orders, period, local), "id", taken, "order_id")
-    current = current.groupBy(F.col("event").alias("event_id"), "currency").agg(*measures)
-    return logged, current
+_SALE = ("event_id", "currency", "gross", "mg_fee", "payment_type")
+
+
+def _log_and_current(history, orders, events, transfers, period, local, measures) -> DataFrame:
+    """Sums per branch, event and currency (UNION of the branches, so equal
+    rows once): what the log says of each order, and current paid orders that
+    the log has not taken already.
+
+    An order of the log is summed if its newest qualifying version among those
+    of known events is paid; it is taken if its newest qualifying version of
+    all is. Current orders join the same per-order aggregate as the log's
+    versions, so "already taken" is a property of the order's own row: one
+    shuffle by order, with one consumer, and no anti join. SQL's NOT IN keeps
+    nothing if a taken order has no id; one scalar subquery over the log's
+    rows without an id (a pushed filter) looks for that. Current orders are
+    keyed by id; a row without one is never kept.
+    """
+    per_event = _newest_per_event(_qualifying(history, transfers, period, local))
+    per_event = exists_flag(per_event, "event_id", events.select("id"), "_known_event", "id", keys_unique=True)
+    sale = "struct<{}>".format(", ".join(f"{c}:{history.schema[c].dataType.simpleString()}" for c in _SALE))
+    versions = per_event.select("order_id", "_v", F.when(F.col("_known_event"), F.col("_v")).alias("_ev"), F.lit(None).cast(sale).alias("_cur"))
+    current = _current_paid(orders, period, local).where(F.col("id").isNotNull()).withColumn("event_id", F.col("event")).select(
+        F.col("id").alias("order_id"), *(F.lit(None).cast(versions.schema[c].dataType).alias(c) for c in ("_v", "_ev")),
+        F.struct(*_SALE).cast(sale).alias("_cur"))
+    per_order = versions.unionByName(current).groupBy("order_id").agg(
+        F.max("_v").alias("_all"), F.max("_ev").alias("_ev"), F.collect_list("_cur").alias("_cur"))
+    anonymous = _newest_per_event(_qualifying(history.where(F.col("order_id").isNull()), transfers, period, local))
+    taken_without_id = anonymous.agg(F.max("_v").alias("v")).select(
+        F.coalesce(F.col("v.status") == R.ORDER_STATUS_PAID, F.lit(False))).scalar()
+    taken = F.coalesce(F.col("_all.status") == R.ORDER_STATUS_PAID, F.lit(False))
+    none = F.array().cast(f"array<{sale}>")
+    logged = F.when(F.col("_ev.status") == R.ORDER_STATUS_PAID, F.array(F.struct(*(F.col(f"_ev.{c}") for c in _SALE)).cast(sale))).otherwise(none)
+    fresh = F.when(taken | F.col("_anonymous"), none).otherwise(F.col("_cur"))
+
+    def tagged(tag: str, rows: Column) -> Column:
+        return F.transform(rows, lambda r: F.struct(F.lit(tag).alias("branch"), r.alias("s")))
+
+    per_order = per_order.withColumn("_anonymous", taken_without_id)
+    sales = per_order.select(F.explode(F.concat(tagged("log", logged), tagged("current", fresh))).alias("x")).select("x.branch", "x.s.*")
+    return sales.groupBy("branch", "event_id", "currency").agg(*measures).drop("branch").distinct()
 
 
 def history_net_sales(history: DataFrame, orders: DataFrame, events: DataFrame, users: DataFrame,
@@ -165,11 +177,10 @@ def history_net_sales(history: DataFrame, orders: DataFrame, events: DataFrame,
         (-F.sum(F.when(_is(R.EPP_PAYMENT_TYPE), F.col("gross") - F.col("mg_fee")).otherwise(0))).alias("epp_net_sales"),
         F.sum(F.when(_is(R.OFFLINE_PAYMENT_TYPE), F.col("mg_fee")).otherwise(0)).alias("offline_net_sales"),
     ]
-    logged, current = _log_and_current(history, orders, events, transfers, period, True, measures)
+    both = _log_and_current(history, orders, events, transfers, period, True, measures)
     # Attributes are functions of the event, so the distinct union, the
     # non-zero filter and the re-aggregation run on (event_id, currency); one
     # inner lookup at the end also drops current orders of unknown events.
-    both = union_distinct(logged, current)
     both = both.where((F.col("epp_net_sales") != 0) | (F.col("offline_net_sales") != 0))
     both = both.groupBy("event_id", "currency").agg(F.round(F.sum("epp_net_sales"), 2).alias("epp_net_sales"),
                                                     F.round(F.sum("offline_net_sales"), 2).alias("offline_net_sales"))
@@ -183,8 +194,7 @@ def combined_net_sales(history: DataFrame, orders: DataFrame, events: DataFrame,
     currency): raw timestamps, no users, no transfer exception."""
     measure = F.sum(F.when(_is(R.EPP_PAYMENT_TYPE), F.col("gross") - F.col("mg_fee"))
                      .otherwise(-F.col("mg_fee"))).alias("net_sales")
-    logged, current = _log_and_current(history, orders, events, None, period, False, [measure])
-    both = union_distinct(logged, current).where(F.col("net_sales") != 0)
+    both = _log_and_current(history, orders, events, None, period, False, [measure]).where(F.col("net_sales") != 0)
     both = both.groupBy("event_id", "currency").agg(F.sum("net_sales").alias("net_sales"))
     return _event_attributes(both, events, None, with_account=False).select(
         "event_id", "current_status", "org_uid", "currency", "net_sales")

@@ -78,8 +78,8 @@ def payout_snapshot(history: DataFrame, current: DataFrame, manual_voids: DataFr
     under each of the two rule families, plus current payouts the log never
     saw.
 
-    Plan: a single aggregate of the log per ``payout_id`` (partial, so a hot
-    payout is folded map-side) yields the newest version under the cutoff
+    Plan: a single aggregate per ``payout_id`` (partial, so a hot payout is
+    folded map-side) of the log rows that qualify for anything yields the newest version under the cutoff
     matrix, the newest under the BRL/ARS rule and whether the payout was ever
     wired; it has exactly one consumer, so the log is shuffled once at full
     width. Its row is exploded into one row per rule family.
@@ -89,8 +89,9 @@ def payout_snapshot(history: DataFrame, current: DataFrame, manual_voids: DataFr
     membership is the row's own wired flag; the set's NULL / empty cases come
     from one one-row count whose filter reaches the scan. The manual-void
     NOT IN is a flag join against that (small) table plus its own NULL /
-    empty count. Current payouts are anti-joined against the distinct log
-    ids (one narrow column).
+    empty count. Current payouts are anti-joined against the distinct ids of
+    the whole log (one narrow column): a payout that the log holds only in
+    versions that never qualify is known to it all the same.
 
     The UNION's duplicate removal is exact without a shuffle of the
     snapshot: log rows are unique per payout and family, a BRL/ARS row can
@@ -100,13 +101,17 @@ def payout_snapshot(history: DataFrame, current: DataFrame, manual_voids: DataFr
     """
     cols = [c for c in R.SNAPSHOT_COLUMNS if c != "source"]
     payload = [c for c in cols if c not in NEWEST_FIRST and c != "payout_id"]
-    per_payout = history.groupBy("payout_id").agg(
+    # Rows that no aggregate below looks at cannot change it: dropped at the
+    # scan, before they are sorted and shuffled at full width.
+    wired = F.col("status") == R.WIRE_STATUS
+    matters = history.where(cutoff_matrix(period) | latam_rule(period) | wired)
+    per_payout = matters.groupBy("payout_id").agg(
         newest(NEWEST_FIRST, payload, cutoff_matrix(period)).alias("_matrix"),
         newest(NEWEST_FIRST, payload, latam_rule(period)).alias("_latam"),
-        F.max(F.when(F.col("status") == R.WIRE_STATUS, 1).otherwise(0)).alias("_wired"))
+        F.max(F.when(wired, 1).otherwise(0)).alias("_wired"))
 
     pid = F.col("payout_id")
-    n_wired, n_wired_null = _counts(history.where(F.col("status") == R.WIRE_STATUS), "payout_id")
+    n_wired, n_wired_null = _counts(history.where(wired), "payout_id")
     not_wired = (n_wired_null == 0) & ((n_wired == 0) | (pid.isNotNull() & (F.col("_wired") == 0)))
     latam_ok = (F.col("_latam").isNotNull() & ~F.col("_latam").eqNullSafe(F.col("_matrix")) & not_wired)
     rows = per_payout.select(pid, F.explode(F.array(

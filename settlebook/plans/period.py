@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
+import tomllib
+from dataclasses import dataclass, field, fields
+from datetime import datetime
 
 from settlebook.functions.timez import LOCAL_TZ
 from settlebook.plans import rules as R
@@ -41,6 +44,58 @@ class Period:
     charges_settled_before: str = ""
     tz: str = LOCAL_TZ
 
+    def __post_init__(self) -> None:
+        """Every date is there and readable, every window runs forward."""
+        def at(name: str, value) -> datetime:
+            try:
+                return datetime.fromisoformat(value)
+            except (TypeError, ValueError):
+                raise ValueError(f"{name}: not a date or timestamp: {value!r}") from None
+
+        dates = {f.name: at(f.name, getattr(self, f.name)) for f in fields(self)
+                 if f.name not in ("ach_windows", "latam_changed_before", "tz")}
+        for low, high in (("history_from", "history_split"), ("itemized_from", "itemized_to"),
+                          ("charges_settled_from", "charges_settled_before")):
+            if dates[low] >= dates[high]:
+                raise ValueError(f"{high}: must be after {low}")
+        if not self.ach_windows:
+            raise ValueError("ach_windows: at least one window is needed")
+        for i, w in enumerate(self.ach_windows):
+            if not w.currencies:
+                raise ValueError(f"ach_windows[{i}].currencies: empty")
+            at(f"ach_windows[{i}].before", w.before)
+            if at(f"ach_windows[{i}].created_to", w.created_to) < dates["ach_regime_from"]:
+                raise ValueError(f"ach_windows[{i}].created_to: before ach_regime_from")
+        if missing := [c for c in R.LATAM_CURRENCIES if c not in self.latam_changed_before]:
+            raise ValueError(f"latam_changed_before: no cutoff for {', '.join(missing)}")
+        for cur, value in self.latam_changed_before.items():
+            at(f"latam_changed_before.{cur}", value)
+
+    @staticmethod
+    def from_dict(values: dict) -> Period:
+        """A period from plain values (as in a JSON or TOML file); unknown and
+        missing fields are errors that name the field."""
+        known = {f.name for f in fields(Period)}
+        if unknown := sorted(set(values) - known):
+            raise ValueError(f"{unknown[0]}: unknown field")
+        if missing := sorted(known - set(values) - {"tz"}):
+            raise ValueError(f"{missing[0]}: missing")
+        values = dict(values)
+        windows = []
+        for i, w in enumerate(values["ach_windows"]):
+            if set(w) != {"currencies", "created_to", "before"}:
+                raise ValueError(f"ach_windows[{i}]: needs currencies, created_to and before")
+            windows.append(AchWindow(tuple(w["currencies"]), str(w["created_to"]), str(w["before"])))
+        values["ach_windows"] = tuple(windows)
+        values["latam_changed_before"] = {c: str(v) for c, v in values["latam_changed_before"].items()}
+        return Period(**{k: v if k in ("ach_windows", "latam_changed_before") else str(v) for k, v in values.items()})
+
+    @staticmethod
+    def from_file(path: str) -> Period:
+        """A period from a JSON or (by its ending) TOML file on the driver."""
+        with open(path, "rb") as f:
+            return Period.from_dict(tomllib.load(f) if path.endswith(".toml") else json.load(f))
+
     @staticmethod
     def dec_2018() -> Period:
         """The December 2018 close, with the dates of the original worksheet."""

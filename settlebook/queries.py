@@ -5,6 +5,7 @@ inside, rounded once at the edge) so results compare across engines."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,22 +23,21 @@ P = FIXTURE
 NEWEST_FIRST = ("changed", "log_position")
 
 
-_RESOLVED: dict = {}
+# Per session (dropped with it): inputs by folder. Lazy DataFrames over the
+# files found at first use; a folder rewritten later in the same session needs
+# ``spark.catalog.refreshByPath``.
+_RESOLVED: WeakKeyDictionary = WeakKeyDictionary()
 
 
 def inputs(spark: SparkSession, sf_dir: str) -> tuple[SettlementInputs, DriverTables]:
     """The driver tables and the settlement inputs derived from them, resolved
-    once per session and folder (lazy DataFrames: the scans run with each
-    query, in full)."""
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:  # e.g. a Spark Connect session has no SparkContext
-        app = None
-    key = (id(spark), app, sf_dir.rstrip("/"))
-    if key not in _RESOLVED:
+    once per session and folder (the scans run with each query, in full)."""
+    known = _RESOLVED.setdefault(spark, {})
+    key = sf_dir.rstrip("/")
+    if key not in known:
         t = DriverTables(spark, sf_dir)
-        _RESOLVED[key] = (settlement_inputs(t), t)
-    return _RESOLVED[key]
+        known[key] = (settlement_inputs(t), t)
+    return known[key]
 
 
 def _q(fn: Callable[[SettlementInputs, DriverTables], DataFrame]) -> Query:
@@ -116,8 +116,9 @@ def join_inner(x, t):
 
 
 def join_left_computed_key(x, t):
+    # orders are keyed by id, so their keys are distinct as they are (see in_under_or)
     keys = x.orders.select(F.col("id").alias("_o_id"), F.col("event").alias("_o_event"),
-                           F.col("currency").alias("_o_currency")).distinct()
+                           F.col("currency").alias("_o_currency"))
     j = x.order_itemizations.join(keys, F.col("order_id") == F.col("_o_id"), "left")
     j = j.withColumn("event_key", F.coalesce("event_id", "_o_event"))
     e = x.events.select(F.col("id").alias("_e_id"), "current_status", "end_date")
@@ -150,7 +151,7 @@ def join_full_outer_merge(x, t):
 # --- NOT IN / IN ------------------------------------------------------------
 
 def not_in_set(x, t):
-    return not_in(x.orders, "event", x.event_exclusions).select("id", "event")
+    return not_in(x.orders, "event", x.event_exclusions, keys_unique=True).select("id", "event")
 
 
 def not_in_set_with_null(x, t):
@@ -190,7 +191,8 @@ def not_in_self(x, t):
 
 
 def in_under_or(x, t):
-    h = exists_flag(x.history_orders, "order_id", x.transfer_orders, "_transfer")
+    # transfer orders are keyed by id: no DISTINCT between shuffle and join, so AQE can split a hot order
+    h = exists_flag(x.history_orders, "order_id", x.transfer_orders, "_transfer", keys_unique=True)
     return h.where((F.col("changed") < ts_lit("1997-01-01")) | F.col("_transfer")).select(
         "order_id", "log_position", "changed")
 
@@ -257,15 +259,9 @@ def count_distinct_list(x, t):
 
 # --- settlement steps ----------------------------------------------------------
 
-_CLOSES: dict = {}
-
-
 def _close(x: SettlementInputs):
-    """The lazy close DAG for a set of inputs, built once (a plan, not a
-    result: each query below still executes its whole plan)."""
-    if id(x) not in _CLOSES:
-        _CLOSES[id(x)] = (x, close_period(x, P))
-    return _CLOSES[id(x)][1]
+    """The lazy close DAG for a set of inputs (a plan, not a result)."""
+    return close_period(x, P)
 
 
 def q_itemized_net_sales(x, t):

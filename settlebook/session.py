@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -31,25 +30,6 @@ BASE_CONF = {
 }
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint directory named by the session.
-
-    On a cluster ``spark.checkpoint.dir`` must point at shared storage; it is
-    read from the session and used as is, and a missing setting is an error
-    (a machine-local folder would not survive the loss of that machine).
-    Only a local-mode session without the setting (tests, a laptop) gets a
-    scratch folder.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder before checkpointing")
-        path = tempfile.mkdtemp(prefix="settlebook-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
-
-
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "settlebook", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)

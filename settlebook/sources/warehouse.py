@@ -8,6 +8,8 @@ driver's test tables.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from settlebook.sources.adapters import SettlementInputs
@@ -40,9 +42,13 @@ def read_table(spark: SparkSession, where: str, name: str, fmt: str = "parquet")
 
 
 def load_inputs(spark: SparkSession, where: str, fmt: str = "parquet",
-                names: dict[str, str] | None = None) -> SettlementInputs:
+                names: dict[str, str] | None = None, voids=()) -> SettlementInputs:
+    """The inputs by table name. ``voids`` are the payout ids voided by hand,
+    used where there is no ``manual_voids`` table."""
     n = {**INPUT_TABLES, **(names or {})}
-    return SettlementInputs(**{field: read_table(spark, where, table, fmt) for field, table in n.items()})
+    found = {field: read_table(spark, where, table, fmt) for field, table in n.items()
+             if field != "manual_voids" or table_exists(spark, where, table, fmt)}
+    return SettlementInputs(**{"manual_voids": manual_voids_table(spark, voids), **found} if "manual_voids" not in found else found)
 
 
 def write_stage(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
@@ -54,6 +60,49 @@ def write_stage(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
     w.save(path)
 
 
+class StageStore:
+    """Writes stages as folders below ``where`` or, with ``fmt="table"``, as
+    tables of the catalog database ``where``, and returns them as read back.
+
+    ``stages`` names those to keep (None: all); others stay lazy. With
+    ``resume``, leading stages that a former run has written are read instead
+    of computed; from the first missing one on everything is written anew.
+    """
+
+    def __init__(self, spark: SparkSession, where: str, fmt: str = "parquet", stages=None, resume: bool = False):
+        self.spark, self.where, self.fmt, self.stages, self.resume = spark, where.rstrip("/"), fmt, stages, resume
+
+    def _name(self, stage: str) -> str:
+        return (f"{self.where}.{stage}" if self.where else stage) if self.fmt == "table" else f"{self.where}/{stage}"
+
+    def written(self, stage: str) -> bool:
+        if self.fmt == "table":
+            return self.spark.catalog.tableExists(self._name(stage))
+        return path_exists(self.spark, f"{self._name(stage)}/_SUCCESS")
+
+    def __call__(self, stage: str, make: Callable[[], DataFrame]) -> DataFrame:
+        if self.stages is not None and stage not in self.stages:
+            return make()
+        self.resume = self.resume and self.written(stage)
+        if not self.resume:
+            if self.fmt == "table":
+                make().write.mode("overwrite").saveAsTable(self._name(stage))
+            else:
+                write_stage(make(), self._name(stage), self.fmt)
+        return read_table(self.spark, self.where, stage, self.fmt)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def table_exists(spark: SparkSession, where: str, name: str, fmt: str = "parquet") -> bool:
+    if fmt == "table":
+        return spark.catalog.tableExists(f"{where}.{name}" if where else name)
+    return path_exists(spark, f"{where.rstrip('/')}/{name}")
+
+
 def manual_voids_table(spark: SparkSession, payout_ids) -> DataFrame:
     """The ``manual_voids`` input from a list of payout ids, e.g. the
     December 2018 lists in ``settlebook.plans.rules``."""

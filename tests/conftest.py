@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -13,9 +14,7 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    # spark.checkpoint.dir is taken from the session's configuration; only
-    # when it is unset does settlebook fall back to a scratch folder (local
-    # mode only).
-    s = build_session("local[*]", 8, app_name="settlebook-tests")
+    s = build_session("local[*]", 8, app_name="settlebook-tests",
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="settlebook-warehouse-")})
     yield s
     s.stop()

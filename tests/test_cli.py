@@ -13,7 +13,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 def test_close_cli_writes_all_stages():
     out = tempfile.mkdtemp(prefix="settlebook-cli-")
     r = subprocess.run([sys.executable, "-m", "settlebook.close", "--driver-tables", SF_SMALL, "--out", out,
-                        "--stages", "all", "--no-checkpoint", "--master", "local[2]"],
+                        "--stages", "all", "--master", "local[2]"],
                        cwd=ROOT, capture_output=True, text=True, timeout=600)
     assert r.returncode == 0, r.stderr[-2000:]
     written = sorted(os.listdir(out))
