@@ -1,3 +1,5 @@
+"""Fixtures and generated texts of the tests in this folder."""
+
 import os
 import sys
 

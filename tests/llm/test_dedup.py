@@ -4,7 +4,7 @@ import hashlib
 import re
 from collections import defaultdict
 
-from conftest import prose, rows_of
+from llm_data import corpus, nothing, prose, rows_of, scratch  # noqa: F401
 from settlebook.llm import exact, near, substring, words
 from settlebook.llm.components import components
 

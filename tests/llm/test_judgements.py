@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from conftest import prose, rows_of
+from llm_data import corpus, nothing, prose, rows_of, scratch  # noqa: F401
 from settlebook.llm import boosting, langid, pii, quality
 from settlebook.llm.queries import oracle_sql, queries
 

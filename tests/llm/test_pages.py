@@ -5,6 +5,7 @@ import time
 
 import pytest
 
+from llm_data import scratch  # noqa: F401
 from settlebook.llm import html, warc
 
 PAGES = [

@@ -11,7 +11,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from conftest import rows_of
+from llm_data import corpus, nothing, rows_of, scratch  # noqa: F401
 from settlebook.llm import bpe, chunks, packing
 
 RANKS = P.path("byte_bpe_50k.tiktoken")
