@@ -48,10 +48,17 @@ def written(spark):
 
 
 def executed(df):
-    """The final adaptive plan; a shuffle that is used again stands there once as an Exchange."""
+    """The plan that ran, without the initial ones; a shuffle that is used again stands there as ReusedExchange."""
     df.collect()
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    return plan.split("== Initial Plan ==")[0]
+    kept, skip = [], None
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+        depth = len(line) - len(line.lstrip(" :"))
+        if skip is not None and depth > skip:
+            continue
+        skip = depth if "== Initial Plan ==" in line else None
+        if skip is None:
+            kept.append(line)
+    return "\n".join(kept)
 
 
 def shuffles(plan):
