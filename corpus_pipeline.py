@@ -5,9 +5,9 @@ language identification, exact dedup, MinHash near-dedup, redaction of personal
 data, best-fit packing. Each takes (spark, docs, sf_dir) and returns a
 DataFrame; all but the last return the columns of ``documents``.
 
-Rows are told apart by a number that is written with them, so null or repeated
-ids, repeated rows and extra columns need no special care: a row that passes a
-stage passes with all its columns.
+Decisions go back to the rows by a digest of id and text, so null or repeated
+ids and extra columns need no special care; of rows that repeat both, the dedup
+stages keep one.
 """
 
 from __future__ import annotations
@@ -15,55 +15,50 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from settlebook.llm import exact, langid, near, packing, pii
 from settlebook.llm.scratch import Scratch, table
 
-ROW = "_settlebook_row"  # a name that no input column has
+KEY = "_settlebook_key"  # a name that no input column has
 LEAST_SCORE = 0.3  # a text scored lower is in none of the learned languages
 
 
-def _numbered(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    return scratch.save(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+def _digest() -> Column:
+    return F.md5(F.concat_ws("/", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce("text", F.lit(""))))
 
 
-def _kept(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose number is in ``rows`` (unique numbers)."""
-    return docs.join(rows.select(F.col("rid").alias(ROW)), ROW, "left_semi").drop(ROW)
+def _ordered(docs: DataFrame) -> DataFrame:
+    """Texts with a key in the order of their ids (documents without one last) that also names the row."""
+    return docs.select(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", _digest().alias("digest")).alias("key"), "text")
+
+
+def _kept(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that a dedup operator kept, once each."""
+    digests = found.where("kept").select(F.col("key.digest").alias(KEY)).distinct()
+    return docs.withColumn(KEY, _digest()).join(digests, KEY, "left_semi").dropDuplicates([KEY]).drop(KEY)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a language: no text, no letters, or a score below ``LEAST_SCORE``."""
-    rows = _numbered(docs, Scratch(spark, "pipeline-language"))
-    found = langid.predict(rows, langid.fit(docs), key=ROW)
-    good = found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
-    return _kept(rows, good.select(F.col(ROW).alias("rid")))
+    return langid.only_known(docs, langid.fit(docs), LEAST_SCORE)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each normalised text, that with the smallest id."""
-    scratch = Scratch(spark, "pipeline-exact")
-    rows = _numbered(docs, scratch)
-    return _kept(rows, exact.dedup(rows, scratch, row=ROW).where("kept"))
+    return _kept(docs, exact.dedup(_ordered(docs), Scratch(spark, "pipeline-exact"), key="key"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each component of near duplicates, that with the smallest id."""
-    scratch = Scratch(spark, "pipeline-near")
-    rows = _numbered(docs, scratch)
-    # documents in the order of their ids, those without one last; of rows with the same id the first
-    ordered = rows.select(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", ROW).alias(ROW), "text")
-    found = near.link(ordered, scratch, key=ROW).where("kept")
-    return _kept(rows, found.select(F.col(f"{ROW}.{ROW}").alias("rid")))
+    return _kept(docs, near.link(_ordered(docs), Scratch(spark, "pipeline-near"), key="key"))
 
 
 def redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data in the texts by its kind in brackets; ``n_chars`` follows the text."""
-    rows = _numbered(docs, Scratch(spark, "pipeline-pii"))
-    clean = pii.redact(rows, ROW).withColumn("n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), "n_chars"))
-    return clean.select(*docs.columns)
+    clean = pii.redact(docs, Scratch(spark, "pipeline-pii"))
+    return clean.withColumn("n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), "n_chars"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -150,6 +150,34 @@ def sample(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str
     return [r["t"] for r in rows], [r["label"] for r in rows]
 
 
+def _scores(net: Network, tables: list[list[np.ndarray]], texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Per text its mean probabilities over all windows (zeros if it has no letter), and its bytes."""
+    sums, totals = np.zeros((len(texts), len(net.languages))), np.zeros(len(texts))
+    held, rows, sizes, count = [], [], [], 0
+
+    def flush() -> None:
+        nonlocal count
+        x, r, s = np.concatenate(held), np.concatenate(rows), np.concatenate(sizes)
+        for i in range(0, len(x), 512):  # some 10 MB of responses at a time
+            np.add.at(sums, r[i:i + 512], net.probabilities(x[i:i + 512], tables) * s[i:i + 512, None])
+        np.add.at(totals, r, s)
+        held.clear(), rows.clear(), sizes.clear()
+        count = 0
+
+    for k, t in enumerate(texts):
+        if t and LETTER.search(t):
+            w, s = windows_of(t.encode())
+            held.append(w)
+            rows.append(np.full(len(w), k))
+            sizes.append(s)
+            count += len(w)
+            if count >= 8192:
+                flush()
+    if held:
+        flush()
+    return np.clip(sums / np.maximum(totals, 1)[:, None], 0.0, 1.0), totals
+
+
 def predict(docs: DataFrame, net: Network | None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``<key>, lang_pred, score`` per row, from whole texts.
 
@@ -160,44 +188,36 @@ def predict(docs: DataFrame, net: Network | None, key: str = "doc_id", text: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = net.tables() if net else []
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            sums = np.zeros((len(texts), len(net.languages) if net else 1))
-            totals = np.zeros(len(texts))
-            held, rows, sizes, count = [], [], [], 0
-
-            def flush() -> None:
-                nonlocal count
-                x, r, s = np.concatenate(held), np.concatenate(rows), np.concatenate(sizes)
-                for i in range(0, len(x), 512):  # some 10 MB of responses at a time
-                    p = net.probabilities(x[i:i + 512], tables) * s[i:i + 512, None]
-                    np.add.at(sums, r[i:i + 512], p)
-                np.add.at(totals, r, s)
-                held.clear(), rows.clear(), sizes.clear()
-                count = 0
-
-            for k, t in enumerate(texts):
-                if net and t and LETTER.search(t):
-                    w, s = windows_of(t.encode())
-                    held.append(w)
-                    rows.append(np.full(len(w), k))
-                    sizes.append(s)
-                    count += len(w)
-                    if count >= 8192:
-                        flush()
-            if held:
-                flush()
-            score = sums / np.maximum(totals, 1)[:, None]
-            best = score.argmax(axis=1)
-            lang = [net.languages[b] if n else "und" for b, n in zip(best, totals)] if net else ["und"] * len(texts)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(lang, pa.string()),
-                 pa.array(np.clip(score[np.arange(len(texts)), best], 0.0, 1.0), pa.float64())], ["k", "lang_pred", "score"])
+            n = batch.num_rows
+            lang, best = ["und"] * n, np.zeros(n)
+            if net:
+                score, totals = _scores(net, tables, batch.column(1).to_pylist())
+                lang = [net.languages[b] if k else "und" for b, k in zip(score.argmax(axis=1), totals)]
+                best = score.max(axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lang, pa.string()), pa.array(best, pa.float64())],
+                                             ["k", "lang_pred", "score"])
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInArrow(
         run, f"`{key}` {kind}, lang_pred string, score double")
 
 
+def only_known(docs: DataFrame, net: Network | None, least: float, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text scores at least
+    ``least`` for one of the languages; none if there is no network."""
+    if net is None:
+        return docs.where("false")
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = net.tables()
+        for batch in batches:
+            score, totals = _scores(net, tables, batch.column(at).to_pylist())
+            yield batch.filter(pa.array((totals > 0) & (score.max(axis=1) >= least)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def fit(docs: DataFrame, **bounds) -> Network | None:
     """The network for a table; None if it has no labelled text to learn from."""
     texts, labels = sample(docs, **bounds)

@@ -179,6 +179,7 @@ def link(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "te
     of_class = scratch.save(of_class.select("fp", "least", F.coalesce("root", "cid").alias("root")), "roots")
     ids = scratch.save(of_class.groupBy("root").agg(F.min("least").alias("component_id")), "ids")
     of_class = scratch.save(of_class.join(ids, "root").select("fp", "component_id"), "component")
+    scratch.keep_only("members", "component")
     out = members.select("key", "th", "n", "fp").join(of_class, "fp", "left")
     alone = F.when(F.col("n") == 0, F.col("key")).otherwise(F.col("component_id"))
     return out.select(F.col("key").alias(key), "th", F.col("n").alias("n_shingles"), alone.alias("component_id"),

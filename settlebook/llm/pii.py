@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from settlebook.llm import boosting
+from settlebook.llm.scratch import Scratch
 
 # Base kinds in their order, and their patterns (possessive forms of the contract's).
 BASE = {
@@ -243,15 +244,18 @@ def described(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s.kind), s.start, s.end)), ",")
 
 
-def redact(docs: DataFrame, row: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def redact(docs: DataFrame, scratch: Scratch, text: str = "text") -> DataFrame:
     """``docs`` with each span in ``text`` replaced by its kind in brackets.
 
-    ``row`` identifies rows. Base spans of different kinds may overlap; a span
-    that starts inside the one before only adds what lies beyond it.
+    Spans belong to texts, so rows meet them by a digest of the text, and
+    repeated rows need no care. Base spans of different kinds may overlap; a
+    span that starts inside the one before only adds what lies beyond it.
     """
-    rid, found = "_settlebook_rid", "_settlebook_spans"  # names that no input column has
-    spans = find(docs, key, text, row).where(F.size("spans") > 0).select(F.col("rid").alias(rid), F.col("spans").alias(found))
-    joined = docs.join(spans, F.col(row) == F.col(rid), "left")
+    digest, mine, found = "_settlebook_digest", "_settlebook_text", "_settlebook_spans"  # names that no input column has
+    texts = docs.select(F.md5(text).alias(digest), F.col(text).alias("t"))
+    spans = find(texts, digest, "t").where(F.size("spans") > 0).select(F.col(digest).alias(mine), F.col("spans").alias(found))
+    spans = scratch.save(spans.dropDuplicates([mine]), "spans")
+    joined = docs.join(spans, F.md5(text) == F.col(mine), "left")
     names = F.array(*map(F.lit, KINDS))
     by_place = F.array_sort(F.transform(found, lambda s: F.struct(s.start, s.end, s.kind)))
     # every span brings the text between it and the furthest end so far
@@ -262,4 +266,4 @@ def redact(docs: DataFrame, row: str, key: str = "doc_id", text: str = "text") -
                                                    F.lit("["), F.upper(F.get(names, s["kind"])), F.lit("]"))).otherwise(F.lit("")))).alias("out")),
         lambda a: F.concat(F.array_join(a["out"], ""), F.substring(F.col(text), (a["at"] + 1).cast("int"), F.length(text))))
     redacted = F.when(F.col(found).isNull(), F.col(text)).otherwise(parts)
-    return joined.withColumn(text, redacted).drop(found, rid)
+    return joined.withColumn(text, redacted).drop(found, mine)

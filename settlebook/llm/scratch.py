@@ -38,21 +38,25 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        self.names: set[str] = set()
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def save(self, df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
         schema = df.schema
+        self.names.add(name)
         df.write.option("compression", codec).parquet(self.path(name))
         return self.spark.read.schema(schema).parquet(self.path(name))
 
-    def drop(self, *names: str) -> None:
-        """Remove tables that no later step reads."""
+    def keep_only(self, *names: str) -> None:
+        """Remove all tables but ``names``: what is left when an operator has
+        worked through its eager part and its result reads only those."""
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        for name in names:
+        for name in self.names - set(names):
             p = jvm.org.apache.hadoop.fs.Path(self.path(name))
             p.getFileSystem(conf).delete(p, True)
+        self.names &= set(names)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -181,8 +181,9 @@ def dedup(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "t
     held = held.groupBy("cid").agg(F.array_sort(F.collect_list(F.struct("start", "count"))).alias("held"))
     parsed = scratch.save(_parse(held.join(texts, "cid"), size).join(classes.select("cid", "fp"), "cid").drop("cid"), "parsed")
     firsts = classes.select("fp", F.col("key").alias("first_key")).join(parsed, "fp", "left")
-    out = members.select("key", "n", "fp", "sha").join(scratch.save(firsts, "firsts").withColumnRenamed("fp", "_fp"),
-                                                       (F.col("fp") == F.col("_fp")) & (F.col("n") >= size), "left")
+    firsts = scratch.save(firsts, "firsts").withColumnRenamed("fp", "_fp")
+    scratch.keep_only("members", "firsts")
+    out = members.select("key", "n", "fp", "sha").join(firsts, (F.col("fp") == F.col("_fp")) & (F.col("n") >= size), "left")
     copy = F.col("first_key").isNotNull() & ~F.col("key").eqNullSafe(F.col("first_key"))
     none = F.array().cast("array<struct<start:int,end:int>>")
     whole = F.array(F.struct(F.lit(0).alias("start"), F.col("n").cast("int").alias("end")))

@@ -111,15 +111,15 @@ def test_clean_prose_has_no_spans(spark):
     assert pii.find(df).where(F.size("spans") > 0).count() == 0
 
 
-def test_redaction(pii_rows):
-    df, got = pii_rows
-    with_row = df.withColumn("_row", F.monotonically_increasing_id())
-    out = {r["doc_id"]: r["text"] for r in pii.redact(with_row, "_row").collect()}
+def test_redaction(pii_rows, scratch):
+    df, _ = pii_rows
+    redacted = pii.redact(df, scratch)
+    out = {r["doc_id"]: r["text"] for r in redacted.collect()}
+    assert redacted.count() == df.count() and redacted.columns == df.columns
     assert out[3] == "call [PHONE]. or +12 3 or +1234567890123456 +"
     assert out[4] == "é漢😀 [EMAIL] 😀 [PHONE], [CARD]"
     assert out[6] is None and out[8] == PII_TEXTS[8]
-    assert pii.redact(with_row.where("false"), "_row").count() == 0
-    assert pii.redact(with_row, "_row").columns == with_row.columns
+    assert pii.redact(df.where("false"), scratch.__class__(scratch.spark, "t")).count() == 0
 
 
 def test_main_path_is_native(corpus):
@@ -185,20 +185,19 @@ def test_pipeline_stages(spark, corpus, nothing):
     kept = {}
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs, SF)
+        kept[name] = out.collect()
         if name != "packing":
             assert out.columns == docs.columns
-            docs = spark.createDataFrame(out.collect(), out.schema)
-        kept[name] = out
-    texts = {name: sorted((r["text"] for r in kept[name].collect())) for name in ("language", "exact_dedup", "near_dedup")}
+            docs = spark.createDataFrame(kept[name], out.schema)
+    texts = {name: sorted(r["text"] for r in kept[name]) for name in ("language", "exact_dedup", "near_dedup")}
     assert all(t and re.search(r"[^\W\d_]", t) for t in texts["language"])
     plain = [re.sub(r"[\x20\x09-\x0D]+", " ", t) for t in texts["exact_dedup"]]
     assert len(plain) == len(set(plain)) == len({re.sub(r"[\x20\x09-\x0D]+", " ", t) for t in texts["language"]})
     sets = [frozenset(tuple(w[k:k + 4]) for k in range(max(1, len(w) - 3))) for w in (t.encode().lower().split() for t in texts["near_dedup"])]
     assert all(100 * len(a & b) < 80 * len(a | b) for i, a in enumerate(sets) for b in sets[:i])
-    ids = {r["doc_id"] for r in kept["near_dedup"].collect()}
+    ids = {r["doc_id"] for r in kept["near_dedup"]}
     assert {*range(12), 23, 24} <= ids and not {20, 21, 22, 25, 26, 27, 28, 30, 31, 33} & ids
-    pieces = kept["packing"].collect()
-    assert {r["doc_id"] for r in pieces} == ids
+    assert {r["doc_id"] for r in kept["packing"]} == ids
     empty = nothing.select("doc_id", "text", "lang", "source", "n_chars")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF).count() == 0
