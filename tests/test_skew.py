@@ -8,12 +8,14 @@ Spark and the DuckDB oracle read the same skewed copy.
 """
 
 import tempfile
+from dataclasses import replace
 
 import duckdb
 import pytest
 
 from settlebook.oracle.compare import compare
-from settlebook.queries import queries
+from settlebook.queries import in_under_or, queries
+from settlebook.sources import DriverTables, settlement_inputs
 from settlebook.oracle.queries import oracle_sql
 
 from conftest import SF_CHECK
@@ -24,21 +26,33 @@ SKEWED = {
 }
 TABLES = ("customer", "nation", "lineitem", "orders", "events")
 STEPS = ("itemized_net_sales", "history_net_sales", "combined_net_sales", "payout_snapshot", "payout_buckets",
-         "charge_buckets", "balance", "multi_processor_events")
+         "charge_buckets", "balance", "multi_processor_events", "not_in_set")
+# and, with a third of all line items on one (transfer) order:
+RAW = ("in_under_or", "join_left_computed_key")
+HOT_ORDER = {"lineitem": "SELECT * REPLACE (CASE WHEN l_orderkey % 3 = 0 THEN 58 ELSE l_orderkey END AS l_orderkey) FROM t"}
 
 
-@pytest.fixture(scope="module")
-def skewed_dir():
+def skewed_copy(rules):
     root = tempfile.mkdtemp(prefix="settlebook-skew-")
     con = duckdb.connect()
     for name in TABLES:
         con.execute(f"CREATE VIEW t AS SELECT * FROM read_parquet('{SF_CHECK}/{name}.parquet')")
-        body = SKEWED.get(name, "SELECT * FROM t")
-        con.execute(f"COPY ({body}) TO '{root}/{name}.parquet' (FORMAT PARQUET)")
+        body = rules.get(name, "SELECT * FROM t")
+        con.execute(f"COPY ({body}) TO '{root}/{name}.parquet' (FORMAT PARQUET, ROW_GROUP_SIZE 2048)")
         con.execute("DROP VIEW t")
     return root
 
 
+@pytest.fixture(scope="module")
+def skewed_dir():
+    return skewed_copy(SKEWED)
+
+
+@pytest.fixture(scope="module")
+def hot_order_dir():
+    return skewed_copy(HOT_ORDER)
+
+
 @pytest.mark.parametrize("name", STEPS)
 def test_hot_keys_keep_results_exact(spark, skewed_dir, name):
     con = duckdb_connection_subset(skewed_dir)
@@ -47,6 +61,13 @@ def test_hot_keys_keep_results_exact(spark, skewed_dir, name):
     assert r["spark_rows"] > 0
 
 
+@pytest.mark.parametrize("name", RAW)
+def test_hot_order_keeps_results_exact(spark, hot_order_dir, name):
+    r = compare(spark, name, queries()[name], oracle_sql()[name], hot_order_dir, duckdb_connection_subset(hot_order_dir))
+    assert r["ok"], r
+    assert r["spark_rows"] > 0
+
+
 def duckdb_connection_subset(root):
     con = duckdb.connect()
     for t in TABLES:
@@ -60,21 +81,30 @@ def test_hot_event_holds_a_third_of_the_orders(skewed_dir):
     assert share > 0.33
 
 
-
-def test_hot_event_partition_is_split_by_aqe(spark, skewed_dir):
-    """The per-(order, event) rows of the hot event meet the events table in a
-    join whose inputs are plain shuffles, so AQE's skew-join handling splits
-    that partition (thresholds scaled down to the fixture's size)."""
+@pytest.mark.parametrize("name", ["combined_net_sales", "not_in_set", *RAW])
+def test_hot_partition_is_split_by_aqe(spark, skewed_dir, hot_order_dir, name):
+    """Where raw or per-(order, event) rows of a hot key meet another table,
+    the inputs of the join are plain shuffles, so AQE's skew-join handling
+    splits that partition (thresholds scaled down to the fixture's size)."""
+    folder = hot_order_dir if name in RAW else skewed_dir
     conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
             "spark.sql.adaptive.coalescePartitions.enabled": "false",
-            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            # a hot partition is split between map tasks, so the scan must have several
+            "spark.sql.files.maxPartitionBytes": "16KB", "spark.sql.files.openCostInBytes": "0"}
     old = {k: spark.conf.get(k, None) for k in conf}
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        df = queries()["combined_net_sales"](spark, skewed_dir)
+        if name == "in_under_or":  # the log as a table: derived from line items it is partitioned by order already
+            x = settlement_inputs(DriverTables(spark, folder))
+            log = tempfile.mkdtemp(prefix="settlebook-skew-") + "/log"
+            x.history_orders.repartition(8).write.parquet(log)
+            df = in_under_or(replace(x, history_orders=spark.read.parquet(log)), None)
+        else:
+            df = queries()[name](spark, folder)
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin(skew=true)" in plan and "AQEShuffleRead skewed" in plan
