@@ -57,9 +57,12 @@ def identify(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str =
     rid = F.col(row) if row else F.monotonically_increasing_id()
     texts = docs.select(rid.alias("rid"), F.col(key).alias("key"), normalised(F.col(text)).alias("t"))
     for seed in range(2**31):
-        cut = texts.select("rid", "key", F.sha2("t", 256).alias("sha"), _blocks(F.col("t").cast("binary"), block).alias("b"))
+        # the bytes are a column of their own: block expressions would else evaluate them anew for every block
+        data = texts.select("rid", "key", F.col("t").cast("binary").alias("d"))
+        cut = data.select("rid", "key", F.sha2("d", 256).alias("sha"), _blocks(F.col("d"), block).alias("b"))
         rows = scratch.save(cut.select("rid", "key", "sha", F.transform("b", lambda b: _handle(b, seed)).alias("h")), f"rows{seed}")
-        distinct = (docs.select(F.explode(_blocks(normalised(F.col(text)).cast("binary"), block)).alias("block"))
+        # explode_outer: for explode, Spark infers a filter on the array, pushes it to the scan and so cuts every text there again
+        distinct = (data.select(_blocks(F.col("d"), block).alias("b")).select(F.explode_outer("b").alias("block")).where("block IS NOT NULL")
                     .select(_handle(F.col("block"), seed).alias("h"), "block").select("h.h1", "h.h2", "block").distinct())
         names = scratch.save(_named(distinct, ["block"]).drop("block"), f"blocks{seed}")
         if names.groupBy("h1", "h2").count().where("count > 1").isEmpty():
@@ -99,6 +102,7 @@ def dedup(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "t
     groups = scratch.save(found.groupBy("level", "name").agg(
         F.min(F.struct(F.col(key).isNull().alias("absent"), F.col(key).alias("key"), "rid")).alias("first"),
         F.count(F.lit(1)).alias("group_size")), "groups")
+    scratch.keep_only("identities", "groups")
     groups = groups.select("level", "name", F.col("first.key").alias("keep_id"), F.col("first.rid").alias("_rid"), "group_size")
     return found.join(groups, ["level", "name"]).select(
         "rid", key, "keep_id", "group_size", (F.col("rid") == F.col("_rid")).alias("kept"), "text_sha256")
