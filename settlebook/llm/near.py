@@ -12,11 +12,14 @@ agree on the first ``DEPTH`` values of an order share a region of that tree.
 2. Regions: a region that lies in one component needs nothing more. Of others,
    regions of at most ``REGION`` classes give all pairs across components;
    larger ones are split by the next values of the order until they are small
-   or of one component (the depth adapts to each region).
+   or of one component (the depth adapts to each region). The splits tie most
+   of a large region together, but part pairs.
+3. Crowds: the classes of large regions that several components still share
+   are joined exactly, by the rarest shingles of their sets.
 
 Candidates are confirmed on the full shingle sets of the texts. Two classes of
 similarity s miss each other in all trees with probability (1 - s^DEPTH)^TREES
-(below 3e-5 at 0.8).
+(below 3e-5 at 0.8), in regions of any size.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from settlebook.llm.components import components
@@ -37,6 +40,7 @@ HASHES, TREES, DEPTH, REGION = 120, 20, 4, 32
 STEP = HASHES // TREES
 DEPTHS = (4, 5, 6, 8, 10, 13, 16, 20, 25, 32, 40, 50, 64, 80, 100, 120)
 SORTED = 12  # values of an order that are sorted
+ROWS = 1 << 17  # shingles handed over at once
 
 
 def _multipliers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -110,6 +114,61 @@ def _confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
     return pairs.select("a", "b").join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
+def _sets(texts: DataFrame, size: int) -> DataFrame:
+    """cid, token, n: a row per shingle, with the size of its set."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> pa.RecordBatch:
+            n = np.array([len(s) for s in sets], dtype=np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(ids, dtype=np.int64), n)), pa.array(np.concatenate(sets).view(np.int64)),
+                                               pa.array(np.repeat(n, n))], ["cid", "token", "n"])
+
+        for batch in batches:
+            ids, sets, held = [], [], 0
+            for c, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                ids.append(c)
+                sets.append(shingles(t.encode().lower(), size))
+                held += len(sets[-1])
+                if held >= ROWS:
+                    yield rows()
+                    ids, sets, held = [], [], 0
+            if sets:
+                yield rows()
+
+    return texts.select("cid", "t").mapInArrow(run, "cid long, token long, n long")
+
+
+def _crowds(classes: DataFrame, texts: DataFrame, scratch: Scratch, size: int, percent: int) -> DataFrame:
+    """a, b: candidates of different components (``cid, root``) by an exact prefix filter.
+
+    A set's shingles are placed from the rarest to the commonest. Sets of x <= y
+    shingles that reach ``percent`` have p (x + y) / (100 + p) in common or more,
+    so the first they share stands early in both: its place leaves at least as
+    many in either. In the smaller set that is the first ninth at 80, in the
+    larger the first fifth. Shingles that a family has in common come last.
+    """
+    sets = scratch.save(_sets(classes.select("cid").join(texts, "cid"), size), "sets")
+    times = scratch.save(sets.groupBy("token").agg(F.count(F.lit(1)).alias("times")).where("times > 1"), "times")
+    own = Window.partitionBy("cid")  # shingles of one set only come first and need no rows
+    place = F.col("n") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("times", "token"))
+    rows = sets.join(times, "token").select("cid", "token", "n", place.alias("place")).where(100 * (F.col("n") - F.col("place") + 1) >= percent * F.col("n"))
+    rows = scratch.save(rows.join(classes, "cid"), "prefixes")
+    # a token's commonest component meets only the others, never itself
+    of_root = rows.groupBy("token", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("token").agg(
+        F.max(F.struct("c", "root")).alias("m"), F.count(F.lit(1)).alias("roots"))
+    tops = scratch.save(of_root.where("roots > 1").select("token", F.col("m.root").alias("top")), "tops")
+    rows = scratch.save(rows.join(tops, "token").withColumn("most", F.col("root") == F.col("top")).drop("top"), "shared")
+    short = rows.where((100 + percent) * (F.col("n") - F.col("place") + 1) >= 2 * percent * F.col("n"))
+    short = short.select(F.col("token").alias("ta"), F.col("cid").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"), F.col("place").alias("pa"),
+                         F.explode(F.when(F.col("most"), F.array(F.lit(1))).otherwise(F.array(F.lit(0), F.lit(1)))).alias("part"))
+    long = rows.select(F.col("token").alias("tb"), F.col("cid").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"), F.col("place").alias("pb"),
+                       F.when(F.col("most"), 0).otherwise(1).alias("side"))
+    smaller = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
+    left = 1 + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    enough = (100 + percent) * left >= percent * (F.col("na") + F.col("nb"))
+    pairs = short.join(long, (F.col("ta") == F.col("tb")) & (F.col("part") == F.col("side")) & (F.col("ra") != F.col("rb")) & smaller & enough)
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def link(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text", size: int = 4, percent: int = 80) -> DataFrame:
     """``<key>, th, n_shingles, component_id, kept`` per row of ``docs``.
 
@@ -173,7 +232,20 @@ def link(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "te
         live = live.select("tree", "cid", F.xxhash64("tree", F.substring(order, F.lit(1), F.lit(4 * DEPTHS[k + 1]))).alias("region"), "root")
     tested = best.select("a", "b")
     more = scratch.save(_confirm(found.distinct().join(tested, ["a", "b"], "left_anti"), texts, size, percent), "links1")
-    roots = components(links.unionByName(more), scratch, "c1")
+    links = links.unionByName(more)
+    roots = components(links, scratch, "c1")
+    # 3. large regions that several components still share
+    if k:
+        live = rows.select("cid", "region").join(roots.withColumnRenamed("node", "cid"), "cid", "left")
+        live = scratch.save(live.select("cid", "region", F.coalesce("root", "cid").alias("root")), "live")
+        sizes = live.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+        mixed = scratch.save(sizes.where(f"low <> high AND n > {REGION}").select("region"), "mixed")
+        crowd = scratch.save(live.join(mixed, "region", "left_semi").select("cid", "root").distinct(), "crowd")
+        if not crowd.isEmpty():
+            pairs = scratch.save(_crowds(crowd, texts, scratch, size, percent), "pairs")
+            tested = tested.unionByName(found)
+            more = scratch.save(_confirm(pairs.join(tested, ["a", "b"], "left_anti"), texts, size, percent), "links2")
+            roots = components(links.unionByName(more), scratch, "c2")
     # the least key of each component, for each class and row
     of_class = classes.select("cid", "fp", "least").join(roots.withColumnRenamed("node", "cid"), "cid", "left")
     of_class = scratch.save(of_class.select("fp", "least", F.coalesce("root", "cid").alias("root")), "roots")

@@ -102,6 +102,21 @@ def test_near_dense_regions(spark, scratch):
     check_near(spark.createDataFrame(rows, "doc_id long, text string"), scratch)
 
 
+def test_near_template_family(spark, scratch):
+    """2000 documents of one template: siblings at 0.75, each with one partner at 0.80 to 0.82."""
+    template = [f"t{i}" for i in range(300)]
+    rows = []
+    for i in range(1000):
+        for d in (i, 10000 + i):  # partners share the first words of what is their own
+            own = [f"s{i}x{k}" if k < 10 + i % 3 else f"s{d}y{k}" for k in range(39)]
+            rows.append((d, " ".join(template[:20] + own + template[59:])))
+    sets = dict(sets_of(rows))
+    alike = [len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a, b in [(0, 1), *((i, 10000 + i) for i in range(1000))]]
+    assert 0.74 < alike[0] < 0.76 and all(0.8 <= x < 0.82 for x in alike[1:])
+    got = {r["doc_id"]: r["component_id"] for r in near.link(spark.createDataFrame(rows, "doc_id long, text string"), scratch).collect()}
+    assert got == {d: d % 10000 for d, _ in rows}
+
+
 def test_components_of_paths_stars_and_rings(spark, scratch):
     edges = [(i, i + 1) for i in range(100, 160)] + [(200, i) for i in range(201, 260)] + [(300 + i, 300 + (i + 1) % 40) for i in range(40)]
     edges += [(500, 500), (i, 200) if (i := 160) else (0, 0)]
