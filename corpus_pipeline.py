@@ -51,8 +51,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each component of near duplicates, that with the smallest id."""
-    return _kept(docs, near.link(_ordered(docs), Scratch(spark, "pipeline-near"), key="key"))
+    """Keeps one document of each component of near duplicates (0.8 of five-word shingles), that with the smallest id."""
+    return _kept(docs, near.link(_ordered(docs), Scratch(spark, "pipeline-near"), key="key", size=5))
 
 
 def redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

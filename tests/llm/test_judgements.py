@@ -180,6 +180,25 @@ def test_queries_match_their_sql(spark, name):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+def test_near_stage_takes_five_words(spark):
+    """Pairs between the limits of four and five words are clean; pairs above both are not."""
+    rows = []
+    for i, changes in enumerate([10, 10, 8]):
+        w = [f"b{i}x{k}" for k in range(403)]
+        rows.append((2 * i, " ".join(w)))
+        for c in range(changes):
+            w[20 + 37 * c] = f"c{i}x{c}"
+        rows.append((2 * i + 1, " ".join(w)))
+
+    def alike(a, b, size):
+        a, b = ({tuple(t.split()[k:k + size]) for k in range(404 - size)} for t in (rows[a][1], rows[b][1]))
+        return 100 * len(a & b) >= 80 * len(a | b)
+
+    assert [alike(i, i + 1, 4) for i in (0, 2, 4)] == [True] * 3
+    kept = {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()}
+    assert kept == {d for d in range(6) if d % 2 == 0 or not alike(d - 1, d, 5)} == {0, 1, 2, 3, 4}
+
+
 def test_pipeline_stages(spark, corpus, nothing):
     docs = corpus.select("doc_id", "text", "lang", "source", "n_chars", "rid")
     kept = {}
