@@ -37,7 +37,7 @@ BASE = {
 EXTRA = {
     "email_words": ("email", r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{1,64}+\s?(?:\(at\)|\[at\]|\{at\}|\sat\s)\s?[a-z0-9-]{1,63}+"
                              r"(?:\s?(?:\(dot\)|\[dot\]|\{dot\}|\sdot\s|\.)\s?[a-z0-9-]{2,63}+){1,5}+",
-                    r"(?i)[(\[{]at[)\]}]|\sat\s\S+\sdot\s"),
+                    r"(?i)[(\[{]at[)\]}]|\sat\s"),
     "phone_local": ("phone", r"(?<![0-9A-Za-z+.,/-])(?:\([0-9]{2,5}\)|[0-9]{2,5}+)(?:[\x20./-][0-9]{2,5}+){1,4}+(?![0-9A-Za-z])",
                     r"[0-9)][\x20./-][0-9]"),
     "identity": ("id", r"(?<![0-9A-Za-z])(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}+(?:\x20?[A-Z0-9]{1,3})?+)"
