@@ -43,9 +43,9 @@ EXTRA = {
     "identity": ("id", r"(?<![0-9A-Za-z])(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}+(?:\x20?[A-Z0-9]{1,3})?+)"
                        r"(?![0-9A-Za-z])", r"[0-9]{3}-[0-9]{2}-|[A-Z]{2}[0-9]{2}"),
     "secret_named": ("secret", r"(?i)(?<![a-z0-9])(?:pass(?:word|wd|phrase)?|pwd|token|secret|api[_\x20-]?key|credentials?)"
-                               r"[\"']?\s{0,3}[=:]\s{0,3}[\"']?[^\s\"',;<>]{6,256}+", r"[=:]"),
+                               r"[\"']?\s{0,3}[=:]\s{0,3}[\"']?[^\s\"',;<>]{6,}+", r"[=:]"),
     "secret_key": ("secret", r"(?<![0-9A-Za-z_+/=-])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36,}+|sk-[0-9A-Za-z_-]{20,}+"
-                             r"|(?=[0-9]{0,127}[a-f])(?=[a-f]{0,127}[0-9])[0-9a-f]{32,128}+)"
+                             r"|(?=[0-9]*+[a-f])(?=[a-f]*+[0-9])[0-9a-f]{32,}+)"
                              r"(?![0-9A-Za-z_])", r"AKIA|gh[pousr]_|sk-|[0-9a-f]{32}"),
 }
 GENERATORS = [*BASE, *EXTRA]

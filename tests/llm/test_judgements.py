@@ -116,6 +116,17 @@ def test_hints_hold_where_patterns_match(spark, text):
     assert any(p for p, _ in held) and all(h for p, h in held if p)
 
 
+@pytest.mark.parametrize("n", [300, 5000])
+def test_long_secrets_are_found_whole(spark, n):
+    named, bare = "token=" + ("k7" * n)[:n], ("a1" * n)[:n]
+    digits_first = "1" * 200 + "a" * n
+    df = spark.createDataFrame(list(enumerate([f"use {named} here", f"key {bare} here", f"key {digits_first} here"])), "doc_id long, text string")
+    got = {r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"]] for r in pii.find(df, trained=("1.0D", 0.5)).collect()}
+    assert got == {0: [(4, 4 + len(named))], 1: [(4, 4 + n)], 2: [(4, 204 + n)]}
+    fitted = pii.find(df.where("doc_id < 1")).first()
+    assert [(s["start"], s["end"]) for s in fitted["spans"]] == got[0]
+
+
 def test_clean_prose_has_no_spans(spark):
     df = spark.createDataFrame([(i, prose(i, 300)) for i in range(30)], "doc_id long, text string")
     assert pii.find(df).where(F.size("spans") > 0).count() == 0
