@@ -5,7 +5,8 @@ overlap. The four base kinds stand if their check holds (Luhn, number of
 digits, parts of an address). Every other candidate gets features of its format
 and context, boosted trees score it, and the threshold that reached the wanted
 precision on held-out examples decides. A chosen span that overlaps a base span
-gives way; of chosen spans that overlap each other the best score stays.
+gives way; of the others the best score is taken first, then each that overlaps
+none taken.
 
 All of it is DataFrame functions in one lineage: a scan, the candidates as rows,
 one shuffle by row id for their places, and an aggregate per row. Regular
@@ -232,10 +233,15 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text", row: str | No
     extra = F.col("good") & ~F.col("base")
     c = c.withColumn("before", F.max(F.when(extra, F.col("end"))).over(w.rowsBetween(Window.unboundedPreceding, -1)))
     c = c.withColumn("cluster", F.sum(F.when(extra & F.coalesce(F.col("start") >= F.col("before"), F.lit(True)), 1).otherwise(0)).over(w))
-    best = Window.partitionBy("rid", "cluster").orderBy(extra.desc(), F.col("score").desc(), "start", "end", "kind")
-    c = c.withColumn("good", F.col("good") & (F.col("base") | (F.row_number().over(best) == 1)))
     span = F.struct("kind", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "base", "score")
-    return c.groupBy("rid").agg(F.first("key").alias(key), F.array_sort(F.collect_list(F.when(F.col("good"), span))).alias("spans"))
+    ranked = F.struct((-F.col("score")).alias("rank"), "start", "end", span.alias("span"))
+    each = c.groupBy("rid", "cluster").agg(F.first("key").alias("key"), F.collect_list(F.when(F.col("good") & F.col("base"), span)).alias("fixed"),
+                                           F.array_sort(F.collect_list(F.when(extra, ranked))).alias("added"))
+    # the best first, then each that overlaps none taken
+    taken = F.aggregate("added", F.array().cast("array<struct<kind:int,start:bigint,end:bigint,base:boolean,score:double>>"), lambda kept, x: F.when(
+        F.exists(kept, lambda y: (y["start"] < x["span"]["end"]) & (x["span"]["start"] < y["end"])), kept).otherwise(F.concat(kept, F.array(x["span"]))))
+    each = each.select("rid", "key", F.concat("fixed", taken).alias("spans"))
+    return each.groupBy("rid").agg(F.first("key").alias(key), F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
 
 
 def described(spans: Column) -> Column:
