@@ -2,8 +2,9 @@
 
 A page is scanned once into a tree of elements. Elements that never hold the
 article (scripts, navigation, page headers and footers, sidebars, forms, and
-blocks named as adverts, notices, menus or reader comments) are taken out. For
-every other element the composite text density is computed: characters per tag
+blocks named as adverts, notices, menus or reader comments) are taken out, unless
+they hold an ``article`` or ``main`` element or, on a page without one, most of
+the text. For every other element the composite text density is computed: characters per tag
 below it, adjusted by how many of the characters and tags belong to links. The
 element whose children's densities add up to most is the core of the article
 (and stands for the whole of an ``article`` or ``main`` element around it); the
@@ -53,6 +54,8 @@ BOILERPLATE = frozenset("ad ads advert advertisement advertising adsense sponsor
                         "social related recommended recommendations pagination pager widget copyright skip".split())
 # Words that only count when the whole class or id name consists of them.
 BOILERPLATE_ALONE = frozenset({"header", "top", "bottom", "side", "left", "right", "tags", "links", "search", "reviews", "alert"})
+# Words that turn the one behind them into a property of the layout ("has-sidebar").
+MODIFIERS = frozenset({"has", "no", "with", "without"})
 
 TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -64,18 +67,17 @@ SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "children", "out", "chars", "tags", "link_chars", "link_tags", "density", "total", "content")
+    __slots__ = ("tag", "children", "out", "hidden", "holds", "chars", "tags", "link_chars", "link_tags", "density", "total", "content")
 
-    def __init__(self, tag: str, out: bool):
-        self.tag, self.out, self.children = tag, out, []
+    def __init__(self, tag: str, out: bool, hidden: bool = False):
+        self.tag, self.out, self.hidden, self.children = tag, out, hidden, []
+        self.holds = False
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
         self.content = False
 
 
-def _boilerplate(tag: str, attributes: str) -> bool:
-    if tag in NEVER:
-        return True
+def _hidden(tag: str, attributes: str) -> bool:
     if tag in ("body", "html", "article", "main"):
         return False
     for name, a, b, c in ATTRIBUTE.findall(attributes):
@@ -84,11 +86,22 @@ def _boilerplate(tag: str, attributes: str) -> bool:
             return True
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
+    return False
+
+
+def _boilerplate(tag: str, attributes: str) -> bool:
+    if tag in NEVER:
+        return True
+    if tag in ("body", "html", "article", "main"):
+        return False
+    for name, a, b, c in ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), a or b or c
         if name == "role" and value.lower() in NEVER_ROLE:
             return True
         if name in ("class", "id"):
             for part in value.split():
                 words = [w.lower() for w in NAME.findall(part)]
+                words = [w for i, w in enumerate(words) if not i or words[i - 1] not in MODIFIERS]
                 if not BOILERPLATE.isdisjoint(words) or words and BOILERPLATE_ALONE.issuperset(words):
                     return True
     return False
@@ -156,7 +169,8 @@ def parse(page: str) -> Node:
             closed, bound = ENDS[tag]
             while (hit := last(closed)) and hit > last(bound):
                 close(hit)
-        node = Node(tag, _boilerplate(tag, attributes))
+        hidden = _hidden(tag, attributes)
+        node = Node(tag, hidden or _boilerplate(tag, attributes), hidden)
         stack[-1].children.append(node)
         if tag in VOID or attributes.endswith("/") and tag in ("svg", "path", "use"):
             continue
@@ -168,6 +182,30 @@ def parse(page: str) -> Node:
     return root
 
 
+def _restore(root: Node) -> None:
+    """Puts back elements taken out that hold an ``article`` or ``main`` element;
+    on a page without one, those that hold most of its characters outside links.
+    Articles inside articles (reader comments) do not count, hidden elements stay
+    out, and raw ones have no text here. The density judges what is put back."""
+    order, todo = [], [(root, None, False, False)]
+    while todo:
+        node, parent, linked, within = todo.pop()
+        order.append((node, parent))
+        linked = linked or node.tag == "a"
+        node.chars = 0 if linked else sum(len(SPACE.sub(" ", c).strip()) for c in node.children if isinstance(c, str))
+        node.holds = node.tag in ("article", "main") and not within
+        within = within or node.tag == "article"
+        todo += [(c, node, linked, within) for c in node.children if isinstance(c, Node) and not c.hidden]
+    for node, parent in reversed(order):  # children before parents
+        node.holds = node.holds and node.chars > 0
+        if parent is not None:
+            parent.chars += node.chars
+            parent.holds = parent.holds or node.holds
+    for node, _ in order:
+        if node.out and node.tag not in RAW and node.tag != "head" and (node.holds if root.holds else 2 * node.chars > root.chars):
+            node.out = False
+
+
 def _walk(root: Node) -> list[tuple[Node, Node | None, bool]]:
     """Elements in page order with their parent and whether a link encloses them; boilerplate is left out."""
     order, todo = [], [(root, None, False)]
@@ -275,6 +313,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
+    _restore(root)
     order = _walk(root)
     _measure(order)
     _mark(order)

@@ -30,6 +30,19 @@ def test_main_text(page, text):
     assert html.main_text(page) == text
 
 
+ARTICLE = "<h1>Head</h1><p>" + "A full article has much text. " * 8 + "</p><p>" + "It goes on for a while. " * 8 + "</p>"
+
+
+@pytest.mark.parametrize("start,end", [
+    ("<div class='content has-sidebar'>", "</div>"), ("<div class='site no-sidebar'>", "</div>"), ("<div id=page class=with-banner>", "</div>"),
+    ("<form action=x>", "</form>"), ("<div class='sidebar-layout'>", "</div>"), ("<div class='menu-page'><article>", "</article></div>"),
+    ("<form><div class='banner-wrap'><main>", "</main></div></form>")])
+def test_wrappers_do_not_take_out_the_article(start, end):
+    page = f"<body><nav><a href=/>home</a></nav>{start}{ARTICLE}<div class='sidebar'><p>see also</p></div>{end}<footer>f</footer></body>"
+    text = html.main_text(page)
+    assert text.startswith("Head\nA full article") and text.endswith("for a while.") and "home" not in text and "see also" not in text
+
+
 @pytest.mark.parametrize("page", ["<div>" * 50000 + "x" + "</div>" * 20000, "<p " * 100000, "<a b='" * 50000, "<!--" * 50000,
                                   "</p>" * 50000 + "<p>x" * 50000, "<td>" * 30000 + "x", "<b><p>" * 20000, "<" * 100000, "&" * 100000])
 def test_odd_pages_take_linear_time(page):
