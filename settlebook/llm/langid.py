@@ -135,24 +135,24 @@ def train(texts: list[str], labels: list[str], filters: int = 16, steps: int = 1
 
 
 def sample(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", per_label: int = 400,
-           chars: int = 500, labels: int = 200) -> tuple[list[str], list[str]]:
-    """Excerpts of at most ``per_label`` labelled texts of each of the ``labels``
-    most frequent languages (those bounds are the training sample), from
-    documents whose crc32 of the key as text is no multiple of 5.
+           chars: int = 500) -> tuple[list[str], list[str]]:
+    """Excerpts of at most ``per_label`` labelled texts of each language (that
+    bound is the training sample), from documents whose crc32 of the key as text
+    is no multiple of 5 and that have a letter; no others are counted.
 
     A text takes part if its hash falls under its language's share, which the
     language's row count sets to half as many again as are wanted; the driver
     keeps the lowest hashes. So nothing but counts is grouped by language.
     """
     known = docs.select(F.col(key).alias("key"), F.col(text).alias("t"), F.col(label).alias("label")).where(F.col("label").isNotNull())
-    counts = known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "label").limit(labels).collect()
+    known = known.where(F.col("t").rlike(r"\p{L}") & (F.crc32(F.col("key").cast("string").cast("binary")) % 5 != 0))
+    counts = known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "label").collect()
     if not counts:
         return [], []
     span = 1 << 40
     share = F.create_map(*[x for r in counts for x in (F.lit(r["label"]), F.lit(min(span, 3 * per_label * span // (2 * r["n"]))).cast("long"))])
     h = F.xxhash64("key", "t")
     own = known.where(F.pmod(h, F.lit(span)) < share[F.col("label")])
-    own = own.where(F.col("t").rlike(r"\p{L}") & (F.crc32(F.col("key").cast("string").cast("binary")) % 5 != 0))
     place = F.pmod(h, F.greatest(F.length("t") - chars, F.lit(1))).cast("int") + 1
     rows = own.select("label", F.pmod(h, F.lit(span)).alias("h"), F.substring(F.col("t"), place, F.lit(chars)).alias("t")).collect()
     rows.sort(key=lambda r: (r["label"], r["h"], r["t"]))

@@ -191,6 +191,16 @@ def test_language_of_odd_texts(spark, corpus, nothing):
     assert langid.fit(corpus.withColumn("lang", F.lit(None).cast("string"))) is None
 
 
+def test_every_language_of_training_rows_is_sampled(spark):
+    import zlib
+    ids = {held: [i for i in range(10000) if (zlib.crc32(str(i).encode()) % 5 == 0) == held] for held in (True, False)}
+    rows = [(ids[False][i], f"text {i}", f"l{i % 210}") for i in range(630)]
+    rows += [(i, "held out", "z") for i in ids[True][:1500]] + [(i, f"learned {i}", "z") for i in ids[False][630:642]]
+    texts, labels = langid.sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_label=8)
+    assert set(labels) == {"z", *(f"l{i}" for i in range(210))}
+    assert Counter(labels)["z"] == 8 and "held out" not in texts
+
+
 def test_windows_cover_the_whole_text():
     for n in (1, 255, 256, 257, 5000):
         w, sizes = langid.windows_of(b"a" * n)
