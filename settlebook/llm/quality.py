@@ -4,6 +4,9 @@
 expressions over a text and its words, lines and 8-word windows; ``verdict``
 compiles the table into one boolean expression over them. Everything is
 evaluated by Spark's own functions in a single pass, without a shuffle.
+
+The stop words are English, French, German and Spanish: texts of 100 words or
+more in any other language fail that rule and are not kept.
 """
 
 from __future__ import annotations
