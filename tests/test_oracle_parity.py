@@ -24,11 +24,17 @@ def con():
     return duckdb_connection(SF)
 
 
+# Results that SQL cannot state (learned models, iterated linking, an external
+# tokenizer's ids); tests/llm holds each against brute force.
+WITHOUT_SQL = {"op1_near", "op2_bpe", "op3_html", "op8_pii", "op9_packing", "op10_language", "pipeline"}
+
+
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(ORACLE) <= set(QUERIES)
+    assert set(QUERIES) - set(ORACLE) <= WITHOUT_SQL
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) & set(ORACLE)))
 def test_query_matches_oracle(spark, con, name):
     r = compare(spark, name, QUERIES[name], ORACLE[name], SF, con)
     assert r["ok"], r
