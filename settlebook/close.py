@@ -22,7 +22,9 @@ from settlebook.plans import rules as R
 from settlebook.plans.closing import STAGES
 from settlebook.session import build_session
 from settlebook.sources import DriverTables, settlement_inputs
-from settlebook.sources.warehouse import StageStore, load_inputs
+from settlebook.sources.keys import verified
+from settlebook.sources.stages import StageStore, run_fingerprint
+from settlebook.sources.warehouse import load_inputs, write_stage
 
 
 def main(argv=None) -> None:
@@ -36,7 +38,13 @@ def main(argv=None) -> None:
     when.add_argument("--period-file", help="JSON or TOML file with the period's dates")
     ap.add_argument("--out", required=True, help="folder or catalog database for the stages")
     ap.add_argument("--stages", default="all", help="comma list of stages to write, or 'all'; others are computed in passing")
-    ap.add_argument("--resume", action="store_true", help="read leading stages that are there already")
+    ap.add_argument("--resume", action="store_true",
+                    help="read leading stages that were made from the same period and inputs")
+    ap.add_argument("--buckets", type=int, default=0,
+                    help="with --format table: lay stages out in so many buckets by (event, currency), so joins move no rows")
+    ap.add_argument("--keys", default="raise", choices=["raise", "quarantine", "off"],
+                    help="what to do if events, users, orders or transfers repeat an id: stop, keep one row of each (the others go to "
+                         "quarantine below --out), or do not look")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
     wanted = None if args.stages == "all" else [s for s in args.stages.split(",") if s]
@@ -51,7 +59,13 @@ def main(argv=None) -> None:
         period = Period.from_file(args.period_file) if args.period_file else getattr(Period, args.period)()
         voids = R.DEC_2018_MANUAL_VOIDS_BRL + R.DEC_2018_MANUAL_VOIDS_ARS if december else ()
         x = load_inputs(spark, args.inputs, args.format, voids=voids)
-    close_period(x, period, StageStore(spark, args.out, args.format, wanted, args.resume))
+    x, aside = verified(x, args.keys)
+    for table, rows in aside.items():
+        where = f"{args.out}.quarantine_{table}" if args.format == "table" else f"{args.out.rstrip('/')}/quarantine/{table}"
+        rows.write.mode("overwrite").saveAsTable(where) if args.format == "table" else write_stage(rows, where)
+        print(f"{table}: rows with repeated ids set aside in {where}")
+    store = StageStore(spark, args.out, args.format, wanted, args.resume, run_fingerprint(x, period), args.buckets)
+    close_period(x, period, store)
 
 
 if __name__ == "__main__":

@@ -20,7 +20,7 @@ import datetime as dt
 from functools import reduce
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: the wall-clock zone the settlement cutoffs are written in.
@@ -84,36 +84,67 @@ def _ceil_second(value: dt.datetime) -> dt.datetime:
     return value
 
 
-def local_before(c, bound, tz: str = LOCAL_TZ) -> Column:
+DAY = "_day"  # suffix of the partition column that holds the UTC date of a time column
+_ONE_DAY = dt.timedelta(days=1)
+_TICK = dt.timedelta(microseconds=1)
+
+
+def _date_lit(value: dt.datetime) -> Column:
+    return F.lit(value.date().isoformat()).cast("date")
+
+
+def day_of(df: DataFrame, column: str) -> str | None:
+    """The name of the day column of ``column``, or None if ``df`` has none."""
+    return column + DAY if column + DAY in df.columns else None
+
+
+def before(c, bound, day: str | None = None) -> Column:
+    """``c < bound`` on the stored column. ``day`` names the partition column that
+    holds the UTC date of ``c``, if there is one: the bound it implies is added,
+    so that partitions beyond it are not even listed for reading."""
+    p = col_of(c) < ts_lit(bound)
+    return p if day is None else p & (F.col(day) <= _date_lit(_parse(bound) - _TICK))
+
+
+def at_or_after(c, bound, day: str | None = None) -> Column:
+    """``c >= bound`` on the stored column (``day`` as in :func:`before`)."""
+    p = col_of(c) >= ts_lit(bound)
+    return p if day is None else p & (F.col(day) >= _date_lit(_parse(bound)))
+
+
+def local_before(c, bound, tz: str = LOCAL_TZ, day: str | None = None) -> Column:
     """``local_ts(c) < bound``."""
     b = _ceil_second(_parse(bound))
     utc = local_to_utc(b, tz)
-    if utc is None:
-        return local_ts(c, tz) < ts_lit(bound)
-    return col_of(c) < ts_lit(utc)
+    if utc is not None:
+        return before(c, utc, day)
+    p = local_ts(c, tz) < ts_lit(bound)
+    return p if day is None else p & (F.col(day) <= _date_lit(b + _ONE_DAY))
 
 
-def local_at_or_after(c, bound, tz: str = LOCAL_TZ) -> Column:
+def local_at_or_after(c, bound, tz: str = LOCAL_TZ, day: str | None = None) -> Column:
     """``local_ts(c) >= bound``."""
     b = _ceil_second(_parse(bound))
     utc = local_to_utc(b, tz)
-    if utc is None:
-        return local_ts(c, tz) >= ts_lit(bound)
-    return col_of(c) >= ts_lit(utc)
+    if utc is not None:
+        return at_or_after(c, utc, day)
+    p = local_ts(c, tz) >= ts_lit(bound)
+    return p if day is None else p & (F.col(day) >= _date_lit(b - _ONE_DAY))
 
 
-def local_at_or_before(c, bound, tz: str = LOCAL_TZ) -> Column:
+def local_at_or_before(c, bound, tz: str = LOCAL_TZ, day: str | None = None) -> Column:
     """``local_ts(c) <= bound``."""
     b = _parse(bound).replace(microsecond=0) + _ONE_SECOND
     utc = local_to_utc(b, tz)
-    if utc is None:
-        return local_ts(c, tz) <= ts_lit(bound)
-    return col_of(c) < ts_lit(utc)
+    if utc is not None:
+        return before(c, utc, day)
+    p = local_ts(c, tz) <= ts_lit(bound)
+    return p if day is None else p & (F.col(day) <= _date_lit(b + _ONE_DAY))
 
 
-def local_between(c, low, high, tz: str = LOCAL_TZ) -> Column:
+def local_between(c, low, high, tz: str = LOCAL_TZ, day: str | None = None) -> Column:
     """``local_ts(c) BETWEEN low AND high`` (both ends inclusive)."""
-    return local_at_or_after(c, low, tz) & local_at_or_before(c, high, tz)
+    return local_at_or_after(c, low, tz, day) & local_at_or_before(c, high, tz, day)
 
 
 def effective_local(cols, tz: str = LOCAL_TZ) -> Column:

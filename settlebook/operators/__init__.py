@@ -1,4 +1,4 @@
-from settlebook.operators.anti import duplicated_keys, exists_flag, not_in  # noqa: F401
+from settlebook.operators.anti import Facts, KeySet, duplicated_keys, exists_flag, not_in, set_facts  # noqa: F401
 from settlebook.operators.conditional import (  # noqa: F401
     Bucket, bucket_sum, combine_bucket_sums, conditional_sums, partial_bucket_sums,
 )

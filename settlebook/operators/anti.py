@@ -2,12 +2,60 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _KEY = "_set_key"
 
 
+@dataclass(frozen=True)
+class KeySet:
+    """The right-hand side of an IN or NOT IN: ``key`` of the rows of ``rows`` where ``where`` holds."""
+    rows: DataFrame
+    key: str
+    where: Column | None = None
+
+    def keys(self) -> DataFrame:
+        kept = self.rows if self.where is None else self.rows.where(self.where)
+        return kept.select(self.key)
+
+
+@dataclass(frozen=True)
+class Facts:
+    """What NOT IN needs to know of a set besides its members."""
+    rows: int
+    nulls: int
+
+
+def set_facts(**sets: KeySet) -> dict[str, Facts]:
+    """Rows and NULL rows of several key sets, by one job.
+
+    Sets over the same table are counted in one pass over it (a narrow scan and
+    a global aggregate); only two numbers per set come to the driver. Facts are
+    literals in the plans that use them, so those hold no subqueries, and a set
+    that is empty or holds a NULL leaves no join at all.
+    """
+    tables: dict[int, list[str]] = {}
+    for name, s in sets.items():
+        tables.setdefault(id(s.rows), []).append(name)
+    parts = []
+    for names in tables.values():
+        counts, every = [], all(sets[n].where is not None for n in names)
+        for n in names:
+            s = sets[n]
+            inside = F.lit(True) if s.where is None else F.coalesce(s.where, F.lit(False))
+            counts.append(F.struct(F.lit(n).alias("name"), F.count_if(inside).alias("rows"), F.count_if(inside & F.col(s.key).isNull()).alias("nulls")))
+        rows = sets[names[0]].rows
+        if every:  # a filter that the scan can use
+            rows = rows.where(reduce(lambda a, b: a | b, [sets[n].where for n in names]))
+        parts.append(rows.agg(F.array(*counts).alias("facts")))
+    found = reduce(lambda a, b: a.unionByName(b), parts).collect()
+    return {f["name"]: Facts(f["rows"], f["nulls"]) for row in found for f in row["facts"]}
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -20,7 +68,7 @@ def _key_column(keyset: DataFrame, key_col) -> Column:
     return _col(key_col)
 
 
-def not_in(df: DataFrame, key, keyset: DataFrame, key_col=None, keys_unique: bool = False) -> DataFrame:
+def not_in(df: DataFrame, key, keyset: DataFrame, key_col=None, keys_unique: bool = False, facts: Facts | None = None) -> DataFrame:
     """Rows of ``df`` where ``key NOT IN (SELECT key_col FROM keyset)``, with
     SQL's three-valued semantics:
 
@@ -36,17 +84,26 @@ def not_in(df: DataFrame, key, keyset: DataFrame, key_col=None, keys_unique: boo
     is joined as it is, so that both inputs are plain shuffles and AQE can
     split a hot key of ``df``.
 
-    One one-row scalar subquery over the key column alone (a narrow scan)
-    settles the NULL cases: ``count(*)`` is 0 for an empty set, and
-    ``count(*) != count(key)`` when the set holds a NULL.
+    The NULL cases are settled by ``facts`` (:func:`set_facts`; one job for all
+    sets of a step). Without them the plan stays fully lazy: one one-row scalar
+    subquery over the key column alone (a narrow scan) does it, where
+    ``count(*)`` is 0 for an empty set, and ``count(*) != count(key)`` when the
+    set holds a NULL.
     """
     k = _key_column(keyset, key_col)
     keys = keyset.select(k.alias(_KEY))
-    stats = keys.select(F.struct(F.count(F.lit(1)).alias("n"), F.count(_KEY).alias("nn")).alias("s")).scalar()
-    n, nn = stats.getField("n"), stats.getField("nn")
-    # One expression on the key (no key-free conjunct that Catalyst could
-    # propagate across the join into the key set's plan).
-    keep = F.when(n != nn, F.lit(False)).when(_col(key).isNull(), n == 0).otherwise(F.lit(True))
+    if facts is not None:
+        if facts.nulls:
+            return df.where(F.lit(False))
+        if not facts.rows:
+            return df
+        keep = _col(key).isNotNull()
+    else:
+        stats = keys.select(F.struct(F.count(F.lit(1)).alias("n"), F.count(_KEY).alias("nn")).alias("s")).scalar()
+        n, nn = stats.getField("n"), stats.getField("nn")
+        # One expression on the key (no key-free conjunct that Catalyst could
+        # propagate across the join into the key set's plan).
+        keep = F.when(n != nn, F.lit(False)).when(_col(key).isNull(), n == 0).otherwise(F.lit(True))
     members = keys if keys_unique else keys.distinct()
     return df.where(keep).join(members, _col(key) == F.col(_KEY), "left_anti")
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from settlebook.functions.timez import local_at_or_after, local_before
-from settlebook.operators import Bucket, not_in, partial_bucket_sums
+from settlebook.functions.timez import DAY, day_of, local_at_or_after, local_before
+from settlebook.operators import Bucket, KeySet, exists_flag, partial_bucket_sums, set_facts
 from settlebook.plans import rules as R
 from settlebook.plans.period import Period
 
@@ -16,8 +16,10 @@ _SETTLED = "_settled"
 def charge_snapshot(charges: DataFrame, period: Period) -> DataFrame:
     """OP9: charges created (local wall clock) before the period cutoff, in a
     supported currency."""
-    return charges.where(local_before("created", period.charges_created_before, period.tz)
+    day = day_of(charges, "created")
+    kept = charges.where(local_before("created", period.charges_created_before, period.tz, day)
                          & F.col("currency").isin(*R.CHARGE_CURRENCIES))
+    return kept.drop(*(c for c in kept.columns if c.endswith(DAY)))
 
 
 def charge_bucket_rules(period: Period) -> list[Bucket]:
@@ -54,24 +56,39 @@ def with_settled(charges: DataFrame, period: Period) -> DataFrame:
     return charges.withColumn(_SETTLED, recent | legacy)
 
 
-def charge_buckets(payout_level: DataFrame, charges: DataFrame, wire_ins: DataFrame,
-                   period: Period) -> DataFrame:
+def charge_sums(charges: DataFrame, period: Period) -> DataFrame:
+    """The charges summed into buckets per (event_id, currency), with a partial aggregate."""
+    return (with_settled(charges, period)
+            .groupBy(F.col("event").alias("event_id"), "currency")
+            .agg(*partial_bucket_sums(charge_bucket_rules(period), F.col("amount")))
+            .withColumn("_matched", F.lit(True)))
+
+
+def charge_buckets(payout_level: DataFrame, charges: DataFrame | None, wire_ins: DataFrame,
+                   period: Period, sums: DataFrame | None = None) -> DataFrame:
     """OP10: payout-level rows (minus events with wire-ins) left-joined with
-    their charges on (event, currency) and summed into buckets.
+    their charges on (event, currency) and summed into buckets. ``sums`` are
+    those of :func:`charge_sums`, if they are there already.
 
-    Charges are pre-aggregated per (event, currency) with a partial aggregate
-    and joined once. Since payout-level rows are unique on all their columns,
+    Charges are pre-aggregated per (event, currency) and joined once. Since
+    payout-level rows are unique on all their columns,
     this equals the direct join-then-group-by-31-columns; a row without
     charges gets NULL buckets and a 0 total, as in the direct form. A
     payout-level key repeated with several organisers receives the same
     charges on each of its rows, as in the direct form."""
     buckets = charge_bucket_rules(period)
-    c = (with_settled(charges, period)
-         .groupBy(F.col("event").alias("_c_event"), F.col("currency").alias("_c_currency"))
-         .agg(*partial_bucket_sums(buckets, F.col("amount")))
-         .withColumn("_matched", F.lit(True)))
-    p = not_in(payout_level, "event_id", wire_ins, "event_id")
-    j = p.join(c, (F.col("event_id") == F.col("_c_event")) & (F.col("currency") == F.col("_c_currency")), "left")
+    c = charge_sums(charges, period) if sums is None else sums
+    c = c.withColumnsRenamed({"event_id": "_c_event", "currency": "_c_currency"})
+    j = payout_level.join(c, (F.col("event_id") == F.col("_c_event")) & (F.col("currency") == F.col("_c_currency")), "left")
+    # NOT IN on the event commutes with the join, whose sides may lie ready by
+    # (event, currency). As a flag it stays above; an anti join would be pushed
+    # below, and shuffle by event what lies by both.
+    wired = set_facts(wire_ins=KeySet(wire_ins, "event_id"))["wire_ins"]
+    if wired.nulls:
+        j = j.where(F.lit(False))
+    elif wired.rows:
+        j = exists_flag(j, "event_id", wire_ins, "_wired_in", "event_id")
+        j = j.where(F.col("event_id").isNotNull() & ~F.col("_wired_in"))
     out = [F.col(x) for x in payout_level.columns]
     for b in buckets:
         v = F.col(b.name)

@@ -18,9 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from settlebook.functions.money import cents_to_units
-from settlebook.functions.timez import local_at_or_after, local_before, ts_lit
+from settlebook.functions.timez import at_or_after, before, day_of, local_at_or_after, local_before
 from settlebook.operators import (
-    duplicated_keys, exists_flag, full_merge, latest_as_of, newest, not_in,
+    Facts, KeySet, duplicated_keys, exists_flag, full_merge, latest_as_of, newest, not_in, set_facts,
 )
 from settlebook.plans import rules as R
 from settlebook.plans.period import Period
@@ -51,8 +51,8 @@ def itemized_net_sales(items: DataFrame, orders: DataFrame, events: DataFrame, u
     """OP1: net sales from line-level itemizations in [itemized_from, itemized_to),
     without transfer orders, excluded events and events duplicated in the
     prior period's output."""
-    created = F.col("transaction_created")
-    it = items.where((created >= ts_lit(period.itemized_from)) & (created < ts_lit(period.itemized_to)))
+    created, day = "transaction_created", day_of(items, "transaction_created")
+    it = items.where(at_or_after(created, period.itemized_from, day) & before(created, period.itemized_to, day))
     # Fold line items per (order, event, currency) first: a partial aggregate,
     # so an order or event with a huge number of lines is reduced map-side.
     # Sums of partial sums equal the sums (NULL rows drop out either way), and
@@ -61,7 +61,11 @@ def itemized_net_sales(items: DataFrame, orders: DataFrame, events: DataFrame, u
     per_order = it.groupBy("order_id", "event_id", "currency").agg(
         F.sum(_sum_expr(R.EPP_COMPONENTS)).alias("_epp_cents"),
         F.sum(reduce(lambda a, b: a - b, [F.lit(0)] + [F.col(c) for c in R.OFFLINE_DEDUCTIONS])).alias("_offline_cents"))
-    per_order = not_in(per_order, "order_id", transfers, "order_id")
+    # The NULL and empty cases of all three NOT IN sets: one job, before the plan is built.
+    repeated = duplicated_keys(prior_event_level, "event_id")
+    only = exclusions.columns[0]
+    facts = set_facts(transfers=KeySet(transfers, "order_id"), excluded=KeySet(exclusions, only), repeated=KeySet(repeated, "event_id"))
+    per_order = not_in(per_order, "order_id", transfers, "order_id", facts=facts["transfers"])
     # Partitioned by order id once: that serves both the DISTINCT (a subset of
     # its keys) and the join, instead of one shuffle for each.
     order_keys = orders.select(F.col("id").alias("_o_id"), F.col("event").alias("_o_event"),
@@ -71,8 +75,12 @@ def itemized_net_sales(items: DataFrame, orders: DataFrame, events: DataFrame, u
                       F.coalesce("currency", "_o_currency").alias("currency"))
              .agg(F.sum("_epp_cents").alias("_epp_cents"), F.sum("_offline_cents").alias("_offline_cents")))
     # NOT IN on the event key commutes with grouping by it: filter the aggregate.
-    sums = not_in(sums, "event_id", exclusions)
-    sums = not_in(sums, "event_id", duplicated_keys(prior_event_level, "event_id"))
+    # Both event sets are one: an event is out if it is excluded or counted twice before.
+    marks = exclusions.select(F.col(only).alias("event_id"), F.lit(2).alias("_mark")).unionAll(
+        prior_event_level.select("event_id", F.lit(1).alias("_mark")))
+    out_of = marks.groupBy("event_id").agg(F.sum("_mark").alias("_marks")).where("_marks > 1").select("event_id")
+    both = Facts(facts["excluded"].rows + facts["repeated"].rows, facts["excluded"].nulls + facts["repeated"].nulls)
+    sums = not_in(sums, "event_id", out_of, keys_unique=True, facts=both)
     out = _event_attributes(sums, events, users, how="left")
     return out.select(
         "event_id", "current_status", "org_uid", "account_type", "currency", "end_date",
@@ -90,15 +98,15 @@ def _qualifying(history: DataFrame, transfers: DataFrame | None, period: Period,
     before ``history_split`` unless the order is a transfer. Later versions
     count for transfers alone, so only those of transfer orders (a semi join
     on the later part of the log) go on."""
-    c = F.col("changed")
+    c, day = "changed", day_of(history, "changed")
     if local:
-        start = local_at_or_after(c, period.history_from, period.tz)
-        before_split = local_before(c, period.history_split, period.tz)
-        after_split = local_at_or_after(c, period.history_split, period.tz)
+        start = local_at_or_after(c, period.history_from, period.tz, day)
+        before_split = local_before(c, period.history_split, period.tz, day)
+        after_split = local_at_or_after(c, period.history_split, period.tz, day)
     else:
-        start = c >= ts_lit(period.history_from)
-        before_split = c < ts_lit(period.history_split)
-        after_split = c >= ts_lit(period.history_split)
+        start = at_or_after(c, period.history_from, day)
+        before_split = before(c, period.history_split, day)
+        after_split = at_or_after(c, period.history_split, day)
     rows = history.where(start & F.col("payment_type").isin(*R.NET_SALES_PAYMENT_TYPES)
                          & F.col("status").isin(*R.ORDER_STATUSES_KEPT))
     early = rows.where(before_split)
@@ -115,8 +123,8 @@ def _newest_per_event(rows: DataFrame) -> DataFrame:
 
 
 def _current_paid(orders: DataFrame, period: Period, local: bool) -> DataFrame:
-    c = F.col("changed")
-    before_split = local_before(c, period.history_split, period.tz) if local else c < ts_lit(period.history_split)
+    c, day = "changed", day_of(orders, "changed")
+    before_split = local_before(c, period.history_split, period.tz, day) if local else before(c, period.history_split, day)
     return orders.where((F.col("status") == R.ORDER_STATUS_PAID) & before_split
                         & F.col("payment_type").isin(*R.NET_SALES_PAYMENT_TYPES))
 
@@ -221,7 +229,7 @@ def with_parent(net_sales: DataFrame, events: DataFrame) -> DataFrame:
 
 def latest_payment_options(options: DataFrame, period: Period) -> DataFrame:
     return latest_as_of(options, ["event_id"], NEWEST_FIRST,
-                        where=F.col("changed") < ts_lit(period.options_before))
+                        where=before("changed", period.options_before, day_of(options, "changed")))
 
 
 def apply_payment_options(net_sales: DataFrame, options: DataFrame, period: Period) -> DataFrame:

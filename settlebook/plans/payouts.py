@@ -8,8 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from settlebook.functions.timez import effective_before, local_before, local_between, ts_lit
-from settlebook.operators import Bucket, combine_bucket_sums, exists_flag, newest, not_in, partial_bucket_sums
+from settlebook.functions.timez import before, day_of, effective_before, local_before, local_between, ts_lit
+from settlebook.operators import Bucket, KeySet, combine_bucket_sums, exists_flag, newest, not_in, partial_bucket_sums, set_facts
 from settlebook.plans import rules as R
 from settlebook.plans.period import Period
 
@@ -66,12 +66,6 @@ def latam_rule(period: Period) -> Column:
             & ~F.col("status").isin(*R.LATAM_EXCLUDED_STATUSES))
 
 
-def _counts(df: DataFrame, col: str) -> tuple[Column, Column]:
-    """One-row scalar subquery: (rows, rows whose ``col`` is NULL)."""
-    s = df.select(F.struct(F.count(F.lit(1)).alias("n"), F.count(col).alias("nn")).alias("s")).scalar()
-    return s.getField("n"), s.getField("n") - s.getField("nn")
-
-
 def payout_snapshot(history: DataFrame, current: DataFrame, manual_voids: DataFrame,
                     period: Period) -> DataFrame:
     """OP7: one row per payout and source: the latest qualifying log version
@@ -86,10 +80,10 @@ def payout_snapshot(history: DataFrame, current: DataFrame, manual_voids: DataFr
 
     The BRL/ARS family's ``payout_id NOT IN (payouts ever wired)`` tests the
     ranking key against a set made of whole groups of the same aggregate, so
-    membership is the row's own wired flag; the set's NULL / empty cases come
-    from one one-row count whose filter reaches the scan. The manual-void
-    NOT IN is a flag join against that (small) table plus its own NULL /
-    empty count. Current payouts are anti-joined against the distinct ids of
+    membership is the row's own wired flag. The manual-void NOT IN is a flag
+    join against that (small) table. The NULL / empty cases of all sets come
+    from one job over the id columns (:func:`~settlebook.operators.set_facts`),
+    run when the plan is built. Current payouts are anti-joined against the distinct ids of
     the whole log (one narrow column): a payout that the log holds only in
     versions that never qualify is known to it all the same.
 
@@ -111,8 +105,15 @@ def payout_snapshot(history: DataFrame, current: DataFrame, manual_voids: DataFr
         F.max(F.when(wired, 1).otherwise(0)).alias("_wired"))
 
     pid = F.col("payout_id")
-    n_wired, n_wired_null = _counts(history.where(wired), "payout_id")
-    not_wired = (n_wired_null == 0) & ((n_wired == 0) | (pid.isNotNull() & (F.col("_wired") == 0)))
+    # Facts of the three NOT IN sets: one job, two of them in one pass over the log's ids.
+    facts = set_facts(wired=KeySet(history, "payout_id", wired), logged=KeySet(history, "payout_id"), voided=KeySet(manual_voids, "payout_id"))
+
+    def outside(name: str, member: Column) -> Column:
+        if facts[name].nulls:
+            return F.lit(False)
+        return pid.isNotNull() & ~member if facts[name].rows else F.lit(True)
+
+    not_wired = outside("wired", F.col("_wired") == 1)
     latam_ok = (F.col("_latam").isNotNull() & ~F.col("_latam").eqNullSafe(F.col("_matrix")) & not_wired)
     rows = per_payout.select(pid, F.explode(F.array(
         F.struct(F.lit(True).alias("matrix"), F.col("_matrix").alias("v")),
@@ -121,14 +122,12 @@ def payout_snapshot(history: DataFrame, current: DataFrame, manual_voids: DataFr
                .where(F.col("_v").isNotNull())
 
     void_ids = manual_voids.select(F.col("payout_id").alias("_void"))
-    n_voids, n_void_null = _counts(void_ids, "_void")
     rows = exists_flag(rows, "payout_id", void_ids, "_voided", "_void")
-    not_void = (n_void_null == 0) & ((n_voids == 0) | (pid.isNotNull() & ~F.col("_voided")))
-    logged = rows.where(F.col("_is_matrix") | not_void).select(
+    logged = rows.where(F.col("_is_matrix") | outside("voided", F.col("_voided"))).select(
         pid, *[F.col(f"_v.{c}").alias(c) for c in cols if c != "payout_id"], F.lit("history_payout").alias("source"))
 
-    fresh = current.where(F.col("created") < ts_lit(period.payouts_created_before))
-    fresh = not_in(fresh, "id", history.select("payout_id"), "payout_id")
+    fresh = current.where(before("created", period.payouts_created_before, day_of(current, "created")))
+    fresh = not_in(fresh, "id", history.select("payout_id"), "payout_id", facts=facts["logged"])
     fresh = fresh.select(
         *[F.col("id").alias("payout_id") if c == "payout_id" else
           F.col("event").alias("event_id") if c == "event_id" else
@@ -175,19 +174,26 @@ def payout_bucket_rules(currency: Column) -> list[Bucket]:
     return b
 
 
-def payout_buckets(net_sales: DataFrame, snapshot: DataFrame) -> DataFrame:
+def payout_sums(snapshot: DataFrame) -> DataFrame:
+    """The payouts summed into buckets per (event_id, currency, user_id): a
+    partial aggregate, so a hot event is folded before the shuffle."""
+    buckets = payout_bucket_rules(F.col("currency"))
+    return (snapshot.groupBy("event_id", "currency", "user_id")
+                    .agg(*partial_bucket_sums(buckets, F.col("amount")))
+                    .withColumn("_matched", F.lit(True)))
+
+
+def payout_buckets(net_sales: DataFrame, snapshot: DataFrame | None = None, sums: DataFrame | None = None) -> DataFrame:
     """OP8: net sales full-outer-joined with the payout snapshot on (event,
-    currency), payouts summed into buckets per (event, ..., organiser).
+    currency), payouts summed into buckets per (event, ..., organiser). ``sums``
+    are those of :func:`payout_sums`, if they are there already.
 
-    The many side is pre-aggregated per (event_id, currency, user_id) with a
-    partial aggregate before any shuffle, then joined and re-aggregated. This
-    equals the direct join-then-group because the net-sales side has one row
-    per (event_id, currency); unmatched net-sales rows get 0 (what the single
-    all-NULL joined row contributes in the direct form)."""
+    The many side is pre-aggregated per (event_id, currency, user_id), then
+    joined and re-aggregated. This equals the direct join-then-group because the
+    net-sales side has one row per (event_id, currency); unmatched net-sales rows
+    get 0 (what the single all-NULL joined row contributes in the direct form)."""
     buckets = payout_bucket_rules(F.col("currency"))
-    p = (snapshot.groupBy("event_id", "currency", "user_id")
-                 .agg(*partial_bucket_sums(buckets, F.col("amount")))
-                 .withColumn("_matched", F.lit(True)))
+    p = payout_sums(snapshot) if sums is None else sums
     e, pa = net_sales.alias("e"), p.alias("p")
     j = e.join(pa, (F.col("e.event_id") == F.col("p.event_id")) & (F.col("p.currency") == F.col("e.currency")),
                "full_outer")

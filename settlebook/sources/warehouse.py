@@ -8,29 +8,14 @@ driver's test tables.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from settlebook.sources.adapters import SettlementInputs
+from settlebook.sources.schema import CONTRACT, TIME, conform_all
 
 # Table name per input (override any of them with ``names=``).
-INPUT_TABLES = {
-    "events": "events",
-    "users": "users",
-    "orders": "orders",
-    "history_orders": "history_orders",
-    "order_itemizations": "order_itemizations",
-    "history_payouts": "history_payouts",
-    "payouts": "payouts",
-    "history_payment_options": "history_payment_options",
-    "invoice_charges": "invoice_charges",
-    "transfer_orders": "transfer_orders",
-    "event_exclusions": "event_exclusions",
-    "prior_event_level": "prior_event_level",
-    "wire_in_events": "wire_in_events",
-    "manual_voids": "manual_voids",
-}
+INPUT_TABLES = {name: name for name in CONTRACT}
 
 
 def read_table(spark: SparkSession, where: str, name: str, fmt: str = "parquet") -> DataFrame:
@@ -41,57 +26,43 @@ def read_table(spark: SparkSession, where: str, name: str, fmt: str = "parquet")
     return spark.read.format(fmt).load(f"{where.rstrip('/')}/{name}")
 
 
+def read_input(spark: SparkSession, where: str, table: str, field: str, fmt: str = "parquet") -> DataFrame:
+    """The stored table of an input. Instants in Parquet files are read as UTC
+    wall clocks at once, by asking the reader for them: so cutoffs on them are
+    pushed into the scan as they are for wall clocks. (Instants of a catalog
+    table are turned into wall clocks above the scan, see ``schema``.)"""
+    df = read_table(spark, where, table, fmt)
+    times = {c for c, kind in CONTRACT[field].items() if kind == TIME}
+    if fmt == "parquet" and any(f.name in times and isinstance(f.dataType, T.TimestampType) for f in df.schema.fields):
+        schema = T.StructType([T.StructField(f.name, T.TimestampNTZType()) if f.name in times and isinstance(f.dataType, T.TimestampType) else f
+                               for f in df.schema.fields])
+        df = spark.read.schema(schema).parquet(f"{where.rstrip('/')}/{table}")
+    return df
+
+
 def load_inputs(spark: SparkSession, where: str, fmt: str = "parquet",
                 names: dict[str, str] | None = None, voids=()) -> SettlementInputs:
-    """The inputs by table name. ``voids`` are the payout ids voided by hand,
-    used where there is no ``manual_voids`` table."""
+    """The inputs by table name, in their declared types (``schema.CONTRACT``);
+    one ``SchemaError`` names every column that is missing or of a wrong type.
+    ``voids`` are the payout ids voided by hand, used where there is no
+    ``manual_voids`` table."""
     n = {**INPUT_TABLES, **(names or {})}
-    found = {field: read_table(spark, where, table, fmt) for field, table in n.items()
+    found = {field: read_input(spark, where, table, field, fmt) for field, table in n.items()
              if field != "manual_voids" or table_exists(spark, where, table, fmt)}
-    return SettlementInputs(**{"manual_voids": manual_voids_table(spark, voids), **found} if "manual_voids" not in found else found)
+    if "manual_voids" not in found:
+        found["manual_voids"] = manual_voids_table(spark, voids)
+    return SettlementInputs(**conform_all(found))
 
 
 def write_stage(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
-    """Materialise a stage (the CREATE TABLE AS of a close): replaces any
-    previous output in one step, so a re-run never needs a DROP first."""
+    """Write a table in place of what is at ``path``. The former files go first:
+    for a stage that others read, use :class:`~settlebook.sources.stages.StageStore`."""
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
 
 
-class StageStore:
-    """Writes stages as folders below ``where`` or, with ``fmt="table"``, as
-    tables of the catalog database ``where``, and returns them as read back.
-
-    ``stages`` names those to keep (None: all); others stay lazy. With
-    ``resume``, leading stages that a former run has written are read instead
-    of computed; from the first missing one on everything is written anew.
-    """
-
-    def __init__(self, spark: SparkSession, where: str, fmt: str = "parquet", stages=None, resume: bool = False):
-        self.spark, self.where, self.fmt, self.stages, self.resume = spark, where.rstrip("/"), fmt, stages, resume
-
-    def _name(self, stage: str) -> str:
-        return (f"{self.where}.{stage}" if self.where else stage) if self.fmt == "table" else f"{self.where}/{stage}"
-
-    def written(self, stage: str) -> bool:
-        if self.fmt == "table":
-            return self.spark.catalog.tableExists(self._name(stage))
-        return path_exists(self.spark, f"{self._name(stage)}/_SUCCESS")
-
-    def __call__(self, stage: str, make: Callable[[], DataFrame]) -> DataFrame:
-        if self.stages is not None and stage not in self.stages:
-            return make()
-        self.resume = self.resume and self.written(stage)
-        if not self.resume:
-            if self.fmt == "table":
-                make().write.mode("overwrite").saveAsTable(self._name(stage))
-            else:
-                write_stage(make(), self._name(stage), self.fmt)
-        return read_table(self.spark, self.where, stage, self.fmt)
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
