@@ -158,16 +158,18 @@ class Encoder:
     """Text to ids: each match of ``pattern`` by itself, a match that is a
     token as that token, all others by merging."""
 
-    def __init__(self, path: str, pattern: str, limit: int = 300_000):
-        self.voc, self.split, self.limit = Vocabulary(path), regex.compile(pattern).findall, limit
-        self.known: dict[str, bytes] = {}
+    def __init__(self, path: str, pattern: str, most: int = 48 << 20):
+        self.voc, self.split, self.most = Vocabulary(path), regex.compile(pattern).findall, most
+        self.known: dict[str, bytes] = {}  # matches of up to SHORT bytes, in about ``most`` bytes of memory
+        self.held = 0
         self.texts = ChunkEncoder(self.encode_pieces)
 
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        if len(self.known) > self.limit:
+        if self.held > self.most:
             self.known.clear()
+            self.held = 0
         parts = [self.split(p) for p in pieces]
-        known = self.known
+        known, passing = self.known, {}
         new = dict.fromkeys(m for ms in parts for m in ms if m not in known)
         queues: dict[int, list[tuple[str, bytes]]] = {8: [], 16: [], SHORT: []}
         for m in new:
@@ -176,14 +178,17 @@ class Encoder:
             if r is not None:
                 known[m] = r.to_bytes(4, "little")
             elif len(b) > SHORT:
-                known[m] = merge_long(b, self.voc)
+                passing[m] = merge_long(b, self.voc)
             else:
                 queues[8 if len(b) <= 8 else 16 if len(b) <= 16 else SHORT].append((m, b))
         for size, queue in queues.items():
             for i in range(0, len(queue), 8192):
                 part = queue[i:i + 8192]
                 known.update(zip((m for m, _ in part), merge_short([b for _, b in part], self.voc, size)))
-        return [b"".join(map(known.__getitem__, ms)) for ms in parts]
+        self.held += 300 * (len(new) - len(passing))  # a match, its ids and a place in the table
+        if not passing:
+            return [b"".join(map(known.__getitem__, ms)) for ms in parts]
+        return [b"".join([known[m] if m in known else passing[m] for m in ms]) for ms in parts]
 
     def encode(self, texts) -> Iterator[np.ndarray]:
         for b in self.texts(texts):

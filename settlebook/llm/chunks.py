@@ -29,14 +29,17 @@ def pieces_of(text: str) -> list[str]:
 
 class ChunkEncoder:
     """``encode(pieces)`` returns, per piece, its ids as little-endian uint32
-    bytes. ``limit`` bounds the remembered pieces: beyond it the memory starts
-    afresh (results do not depend on it)."""
+    bytes. Pieces of at most ``longest`` characters are remembered, in a memory
+    of about ``most`` bytes (beyond it the memory starts afresh; results do not
+    depend on it); longer ones, such as text without spaces, are encoded where
+    they stand and forgotten with their text."""
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 400_000):
-        self.encode, self.limit = encode, limit
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], most: int = 96 << 20, longest: int = 64):
+        self.encode, self.most, self.longest = encode, most, longest
         self.known: dict[str, bytes] = {}
+        self.held = 0
 
-    def __call__(self, texts: Iterable[str], budget: int = 4_000_000) -> Iterator[bytes]:
+    def __call__(self, texts: Iterable[str], budget: int = 2_000_000) -> Iterator[bytes]:
         """Ids of each text, as bytes; texts are taken in groups of about ``budget`` characters."""
         group, size = [], 0
         for t in texts:
@@ -49,11 +52,16 @@ class ChunkEncoder:
             yield from self._group(group)
 
     def _group(self, texts: list[str]) -> Iterator[bytes]:
-        if len(self.known) > self.limit:
+        if self.held > self.most:
             self.known.clear()
+            self.held = 0
         known, cut = self.known, [pieces_of(t) for t in texts]
         new = list(set().union(*cut).difference(known))
-        if new:
-            known.update(zip(new, self.encode(new)))
+        short, long = [p for p in new if len(p) <= self.longest], [p for p in new if len(p) > self.longest]
+        if short:
+            ids = self.encode(short)
+            known.update(zip(short, ids))
+            self.held += sum(map(len, ids)) + sum(map(len, short)) + 250 * len(short)  # two objects and a place in the table
+        passing = dict(zip(long, self.encode(long))) if long else {}
         for pieces in cut:
-            yield b"".join(map(known.__getitem__, pieces))
+            yield b"".join([known[p] if p in known else passing[p] for p in pieces])

@@ -10,17 +10,22 @@ of labelled texts, and then travels to the tasks (some tens of kilobytes).
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from settlebook.llm.scratch import bounded_batches
+
 CLASSES, LENGTH, WIDTHS = 64, 256, (2, 3, 4)
-LETTER = re.compile(r"[^\W\d_]")
+
+
+def lettered(text: str) -> Column:
+    """The text if it has a letter (Unicode category L), else null: the one test for learning and prediction."""
+    return F.when(F.col(text).rlike(r"\p{L}"), F.col(text))
 
 
 def _class_table() -> np.ndarray:
@@ -86,11 +91,13 @@ def windows_of(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarra
     return classes.reshape(n, length), sizes
 
 
-def train(texts: list[str], labels: list[str], filters: int = 16, steps: int = 1500, batch: int = 64, seed: int = 7) -> Network:
+def train(texts: list[str], labels: list[str], filters: int = 16, steps: int = 1500, steps_each: int = 25, batch: int = 64, seed: int = 7) -> Network:
     """A network fitted to the labelled texts by Adam on the cross entropy,
-    with a rate that falls to a fiftieth."""
+    with a rate that falls to a fiftieth; ``steps``, or ``steps_each`` per
+    language if that is more."""
     rng = np.random.default_rng(seed)
     languages = sorted(set(labels))
+    steps = max(steps, steps_each * len(languages))
     x, y = [], []
     for t, label in zip(texts, labels):
         w, sizes = windows_of(t.encode())
@@ -135,20 +142,23 @@ def train(texts: list[str], labels: list[str], filters: int = 16, steps: int = 1
 
 
 def sample(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", per_label: int = 400,
-           chars: int = 500) -> tuple[list[str], list[str]]:
-    """Excerpts of at most ``per_label`` labelled texts of each language (that
-    bound is the training sample), from documents whose crc32 of the key as text
-    is no multiple of 5 and that have a letter; no others are counted.
+           chars: int = 500, labels: int = 1000, most: int = 80_000) -> tuple[list[str], list[str]]:
+    """The training sample: excerpts of at most ``per_label`` rows of each of the
+    ``labels`` labels that the most rows have, and of ``most`` rows in all (so at
+    most 40 MB of text reach the driver, whatever the column holds), from
+    documents whose crc32 of the key as text is no multiple of 5 and that have a
+    letter.
 
     A text takes part if its hash falls under its language's share, which the
     language's row count sets to half as many again as are wanted; the driver
     keeps the lowest hashes. So nothing but counts is grouped by language.
     """
-    known = docs.select(F.col(key).alias("key"), F.col(text).alias("t"), F.col(label).alias("label")).where(F.col("label").isNotNull())
-    known = known.where(F.col("t").rlike(r"\p{L}") & (F.crc32(F.col("key").cast("string").cast("binary")) % 5 != 0))
-    counts = known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "label").collect()
+    known = docs.select(F.col(key).alias("key"), lettered(text).alias("t"), F.col(label).alias("label")).where(F.col("label").isNotNull())
+    known = known.where(F.col("t").isNotNull() & (F.crc32(F.col("key").cast("string").cast("binary")) % 5 != 0))
+    counts = known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "label").limit(labels).collect()
     if not counts:
         return [], []
+    per_label = min(per_label, max(1, most // len(counts)))
     span = 1 << 40
     share = F.create_map(*[x for r in counts for x in (F.lit(r["label"]), F.lit(min(span, 3 * per_label * span // (2 * r["n"]))).cast("long"))])
     h = F.xxhash64("key", "t")
@@ -164,8 +174,8 @@ def sample(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str
     return [t for texts in taken.values() for t in texts], [k for k, texts in taken.items() for _ in texts]
 
 
-def _scores(net: Network, tables: list[list[np.ndarray]], texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Per text its mean probabilities over all windows (zeros if it has no letter), and its bytes."""
+def _scores(net: Network, tables: list[list[np.ndarray]], texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Per text its mean probabilities over all windows (zeros for a null), and its bytes."""
     sums, totals = np.zeros((len(texts), len(net.languages))), np.zeros(len(texts))
     held, rows, sizes, count = [], [], [], 0
 
@@ -179,8 +189,8 @@ def _scores(net: Network, tables: list[list[np.ndarray]], texts: list[str | None
         count = 0
 
     for k, t in enumerate(texts):
-        if t and LETTER.search(t):
-            w, s = windows_of(t.encode())
+        if t.is_valid:
+            w, s = windows_of(memoryview(t.as_buffer()))
             held.append(w)
             rows.append(np.full(len(w), k))
             sizes.append(s)
@@ -205,31 +215,37 @@ def predict(docs: DataFrame, net: Network | None, key: str = "doc_id", text: str
             n = batch.num_rows
             lang, best = ["und"] * n, np.zeros(n)
             if net:
-                score, totals = _scores(net, tables, batch.column(1).to_pylist())
+                score, totals = _scores(net, tables, batch.column(1))
                 lang = [net.languages[b] if k else "und" for b, k in zip(score.argmax(axis=1), totals)]
                 best = score.max(axis=1)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lang, pa.string()), pa.array(best, pa.float64())],
                                              ["k", "lang_pred", "score"])
 
+    bounded_batches(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInArrow(
+    return docs.select(F.col(key).alias("k"), lettered(text).alias("t")).mapInArrow(
         run, f"`{key}` {kind}, lang_pred string, score double")
 
 
 def only_known(docs: DataFrame, net: Network | None, least: float, text: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, whose text scores at least
-    ``least`` for one of the languages; none if there is no network."""
+    ``least`` for one of the languages; none if there is no network.
+
+    Texts alone go to the Python workers, and a number comes back for each: the
+    rows themselves stay where they are.
+    """
     if net is None:
         return docs.where("false")
-    at = docs.columns.index(text)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def best(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tables = net.tables()
-        for batch in batches:
-            score, totals = _scores(net, tables, batch.column(at).to_pylist())
-            yield batch.filter(pa.array((totals > 0) & (score.max(axis=1) >= least)))
+        for texts in parts:
+            score, totals = _scores(net, tables, texts)
+            yield pa.array(np.where(totals > 0, score.max(axis=1, initial=0.0), -1.0), pa.float64())
 
-    return docs.mapInArrow(run, docs.schema)
+    best.__annotations__ = {"parts": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    bounded_batches(docs.sparkSession)
+    return docs.where(F.arrow_udf(best, "double")(lettered(text)) >= least)
 
 
 def fit(docs: DataFrame, **bounds) -> Network | None:

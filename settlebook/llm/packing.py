@@ -5,11 +5,14 @@ So the corpus is reduced to a histogram of piece lengths (at most ``capacity``
 rows, whatever the input), the driver solves the packing on that histogram, and
 the solution goes back to the pieces by their rank within their length:
 
-1. patterns: sets of two to four lengths that fill a sequence exactly;
+1. patterns: for each length, sets of lengths that fill a sequence together with
+   it, in families (of the most plentiful lengths, of few pieces, of even ones)
+   of which the one with the best solution is taken;
 2. non-negative least squares fits how often each pattern repeats, so that the
    lengths used match the histogram;
 3. counts are rounded down to what the histogram holds;
-4. what is left is packed best-fit, longest first, still on counts.
+4. steps 1 to 3 again on what is left, as long as they place a good part of it;
+5. the rest is packed best-fit, longest first, still on counts.
 
 A solution is a list of runs: "of length l, ranks a to b go to sequences s, s+1,
 ... at offset o". A piece's rank is its row number in a bucket of its length
@@ -45,7 +48,7 @@ def _encoder(path: str) -> ChunkEncoder:
             return [pack_ids("<%dI" % len(ids), *ids) for ids in
                     (e.ids for e in tok.encode_batch_fast(pieces, add_special_tokens=False))]
 
-        _ENCODERS[path] = ChunkEncoder(encode, limit=1_000_000)
+        _ENCODERS[path] = ChunkEncoder(encode)
     return _ENCODERS[path]
 
 
@@ -91,35 +94,51 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = 2048, key: str = "d
 
 # --- the plan, on counts ------------------------------------------------------
 
-def patterns(counts: dict[int, int], capacity: int, most: int) -> list[tuple[int, ...]]:
-    """Sets of two to four lengths that fill ``capacity``: every pair, then
-    triples and quadruples around the most frequent lengths, at most ``most``
-    (a bound of the solver; lengths in no pattern are packed best-fit)."""
-    have = sorted(counts)
-    found = [(capacity - a, a) for a in have if a <= capacity - a and capacity - a in counts]
-    common = sorted(have, key=lambda n: (-counts[n], -n))
-    extra: dict[tuple[int, ...], int] = {}
-    for i, a in enumerate(common):
-        for b in common[i:i + 200]:
-            c = capacity - a - b
-            if c > 0 and c in counts:
-                p = tuple(sorted((a, b, c), reverse=True))
-                extra[p] = min(counts[x] for x in p)
-            half = capacity - 2 * a - b
-            if half > 0 and half in counts:
-                p = tuple(sorted((a, a, b, half), reverse=True))
-                extra[p] = min(counts[x] for x in p) // 2
-        if len(extra) > 4 * most:
-            break
-    found += sorted(extra, key=lambda p: (-extra[p], p))[:max(0, most - len(found))]
-    return found
-
-
-def least_squares(columns: list[dict[int, int]], counts: dict[int, int], sweeps: int = 40) -> list[float]:
-    """x >= 0 that minimises |sum x_p * column_p - counts|, by coordinate descent."""
+def filled(lengths: np.ndarray, cost: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each room up to ``capacity``: the greatest sum of ``lengths`` (each as
+    often as it likes) that fits, and the last length of the cheapest way to that
+    sum (0 for none)."""
+    best, last = np.full(capacity + 1, np.inf), np.zeros(capacity + 1, dtype=np.int64)
+    best[0] = 0.0
+    for total in range(int(lengths[0]), capacity + 1):
+        fits = lengths[:np.searchsorted(lengths, total, side="right")]
+        ways = best[total - fits] + cost[:len(fits)]
+        k = int(ways.argmin())
+        best[total], last[total] = ways[k], fits[k] if np.isfinite(ways[k]) else 0
+    return np.maximum.accumulate(np.where(np.isfinite(best), np.arange(capacity + 1), 0)), last
+
+
+COSTS = {
+    "plentiful": lambda lengths, counts: 1.0 / counts,  # of the lengths of which there are most
+    "few": lambda lengths, counts: np.ones(len(lengths)),  # of the fewest pieces
+    "even": lambda lengths, counts: lengths.astype(float) ** 2,  # of the most even lengths
+}
+FAMILIES = (("plentiful", "few"), ("plentiful", "few", "even"), ("plentiful", "even"), ("even",))
+
+
+def patterns(counts: dict[int, int], capacity: int, family: tuple[str, ...] = FAMILIES[0]) -> list[tuple[int, ...]]:
+    """For each length and each cost of the family, the fullest sequence with it, filled up the cheapest way."""
+    lengths = np.array(sorted(counts), dtype=np.int64)
+    held = np.array([counts[n] for n in lengths.tolist()])
+    found: dict[tuple[int, ...], None] = {}
+    for cost in family:
+        sums, last = filled(lengths, COSTS[cost](lengths, held), capacity)
+        for n in lengths.tolist():
+            pattern, left = [n], int(sums[capacity - n])
+            while left:
+                pattern.append(int(last[left]))
+                left -= pattern[-1]
+            found[tuple(sorted(pattern, reverse=True))] = None
+    return list(found)
+
+
+def least_squares(columns: list[dict[int, int]], counts: dict[int, int], close: float = 1e-3) -> list[float]:
+    """x >= 0 that minimises |sum x_p * column_p - counts|, by coordinate descent,
+    until a sweep moves no x by more than ``close`` of the greatest count."""
     rest = {n: float(c) for n, c in counts.items()}
     x, norm = [0.0] * len(columns), [float(sum(m * m for m in col.values())) for col in columns]
-    for _ in range(sweeps):
+    moved, least = np.inf, max(0.5, close * max(counts.values(), default=0))
+    while moved > least:
         moved = 0.0
         for p, col in enumerate(columns):
             new = max(0.0, x[p] + sum(m * rest[n] for n, m in col.items()) / norm[p])
@@ -129,8 +148,6 @@ def least_squares(columns: list[dict[int, int]], counts: dict[int, int], sweeps:
                     rest[n] -= step * m
                 x[p] = new
                 moved = max(moved, abs(step))
-        if moved < 0.25:
-            break
     return x
 
 
@@ -161,23 +178,35 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...
     return [(lengths, number) for groups in by_room.values() for lengths, number in groups]
 
 
-def plan(counts: dict[int, int], capacity: int = 2048, most_patterns: int = 4000) -> np.ndarray:
-    """Runs (length, first rank, sequence, copies in a sequence, offset), by length and rank."""
-    rest = {n: c for n, c in counts.items() if c}
-    chosen = []
-    found = patterns(rest, capacity, most_patterns)
-    columns = [{n: len(list(g)) for n, g in groupby(p)} for p in found]
-    x = least_squares(columns, rest)
-    for p in sorted(range(len(found)), key=lambda p: (-x[p], p)):
-        times = min([int(x[p] + 1e-9), *(rest.get(n, 0) // m for n, m in columns[p].items())])
-        if times:
-            chosen.append((found[p], times))
-            for n, m in columns[p].items():
-                rest[n] -= m * times
-    chosen += best_fit({n: c for n, c in rest.items() if c}, capacity)
+def chosen(counts: dict[int, int], capacity: int, family: tuple[str, ...], least_part: float = 0.02) -> list[tuple[tuple[int, ...], int]]:
+    """(lengths of a sequence, how many such) for all of ``counts``: patterns of the
+    family, fitted again to what is left as long as a round places ``least_part``
+    of the tokens that it finds, and best-fit for the rest."""
+    rest, out = {n: c for n, c in counts.items() if c}, []
+    placed, there = 1, 1
+    while rest and placed >= least_part * there:
+        there, placed = sum(n * c for n, c in rest.items()), 0
+        found = patterns(rest, capacity, family)
+        columns = [{n: len(list(g)) for n, g in groupby(p)} for p in found]
+        x = least_squares(columns, rest)
+        for p in sorted(range(len(found)), key=lambda p: (-sum(found[p]), -x[p], p)):  # the fullest first
+            times = min([int(x[p] + 0.5), *(rest.get(n, 0) // m for n, m in columns[p].items())])
+            if times:
+                out.append((found[p], times))
+                placed += times * sum(found[p])
+                for n, m in columns[p].items():
+                    rest[n] -= m * times
+        rest = {n: c for n, c in rest.items() if c}
+    return out + best_fit(rest, capacity)
+
+
+def plan(counts: dict[int, int], capacity: int = 2048) -> np.ndarray:
+    """Runs (length, first rank, sequence, copies in a sequence, offset), by
+    length and rank: the shortest of the solutions by each family of patterns."""
+    best = min((chosen(counts, capacity, f) for f in FAMILIES), key=lambda c: sum(times for _, times in c))
     used: dict[int, int] = {}
     runs, sequence = [], 0
-    for lengths, times in chosen:
+    for lengths, times in best:
         offset = 0
         for n, g in groupby(lengths):
             m = len(list(g))
@@ -199,16 +228,16 @@ def pack(pieces: DataFrame, scratch: Scratch, capacity: int = 2048, buckets: int
     (lengths come on top); it bounds the table of bucket sizes.
     """
     names = pieces.columns
-    pieces = scratch.save(pieces, "pieces")  # ranks need rows that do not change
+    # Ranks need rows that do not change, and a number that tells equal rows apart.
+    pieces = scratch.save(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     runs = plan(counts, capacity)
     each = max(200, -(-sum(counts.values()) // buckets))
     spread = {n: -(-c // each) for n, c in counts.items() if c > each}  # at most ``buckets`` lengths and buckets
-    ordinary = [c for c in names if c != "ids"]
     bucket = F.lit(0)
     if spread:
         spread_of = F.create_map(*[F.lit(x) for n in sorted(spread) for x in (n, spread[n])])
-        bucket = F.pmod(F.xxhash64(*ordinary), F.coalesce(spread_of[F.col("length")], F.lit(1))).cast("int")
+        bucket = F.pmod(F.xxhash64("_row"), F.coalesce(spread_of[F.col("length")], F.lit(1))).cast("int")
     dealt = pieces.withColumn("_bucket", bucket)
     sizes = dealt.groupBy("length", "_bucket").agg(F.count(F.lit(1)).alias("_n")).collect()
     first, seen = {}, dict.fromkeys(counts, 0)
@@ -220,7 +249,7 @@ def pack(pieces: DataFrame, scratch: Scratch, capacity: int = 2048, buckets: int
     bucket_keys = np.array([n * shift + b for n, b in keys], dtype=np.int64)
     bucket_first = np.array([first[k] for k in keys], dtype=np.int64)
     ranked = dealt.withColumn("_rank", F.row_number().over(
-        Window.partitionBy("length", "_bucket").orderBy(*ordinary)) - 1)
+        Window.partitionBy("length", "_bucket").orderBy("_row")) - 1)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends = np.flatnonzero(np.diff(runs[:, 0], append=-1)) + 1

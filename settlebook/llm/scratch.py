@@ -32,6 +32,15 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def bounded_batches(spark: SparkSession, most: int = 16 << 20) -> None:
+    """From now on the session's Arrow batches hold at most about ``most`` bytes
+    (one row at least), unless it has a bound of its own: by default only rows
+    are counted, and 10,000 long texts are hundreds of megabytes."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(name, str(2**31 - 1)).rstrip("b")) >= 2**31 - 1:
+        spark.conf.set(name, str(most))
+
+
 class Scratch:
     """A fresh folder below the shared one; ``save`` writes a table and reads it back."""
 

@@ -201,13 +201,51 @@ def test_every_language_of_training_rows_is_sampled(spark):
     assert Counter(labels)["z"] == 8 and "held out" not in texts
 
 
+def test_texts_without_a_letter_have_no_language(spark):
+    net = langid.train([prose(i, 80) for i in range(40)] + ["ñandú él año " * 20] * 5, ["en"] * 40 + ["es"] * 5, steps=150)
+    odd = ["½ ²", "Ⅷ ⅳ", "１２", "_ - 7", "\u0301\u200d", "😀"]
+    df = spark.createDataFrame([*enumerate([*odd, "ª", "漢", "x½"])], "doc_id long, text string")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(df, net).collect()}
+    assert all(got[i] == ("und", 0.0) for i in range(len(odd))) and all(got[i][0] != "und" for i in (6, 7, 8))
+    assert {r["doc_id"] for r in langid.only_known(df, net, 0.0).collect()} == {6, 7, 8}
+
+
+def test_a_label_column_of_a_hundred_thousand_values(spark):
+    df = spark.range(120_000).selectExpr("id AS doc_id", "'some text of its own' AS text", "if(id < 100000, concat('x', id), if(id % 2 = 0, 'en', 'fr')) AS lang")
+    texts, labels = langid.sample(df, labels=20)
+    assert len(set(labels)) == 20 and {"en", "fr"} <= set(labels) and Counter(labels)["en"] == 400
+    texts, labels = langid.sample(df, most=3000)
+    assert len(texts) <= 3000 and len(set(labels)) == 1000
+
+
+def test_the_network_equals_a_plain_forward_pass(spark):
+    """Scores of whole texts against loops over windows, filters and bytes."""
+    net = langid.train([prose(i, 40) for i in range(20)] + ["ñandú él año " * 9] * 5, ["en"] * 20 + ["es"] * 5, filters=3, steps=30)
+    texts = ["abc", prose(3, 90), "é" * 300, "a", "Ab 9\n" * 60]
+    df = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(df, net).collect()}
+    for k, t in enumerate(texts):
+        data, total = t.encode(), np.zeros(len(net.languages))
+        for at in range(0, len(data), langid.LENGTH):
+            part = data[at:at + langid.LENGTH]
+            window = [int(langid.CLASS_OF[b]) for b in part] + [0] * (langid.LENGTH - len(part))
+            h = []
+            for width, f, bias in zip(langid.WIDTHS, net.filters, net.biases):
+                for j in range(f.shape[2]):
+                    h.append(max(0.0, max(sum(f[i][window[p + i]][j] for i in range(width)) + bias[j] for p in range(langid.LENGTH - width + 1))))
+            z = np.exp(np.array(h) @ net.weights + net.offset)
+            total += len(part) * z / z.sum()
+        total /= len(data)
+        assert got[k][0] == net.languages[int(total.argmax())] and abs(got[k][1] - total.max()) < 1e-4
+
+
 def test_windows_cover_the_whole_text():
     for n in (1, 255, 256, 257, 5000):
         w, sizes = langid.windows_of(b"a" * n)
         assert sizes.sum() == n and (w != 0).sum() == n
 
 
-@pytest.mark.parametrize("name", ["op4_warc", "op5_quality", "op6_exact"])
+@pytest.mark.parametrize("name", ["op4_warc", "op5_quality", "op6_exact", "op11_spelling", "op12_merkle", "op13_mixing"])
 def test_queries_match_their_sql(spark, name):
     import duckdb
     con = duckdb.connect()
