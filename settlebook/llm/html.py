@@ -1,15 +1,22 @@
 """Main text of web pages by composite text density (operator 3).
 
-A page is scanned once into a tree of elements. Elements that never hold the
-article (scripts, navigation, page headers and footers, sidebars, forms, and
-blocks named as adverts, notices, menus or reader comments) are taken out, unless
-they hold an ``article`` or ``main`` element or, on a page without one, most of
-the text. For every other element the composite text density is computed: characters per tag
-below it, adjusted by how many of the characters and tags belong to links. The
-element whose children's densities add up to most is the core of the article
-(and stands for the whole of an ``article`` or ``main`` element around it); the
-least density on the path from the body to it is the threshold, and at
-every element that reaches it the subtree with the greatest sum is content.
+A page is scanned once into a tree of elements; only what can never be read as
+text (scripts, styles, form controls, embedded media, hidden elements) is left
+out of it. For every other element the composite text density is computed:
+characters per tag below it, adjusted by how many of the characters and tags
+belong to links. An element that its name marks as something beside the article
+(navigation, page headers and footers, sidebars, forms, adverts, notices, reader
+comments) has a weight below 1: its characters and tags count so much less for
+the elements around it, and the densities inside it are so much lower. A name
+that holds other words too ("notice-period") weighs little; a wrapper that holds
+the page's ``article`` or ``main`` element, or most of its text, weighs nothing.
+
+The element whose children's densities add up to most is the core of the article
+(and with it the ``article`` or ``main`` element around it). The least density on
+the path from the body to it is the threshold: every element that reaches it
+gives the subtree with the greatest sum as content, and inside the content an
+element that is marked, or that consists of links, is left out again if its
+density stays below the threshold.
 """
 
 from __future__ import annotations
@@ -28,15 +35,16 @@ from pyspark.sql import functions as F
 # Element names of HTML, by role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template".split())
-NEVER = RAW | frozenset("head nav header footer aside form button select option datalist menu dialog object svg math canvas "
-                        "audio video map label fieldset".split())
-NEVER_ROLE = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar "
+NEVER = RAW | frozenset("head button select option datalist object svg math canvas audio video map".split())
+BESIDE = frozenset("nav header footer aside form menu dialog label fieldset".split())  # sections that are not the article
+BESIDE_ROLE = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar "
                        "toolbar".split())
 BLOCK = frozenset("address article blockquote body caption center dd details dir div dl dt figcaption figure h1 h2 h3 h4 h5 "
                   "h6 hgroup hr html legend li main ol p pre search section summary table tbody td tfoot th thead tr "
                   "ul".split())
 CLOSES_P = BLOCK | frozenset("nav header footer aside form fieldset menu dialog".split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
+LISTS = frozenset("div section ul ol dl table tbody tr td center".split())  # blocks that may hold nothing but links
 # Formatting inside a run of text; it counts as text, not as a tag of its own.
 INLINE = frozenset("abbr acronym b bdi bdo big br cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small "
                    "span strike strong sub sup time tt u var wbr".split())
@@ -51,11 +59,16 @@ BOILERPLATE = frozenset("ad ads advert advertisement advertising adsense sponsor
                         "navigation menu menubar breadcrumb breadcrumbs sidebar aside footer masthead toolbar "
                         "cookie cookies consent gdpr notice notices notification popup modal overlay newsletter subscribe "
                         "subscription signup login comment comments commentlist disqus respond reply replies share sharing "
-                        "social related recommended recommendations pagination pager widget copyright skip".split())
+                        "social related recommended recommendations pagination pager widget copyright skip feedback discussion".split())
+# Words that say where or how, not what: a name of these and the above says the same as the above.
+PLACES = frozenset("site page main reader readers user users global top bottom left right primary secondary block box section area wrap wrapper "
+                   "container content list item items bar link links inner outer post article story body text title thread form message "
+                   "messages panel group header head unit slot space zone first last s".split())
 # Words that only count when the whole class or id name consists of them.
 BOILERPLATE_ALONE = frozenset({"header", "top", "bottom", "side", "left", "right", "tags", "links", "search", "reviews", "alert"})
 # Words that turn the one behind them into a property of the layout ("has-sidebar").
 MODIFIERS = frozenset({"has", "no", "with", "without"})
+MARKED, HINTED = 0.02, 0.5  # weights of elements whose name says so, and of those where it is one word among others
 
 TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -67,14 +80,15 @@ SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "children", "out", "hidden", "holds", "chars", "tags", "link_chars", "link_tags", "density", "total", "content")
-
-    def __init__(self, tag: str, out: bool, hidden: bool = False):
-        self.tag, self.out, self.hidden, self.children = tag, out, hidden, []
-        self.holds = False
-        self.chars = self.tags = self.link_chars = self.link_tags = 0
+    __slots__ = ("tag", "children", "out", "weight", "inherited", "holds", "held", "chars", "tags", "link_chars", "link_tags", "density", "total", "content",
+                 "dropped")
+
+    def __init__(self, tag: str, out: bool = False, weight: float = 1.0):
+        self.tag, self.out, self.weight, self.children = tag, out, weight, []
+        self.inherited = 1.0  # product of the weights from the root to here
+        self.holds = self.content = self.dropped = False
+        self.held = self.chars = self.tags = self.link_chars = self.link_tags = 0.0
         self.density = self.total = 0.0
-        self.content = False
 
 
 def _hidden(tag: str, attributes: str) -> bool:
@@ -89,29 +103,34 @@ def _hidden(tag: str, attributes: str) -> bool:
     return False
 
 
-def _boilerplate(tag: str, attributes: str) -> bool:
-    if tag in NEVER:
-        return True
+def _weight(tag: str, attributes: str) -> float:
+    if tag in BESIDE:
+        return MARKED
+    least = 1.0
     if tag in ("body", "html", "article", "main"):
-        return False
+        return least
     for name, a, b, c in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
-        if name == "role" and value.lower() in NEVER_ROLE:
-            return True
+        if name == "role" and value.lower() in BESIDE_ROLE:
+            return MARKED
         if name in ("class", "id"):
             for part in value.split():
                 words = [w.lower() for w in NAME.findall(part)]
                 words = [w for i, w in enumerate(words) if not i or words[i - 1] not in MODIFIERS]
-                if not BOILERPLATE.isdisjoint(words) or words and BOILERPLATE_ALONE.issuperset(words):
-                    return True
-    return False
+                if words and BOILERPLATE_ALONE.issuperset(words):
+                    return MARKED
+                if not BOILERPLATE.isdisjoint(words):
+                    if all(w in BOILERPLATE or w in PLACES or w in BOILERPLATE_ALONE for w in words):
+                        return MARKED
+                    least = HINTED
+    return least
 
 
 def parse(page: str) -> Node:
     """The element tree; children are nodes and strings. Unclosed and stray tags
     are treated as browsers do in the common cases (implied ends of paragraphs,
     list items and table cells; an end tag closes what is open inside)."""
-    root = Node("html", False)
+    root = Node("html")
     stack, at, n = [root], 0, len(page)
     open_tags: Counter[str] = Counter()  # of the stack; spares most searches through a deep one
 
@@ -146,7 +165,7 @@ def parse(page: str) -> Node:
                 stack[-1].children.append(" ")
                 if not open_tags["body"]:
                     close(1)
-                    node = Node("body", False)
+                    node = Node("body")
                     root.children.append(node)
                     push(node)
             continue
@@ -157,7 +176,7 @@ def parse(page: str) -> Node:
             if hit:
                 close(hit)
             continue
-        if open_tags["head"] and tag not in NEVER and tag not in VOID:
+        if open_tags["head"] and tag not in RAW and tag != "head" and tag not in VOID:
             close(1)  # the head ends at the first element of the body
         if tag in CLOSES_P:
             hit = last(("p",))
@@ -169,8 +188,7 @@ def parse(page: str) -> Node:
             closed, bound = ENDS[tag]
             while (hit := last(closed)) and hit > last(bound):
                 close(hit)
-        hidden = _hidden(tag, attributes)
-        node = Node(tag, hidden or _boilerplate(tag, attributes), hidden)
+        node = Node(tag, tag in NEVER or _hidden(tag, attributes), _weight(tag, attributes))
         stack[-1].children.append(node)
         if tag in VOID or attributes.endswith("/") and tag in ("svg", "path", "use"):
             continue
@@ -182,11 +200,11 @@ def parse(page: str) -> Node:
     return root
 
 
-def _restore(root: Node) -> None:
-    """Puts back elements taken out that hold an ``article`` or ``main`` element;
-    on a page without one, those that hold most of its characters outside links.
-    Articles inside articles (reader comments) do not count, hidden elements stay
-    out, and raw ones have no text here. The density judges what is put back."""
+def _unmark(root: Node) -> None:
+    """Takes the weight off elements that hold most of the text of all ``article``
+    and ``main`` elements; on a page without one, off those that hold most of its
+    characters outside links; and off the header of an article that holds its headline. Articles
+    inside articles (reader comments) do not count."""
     order, todo = [], [(root, None, False, False)]
     while todo:
         node, parent, linked, within = todo.pop()
@@ -194,20 +212,23 @@ def _restore(root: Node) -> None:
         linked = linked or node.tag == "a"
         node.chars = 0 if linked else sum(len(SPACE.sub(" ", c).strip()) for c in node.children if isinstance(c, str))
         node.holds = node.tag in ("article", "main") and not within
+        if node.tag == "header" and parent is not None and parent.tag in ("article", "main") and any(
+                isinstance(c, Node) and c.tag in HEADING | {"hgroup"} for c in node.children):
+            node.weight = 1.0
         within = within or node.tag == "article"
-        todo += [(c, node, linked, within) for c in node.children if isinstance(c, Node) and not c.hidden]
+        todo += [(c, node, linked, within) for c in node.children if isinstance(c, Node) and not c.out]
     for node, parent in reversed(order):  # children before parents
-        node.holds = node.holds and node.chars > 0
+        node.held = node.chars if node.holds else node.held
         if parent is not None:
             parent.chars += node.chars
-            parent.holds = parent.holds or node.holds
+            parent.held += node.held
     for node, _ in order:
-        if node.out and node.tag not in RAW and node.tag != "head" and (node.holds if root.holds else 2 * node.chars > root.chars):
-            node.out = False
+        if node.weight < 1 and (2 * node.held > root.held if root.held else 2 * node.chars > root.chars):
+            node.weight = 1.0
 
 
 def _walk(root: Node) -> list[tuple[Node, Node | None, bool]]:
-    """Elements in page order with their parent and whether a link encloses them; boilerplate is left out."""
+    """Elements in page order with their parent and whether a link encloses them."""
     order, todo = [], [(root, None, False)]
     while todo:
         node, parent, linked = todo.pop()
@@ -217,26 +238,34 @@ def _walk(root: Node) -> list[tuple[Node, Node | None, bool]]:
     return order
 
 
+def composite(chars: float, tags: float, link_chars: float, link_tags: float, ratio: float) -> float:
+    """Characters per tag, the less the more of both are links; ``ratio`` is the body's share of characters in links."""
+    if not chars > link_chars:
+        return 0.0
+    t, lc, lt = max(tags, 1), max(link_chars, 1), max(link_tags, 1)
+    base = log(chars * link_chars / max(chars - link_chars, 1) + ratio * chars + EULER)
+    return chars / t * max(log(max(chars * t / (lc * lt), 1.0)), 0.0) / log(max(base, 1.0) + 1.0)
+
+
 def _measure(order: list[tuple[Node, Node | None, bool]]) -> None:
-    for node, _, linked in order:
+    for node, parent, linked in order:
         own = sum(len(SPACE.sub(" ", c).strip()) for c in node.children if isinstance(c, str))
-        node.chars, node.tags = own, 0
+        node.chars, node.tags = float(own), 0.0
         link = linked or node.tag == "a"
-        node.link_chars, node.link_tags = own if link else 0, 0
+        node.link_chars, node.link_tags = float(own) if link else 0.0, 0.0
+        node.inherited = node.weight * (parent.inherited if parent is not None else 1.0)
     for node, parent, linked in reversed(order):  # children before parents
         if parent is not None:
-            parent.chars += node.chars
-            parent.link_chars += node.link_chars
-            parent.tags += node.tags + (node.tag not in INLINE)
-            parent.link_tags += node.link_tags + (linked or node.tag == "a")
+            w = node.weight
+            parent.chars += w * node.chars
+            parent.link_chars += w * node.link_chars
+            parent.tags += w * (node.tags + (node.tag not in INLINE))
+            parent.link_tags += w * (node.link_tags + (linked or node.tag == "a"))
     body = order[0][0]
     ratio = body.link_chars / body.chars if body.chars else 0.0
     for node, parent, _ in reversed(order):
         if node.chars:
-            c, t = node.chars, max(node.tags, 1)
-            lc, lt = max(node.link_chars, 1), max(node.link_tags, 1)
-            base = log(c * node.link_chars / max(c - node.link_chars, 1) + ratio * c + EULER)
-            node.density = c / t * max(log(c * t / (lc * lt)), 0.0) / log(max(base, 1.0) + 1.0) if c > node.link_chars else 0.0
+            node.density = node.inherited * composite(node.chars, node.tags, node.link_chars, node.link_tags, ratio)
         if parent is not None:
             parent.total += node.total if node.tag in INLINE else node.density
 
@@ -267,11 +296,15 @@ def _mark(order: list[tuple[Node, Node | None, bool]]) -> None:
             own = top.get(id(node), node)
             (own if own.total > node.total else node).content = True
     best.content = True
-    while best is not None:  # a core inside an article stands for the whole of it
-        if best.tag in ("article", "main"):
-            best.content = True
+    node = best
+    while node is not None:  # a core inside an article stands for the whole of it
+        if node.tag in ("article", "main"):
+            node.content = True
             break
-        best = above[id(best)]
+        node = above[id(node)]
+    for node, _, _ in order:
+        listed = node.tag in LISTS and node.link_tags >= 2 and 2 * node.link_chars > node.chars
+        node.dropped = node.density < threshold and (node.weight <= MARKED or listed) and node is not best
 
 
 def blocks(root: Node) -> list[str]:
@@ -293,7 +326,7 @@ def blocks(root: Node) -> list[str]:
         elif isinstance(item, str):
             if inside:
                 line.append(item)
-        elif item.out:
+        elif item.out or item.dropped:
             if item.tag in CLOSES_P:
                 close()
         else:
@@ -313,7 +346,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
-    _restore(root)
+    _unmark(root)
     order = _walk(root)
     _measure(order)
     _mark(order)

@@ -51,6 +51,84 @@ def test_odd_pages_take_linear_time(page):
     assert time.time() - began < 20
 
 
+PARAS = ["The first paragraph of this text says at some length what it is about, and why.",
+         "A second one follows, with a <a href=/x>link in it</a>, as long texts have, and goes on for a while after that.",
+         "A third ends the text with a few more words, so that it is clearly the main part of this page, as far as anyone can tell."]
+TEXT = "".join(f"<p>{p}</p>" for p in PARAS)
+LINES = [html.SPACE.sub(" ", __import__("re").sub("<[^>]*>", "", p)) for p in PARAS]
+LINKS = "".join(f"<li><a href=/{w}>{w} page</a></li>" for w in "home news sport world about contact".split())
+SHORT = "<p>Nice.</p><p>I agree with this.</p><p>Me too, thanks.</p>"
+
+
+@pytest.mark.parametrize("page, lines", [
+    (f"<body><article><h1>T</h1>{TEXT}<div class=feedback>{SHORT}</div></article></body>", ["T", *LINES]),
+    (f"<body><div id=content><h1>T</h1>{TEXT}<div class=bottomlinks><ul>{LINKS}</ul></div></div></body>", ["T", *LINES]),
+    (f"<body><article><h1>T</h1>{TEXT}<section class=related-work><h2>Earlier</h2><p>{PARAS[0]}</p></section></article></body>",
+     ["T", *LINES, "Earlier", LINES[0]]),
+    (f"<body><article><h1>T</h1>{TEXT}<div class=notice-period><p>{PARAS[2]}</p></div></article></body>", ["T", *LINES, LINES[2]]),
+    (f"<body><article><header><h1>Headline</h1><p>By someone</p></header>{TEXT}</article></body>", ["Headline", "By someone", *LINES]),
+    (f"<body><div><ul>{LINKS}</ul></div><div><h1>T</h1>{TEXT}</div><div>(c) 2020</div></body>", ["T", *LINES]),
+    (f"<body><div class=x1><ul>{LINKS}</ul></div><div class=x2><div class=x3>{TEXT}</div><div class=x4><ul>{LINKS}</ul></div></div></body>", LINES),
+    (f"<body><main><h1>T</h1>{TEXT}</main><section id=comments><article><p>{PARAS[0]}</p></article><article><p>{PARAS[2]}</p></article></section></body>",
+     ["T", *LINES]),
+    (f"<body><header><p>{PARAS[0]}</p></header><div>{TEXT}</div><footer><p>{PARAS[2]}</p></footer></body>", LINES),
+    (f"<body><div class=reader-comments>{SHORT}</div><div class=post-body>{TEXT}</div><div class='cookie-notice'>{SHORT}</div></body>", LINES),
+    (f"<body><nav><ul>{LINKS}</ul></nav><p>{PARAS[0]}</p><p>{PARAS[2]}</p><aside><p>see also this</p></aside></body>", [LINES[0], LINES[2]]),
+    (f"<body><article><h2><a href=/t>A linked headline</a></h2>{TEXT}<ul><li><a href=/1>one source</a></ul></article></body>",
+     ["A linked headline", *LINES, "one source"]),
+])
+def test_density_and_weights_decide(page, lines):
+    assert html.main_text(page) == "\n".join(lines)
+
+
+def test_density_is_what_decides_without_names(monkeypatch):
+    page = f"<body><div><ul>{LINKS}</ul></div><div><h1>T</h1>{TEXT}</div><div>(c) 2020</div></body>"
+    right = html.main_text(page)
+    monkeypatch.setattr(html, "composite", lambda chars, tags, lc, lt, ratio: 1.0 if chars else 0.0)
+    assert right == "\n".join(["T", *LINES]) != html.main_text(page)
+
+
+def plain_measures(node, linked=False, inherited=1.0):
+    """(chars, tags, link chars, link tags) of an element, by recursion, and of all below it."""
+    here = linked or node.tag == "a"
+    own = sum(len(" ".join(c.split())) for c in node.children if isinstance(c, str))
+    got, below = [own, 0.0, own if here else 0.0, 0.0], []
+    for c in node.children:
+        if not isinstance(c, str) and not c.out:
+            (m, inner) = plain_measures(c, here, inherited * node.weight)
+            below += inner
+            inside = here or c.tag == "a"
+            got = [got[0] + c.weight * m[0], got[1] + c.weight * (m[1] + (c.tag not in html.INLINE)),
+                   got[2] + c.weight * m[2], got[3] + c.weight * (m[3] + inside)]
+    return got, [(node, got, inherited * node.weight), *below]
+
+
+@pytest.mark.parametrize("page", [p for p, _ in PAGES if p] + [f"<div class='notice box'>{TEXT}<span class=ad>x <b>y</b></span></div>{ARTICLE}<ul>{LINKS}</ul>"])
+def test_densities_node_by_node(page):
+    from math import e, log
+    root = html.parse(page)
+    html._unmark(root)
+    order = html._walk(root)
+    html._measure(order)
+    _, nodes = plain_measures(root)
+    (chars, _, link_chars, _) = nodes[0][1]
+    ratio = link_chars / chars if chars else 0.0
+    want = {}
+    for node, (c, t, lc, lt), w in nodes:
+        d = 0.0
+        if c > lc:
+            inner = log(c * lc / max(c - lc, 1) + ratio * c + e)
+            d = w * c / max(t, 1) * max(log(max(c * max(t, 1) / (max(lc, 1) * max(lt, 1)), 1.0)), 0) / log(max(inner, 1.0) + 1)
+        want[id(node)] = d
+    assert {id(n) for n, _, _ in order} == set(want)
+    for n, _, _ in order:
+        assert n.density == pytest.approx(want[id(n)], rel=1e-9, abs=1e-12)
+    for n, _, _ in order:
+        def added(x):
+            return sum((added(c) if c.tag in html.INLINE else want[id(c)]) for c in x.children if not isinstance(c, str) and not c.out)
+        assert n.total == pytest.approx(added(n), rel=1e-9, abs=1e-12)
+
+
 def frame(spark, rows):
     return spark.createDataFrame([(i, u, h, 1, "x") for i, u, h in rows], "page_id long, url string, html string, n_chars long, text string")
 
