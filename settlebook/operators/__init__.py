@@ -4,3 +4,5 @@ from settlebook.operators.conditional import (  # noqa: F401
 )
 from settlebook.operators.latest import latest_as_of, newest  # noqa: F401
 from settlebook.operators.merge import full_merge, union_distinct  # noqa: F401
+from settlebook.operators.split import not_in_split  # noqa: F401
+from settlebook.operators.state import carried_on, fold, merged, unfolded  # noqa: F401

@@ -7,7 +7,7 @@ Money columns are cast to DOUBLE at the end, as the Spark queries do.
 from __future__ import annotations
 
 from settlebook.oracle.adapters import in_list
-from settlebook.oracle.steps import _matrix, _latam, local, step_ctes, ts, with_ctes
+from settlebook.oracle.steps import _matrix, _latam, _s2, _s6, charge_conditions, local, step_ctes, ts, with_ctes
 from settlebook.plans import rules as R
 from settlebook.plans.period import FIXTURE as P
 
@@ -154,6 +154,21 @@ def oracle_sql() -> dict[str, str]:
         "payout_buckets": doubles("SELECT * FROM x_s7", NET + payout_money),
         "charge_snapshot": doubles("SELECT * FROM x_s8", ["amount"]),
         "charge_buckets": doubles("SELECT * FROM x_s9", NET + payout_money + charge_money),
+        "charge_buckets_by_rules": doubles("SELECT * FROM x_s9", NET + payout_money + charge_money),
+        "charge_rule_sums": doubles(" UNION ALL ".join(
+            f"SELECT i.event AS event_id, i.currency, '{name}' AS bucket, sum(i.amount) AS amount FROM x_s8 i WHERE {cond} GROUP BY i.event, i.currency"
+            for name, cond in charge_conditions(P)), ["amount"]),
+        "payout_snapshot_filtered": doubles(_s6(P, "filtered"), ["amount"]),
+        "history_net_sales_all": doubles(_s2(P, dedupe=False), NET),
+        "charge_log_snapshot": doubles(
+            "SELECT * EXCLUDE (rk) FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY changed DESC, log_position DESC) AS rk FROM ("
+            "SELECT * REPLACE (created AS changed, 0 AS processed), CAST(1 AS BIGINT) AS log_position FROM x_charges UNION ALL BY NAME "
+            f"SELECT *, CAST(2 AS BIGINT) AS log_position FROM x_charges) WHERE {lt('changed')} < {ts(P.charges_created_before)} "
+            f"AND currency IN {in_list(R.CHARGE_CURRENCIES)}) WHERE rk = 1", ["amount"]),
+        "not_in_bitmap": doubles("SELECT id, event, status FROM x_payouts WHERE id NOT IN (SELECT payout_id FROM x_history_payouts)", []),
+        "latest_carried_on": doubles(
+            "SELECT payout_id, changed, log_position, status, amount, currency FROM (SELECT *, row_number() OVER (PARTITION BY payout_id "
+            f"ORDER BY changed DESC, log_position DESC) AS rk FROM x_history_payouts WHERE changed < {ts(P.wire_before)}) WHERE rk = 1", ["amount"]),
         "balance": doubles("SELECT * FROM x_s10", ("balance",) + NET + payout_money + charge_money),
         "multi_processor_events": doubles("SELECT * FROM x_p1", []),
         "payout_level_duplicates": doubles(

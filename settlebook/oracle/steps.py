@@ -36,10 +36,24 @@ def _rank(part: str, a: str = "") -> str:
             f"ORDER BY {pre}changed DESC NULLS LAST, {pre}log_position DESC NULLS LAST)")
 
 
-def _taken(p: Period, local_time: bool) -> str:
-    return (f"SELECT v.order_id FROM (SELECT {_rank('order_id', 'h')} AS rk, h.order_id, h.status AS st "
-            f"FROM x_history_orders h WHERE {_history_where('h', p, local_time)}) v "
-            f"WHERE v.rk = 1 AND v.st = {R.ORDER_STATUS_PAID}")
+_WHEN = "(changed, coalesce(log_position, -9223372036854775808))"  # what "newest" compares
+
+
+def _order_sales(p: Period, local_time: bool) -> str:
+    """CTEs up to ``sales``: per branch, what the log says of each order (its newest
+    version of a known event, if paid), and the paid orders that it has not taken
+    (an order is taken if its newest version of all is paid)."""
+    ch = local("o.changed", p.tz) if local_time else "o.changed"
+    return f"""
+WITH versions AS (SELECT h.* FROM x_history_orders h WHERE {_history_where('h', p, local_time)}),
+of_events AS (SELECT arg_max(v, {_WHEN}) AS v FROM versions v SEMI JOIN x_events e ON e.id = v.event_id GROUP BY v.order_id),
+taken AS (SELECT order_id FROM versions GROUP BY order_id HAVING arg_max(status, {_WHEN}) = {R.ORDER_STATUS_PAID}),
+sales AS (
+  SELECT 1 AS branch, v.event_id, v.currency, v.payment_type, v.gross, v.mg_fee FROM of_events WHERE v.status = {R.ORDER_STATUS_PAID}
+  UNION ALL
+  SELECT 2, o.event, o.currency, o.payment_type, o.gross, o.mg_fee FROM x_orders o ANTI JOIN taken t ON t.order_id = o.id
+  WHERE o.status = {R.ORDER_STATUS_PAID} AND {ch} < {ts(p.history_split)} AND o.payment_type IN {in_list(R.NET_SALES_PAYMENT_TYPES)}
+    AND (o.id IS NOT NULL OR NOT EXISTS (FROM taken)) AND NOT EXISTS (FROM taken WHERE order_id IS NULL))"""
 
 
 def _s1(p: Period) -> str:
@@ -62,63 +76,30 @@ WHERE i.transaction_created >= {ts(p.itemized_from)} AND i.transaction_created <
 GROUP BY {key}, e.current_status, e.uid, u.account_type, coalesce(i.currency, k.currency), e.end_date"""
 
 
-def _s2(p: Period) -> str:
-    epp = ("-sum(CASE WHEN {a}.payment_type = '" + R.EPP_PAYMENT_TYPE
-           + "' THEN {a}.gross - {a}.mg_fee ELSE 0 END) AS epp_net_sales")
-    off = ("sum(CASE WHEN {a}.payment_type = '" + R.OFFLINE_PAYMENT_TYPE
-           + "' THEN {a}.mg_fee ELSE 0 END) AS offline_net_sales")
-    return f"""
-SELECT event_id, current_status, org_uid, account_type, currency, end_date,
-  round(sum(epp_net_sales), 2) AS epp_net_sales, round(sum(offline_net_sales), 2) AS offline_net_sales
-FROM (
-  SELECT b.event_id, b.current_status, b.uid AS org_uid, b.account_type, b.currency, b.end_date,
-    {epp.format(a='b')}, {off.format(a='b')}
-  FROM (
-    SELECT h.order_id, h.event_id, h.gross, h.mg_fee, h.payment_type, h.currency, h.status, e.uid,
-      u.account_type, e.end_date, e.current_status, {_rank('order_id', 'h')} AS rk
-    FROM x_history_orders h JOIN x_events e ON e.id = h.event_id LEFT JOIN x_users u ON u.id = e.uid
-    WHERE {_history_where('h', p, True)}
-  ) b
-  WHERE b.rk = 1 AND b.status = {R.ORDER_STATUS_PAID}
-  GROUP BY b.event_id, b.current_status, b.uid, b.account_type, b.currency, b.end_date
-  UNION
-  SELECT o.event AS event_id, e.current_status, e.uid AS org_uid, u.account_type, o.currency, e.end_date,
-    {epp.format(a='o')}, {off.format(a='o')}
-  FROM x_orders o JOIN x_events e ON e.id = o.event LEFT JOIN x_users u ON u.id = e.uid
-  WHERE o.status = {R.ORDER_STATUS_PAID} AND {local('o.changed', p.tz)} < {ts(p.history_split)}
-    AND o.payment_type IN {in_list(R.NET_SALES_PAYMENT_TYPES)}
-    AND o.id NOT IN ({_taken(p, True)})
-  GROUP BY o.event, e.current_status, e.uid, u.account_type, o.currency, e.end_date
-) both_sources
-WHERE epp_net_sales <> 0 OR offline_net_sales <> 0
-GROUP BY event_id, current_status, org_uid, account_type, currency, end_date"""
+def _s2(p: Period, dedupe: bool = True) -> str:
+    return f"""{_order_sales(p, True)},
+sums AS (  -- equal sums of both branches are one row
+  SELECT {"DISTINCT" if dedupe else ""} event_id, currency, epp, offline FROM (
+    SELECT branch, event_id, currency, -sum(CASE payment_type WHEN '{R.EPP_PAYMENT_TYPE}' THEN gross - mg_fee ELSE 0 END) AS epp,
+      sum(CASE payment_type WHEN '{R.OFFLINE_PAYMENT_TYPE}' THEN mg_fee ELSE 0 END) AS offline
+    FROM sales GROUP BY ALL))
+SELECT s.event_id, e.current_status, e.uid AS org_uid, u.account_type, s.currency, e.end_date,
+  round(sum(s.epp), 2) AS epp_net_sales, round(sum(s.offline), 2) AS offline_net_sales
+FROM sums s JOIN x_events e ON e.id = s.event_id LEFT JOIN x_users u ON u.id = e.uid
+WHERE NOT (s.epp = 0 AND s.offline = 0)
+GROUP BY ALL"""
 
 
 def _n1(p: Period) -> str:
-    net = ("sum(CASE WHEN {a}.payment_type = '" + R.EPP_PAYMENT_TYPE
-           + "' THEN {a}.gross - {a}.mg_fee ELSE -{a}.mg_fee END) AS net_sales")
-    return f"""
-SELECT event_id, current_status, org_uid, currency, sum(net_sales) AS net_sales
-FROM (
-  SELECT b.event_id, b.current_status, b.uid AS org_uid, b.currency, {net.format(a='b')}
-  FROM (
-    SELECT h.order_id, h.event_id, h.gross, h.mg_fee, h.payment_type, h.currency, h.status, e.uid,
-      e.current_status, {_rank('order_id', 'h')} AS rk
-    FROM x_history_orders h JOIN x_events e ON e.id = h.event_id
-    WHERE {_history_where('h', p, False)}
-  ) b
-  WHERE b.rk = 1 AND b.status = {R.ORDER_STATUS_PAID}
-  GROUP BY b.event_id, b.current_status, b.uid, b.currency
-  UNION
-  SELECT o.event AS event_id, e.current_status, e.uid AS org_uid, o.currency, {net.format(a='o')}
-  FROM x_orders o JOIN x_events e ON e.id = o.event
-  WHERE o.status = {R.ORDER_STATUS_PAID} AND o.changed < {ts(p.history_split)}
-    AND o.payment_type IN {in_list(R.NET_SALES_PAYMENT_TYPES)}
-    AND o.id NOT IN ({_taken(p, False)})
-  GROUP BY o.event, e.current_status, e.uid, o.currency
-) both_sources
-WHERE net_sales <> 0
-GROUP BY event_id, current_status, org_uid, currency"""
+    return f"""{_order_sales(p, False)},
+sums AS (
+  SELECT DISTINCT event_id, currency, net FROM (
+    SELECT branch, event_id, currency, sum(CASE payment_type WHEN '{R.EPP_PAYMENT_TYPE}' THEN gross ELSE 0 END - mg_fee) AS net
+    FROM sales GROUP BY ALL))
+SELECT s.event_id, e.current_status, e.uid AS org_uid, s.currency, sum(s.net) AS net_sales
+FROM sums s JOIN x_events e ON e.id = s.event_id
+WHERE s.net <> 0
+GROUP BY ALL"""
 
 
 _S3 = """
@@ -175,27 +156,29 @@ def _latam(p: Period) -> str:
     return (f"payout_type = 'ACH' AND ({per}) AND status NOT IN {in_list(R.LATAM_EXCLUDED_STATUSES)}")
 
 
-def _s6(p: Period) -> str:
-    cols = ", ".join(_PAYOUT_COLS)
-    current = ", ".join(
-        "id AS payout_id" if c == "payout_id" else "event AS event_id" if c == "event_id"
-        else "CAST(NULL AS INTEGER) AS status_old" if c == "status_old" else c for c in _PAYOUT_COLS)
+def _s6(p: Period, exclude_against: str = "log") -> str:
+    known = "SELECT payout_id FROM x_history_payouts" + (f" WHERE ({_matrix(p)}) OR ({_latam(p)})" if exclude_against == "filtered" else "")
+    newest = ", ".join(f"v.{c}" for c in _PAYOUT_COLS)
+    renamed = {"payout_id": "id AS payout_id", "event_id": "event AS event_id", "status_old": "CAST(NULL AS INTEGER) AS status_old"}
+    current = ", ".join(renamed.get(c, c) for c in _PAYOUT_COLS)
+    wired = f"SELECT payout_id FROM x_history_payouts WHERE status = {R.WIRE_STATUS}"
+
+    def outside(key: str, members: str) -> str:
+        return (f"NOT EXISTS (FROM ({members}) s(k) WHERE s.k = {key} OR s.k IS NULL)"
+                f" AND ({key} IS NOT NULL OR NOT EXISTS (FROM ({members})))")
+
     return f"""
-SELECT {cols}, 'history_payout' AS source
-FROM (SELECT *, {_rank('payout_id')} AS rk FROM x_history_payouts WHERE {_matrix(p)})
-WHERE rk = 1
-UNION
-SELECT {cols}, 'history_payout' AS source
-FROM (SELECT *, {_rank('payout_id')} AS rk FROM x_history_payouts
-      WHERE payout_id NOT IN (SELECT payout_id FROM x_history_payouts WHERE status = 8)
-        AND {_latam(p)}
-        AND payout_id NOT IN (SELECT payout_id FROM x_voids))
-WHERE rk = 1
-UNION
-SELECT {current}, 'payout' AS source
-FROM x_payouts
-WHERE created < {ts(p.payouts_created_before)}
-  AND id NOT IN (SELECT DISTINCT payout_id FROM x_history_payouts)"""
+WITH by_matrix AS (SELECT arg_max(h, {_WHEN}) AS v FROM x_history_payouts h WHERE {_matrix(p)} GROUP BY payout_id),
+by_currency AS (SELECT arg_max(h, {_WHEN}) AS v FROM x_history_payouts h WHERE {_latam(p)} GROUP BY payout_id),
+unseen AS (SELECT {current} FROM x_payouts o WHERE created < {ts(p.payouts_created_before)}
+           AND {outside('o.id', known)})
+SELECT DISTINCT *, 'history_payout' AS source FROM (
+  SELECT {newest} FROM by_matrix
+  UNION ALL
+  SELECT {newest} FROM by_currency
+  WHERE {outside('v.payout_id', wired)} AND {outside('v.payout_id', 'SELECT payout_id FROM x_voids')})
+UNION ALL
+SELECT DISTINCT *, 'payout' AS source FROM unseen"""
 
 
 def _payout_bucket_sql() -> list[tuple[str, int, str]]:
@@ -251,7 +234,8 @@ def _s8(p: Period) -> str:
             f" AND currency IN {in_list(R.CHARGE_CURRENCIES)}")
 
 
-def _s9(p: Period) -> str:
+def charge_conditions(p: Period) -> list[tuple[str, str]]:
+    """(bucket, which charges ``i`` count for it), the total last."""
     chg, crt = local("i.changed", p.tz), local("i.created", p.tz)
     t0, t1 = ts(p.charges_settled_from), ts(p.charges_settled_before)
     recent = f"(i.processed = 1 AND {chg} >= {t0} AND {chg} < {t1} AND i.payout_id IS NOT NULL)"
@@ -264,9 +248,13 @@ def _s9(p: Period) -> str:
     parts += [(f"{n}_not_applied", f"{c} AND i.processed = 0") for n, c in fam]
     parts += [(f"{n}_applied", f"{c} AND i.processed = 1") for n, c in fam]
     parts += [(n, f"i.charge_type IN {in_list(types)} AND {settled}") for n, types in R.CHARGE_CATEGORIES]
+    return parts + [("credits_charges_total", f"{recent} OR (i.charge_type IN {in_list(R.TOTAL_ALWAYS_TYPES)} AND {chg} < {t1}) OR {legacy}")]
+
+
+def _s9(p: Period) -> str:
+    *parts, (total, counted) = charge_conditions(p)
     sums = [f"sum(CASE WHEN {c} THEN i.amount END) AS {n}" for n, c in parts]
-    sums.append(f"sum(CASE WHEN {recent} OR (i.charge_type IN {in_list(R.TOTAL_ALWAYS_TYPES)} AND {chg} < {t1})"
-                f" OR {legacy} THEN i.amount ELSE 0 END) AS credits_charges_total")
+    sums.append(f"sum(CASE WHEN {counted} THEN i.amount ELSE 0 END) AS {total}")
     group = ", ".join(f"p.{c}" for c in R.PAYOUT_LEVEL_COLUMNS)
     return f"""
 SELECT p.*,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from settlebook.functions.timez import DAY, day_of, local_at_or_after, local_before
-from settlebook.operators import Bucket, KeySet, exists_flag, partial_bucket_sums, set_facts
+from settlebook.operators import Bucket, KeySet, exists_flag, latest_as_of, partial_bucket_sums, set_facts
 from settlebook.plans import rules as R
 from settlebook.plans.period import Period
 
@@ -22,6 +22,16 @@ def charge_snapshot(charges: DataFrame, period: Period) -> DataFrame:
     return kept.drop(*(c for c in kept.columns if c.endswith(DAY)))
 
 
+def charge_snapshot_from_log(history: DataFrame, period: Period, key: str = "invoice_charge_id") -> DataFrame:
+    """VAR4: the snapshot from the charges' change log instead of the current
+    table: per charge the newest version changed (local wall clock) before the
+    cutoff, in a supported currency; ``key`` becomes ``id``."""
+    day = day_of(history, "changed")
+    kept = latest_as_of(history, [key], ("changed", "log_position"), where=local_before("changed", period.charges_created_before, period.tz, day)
+                        & F.col("currency").isin(*R.CHARGE_CURRENCIES))
+    return kept.withColumnRenamed(key, "id").drop(*(c for c in kept.columns if c.endswith(DAY)))
+
+
 def charge_bucket_rules(period: Period) -> list[Bucket]:
     """The charge buckets, in output order (NULL when nothing qualifies,
     except the total). Expects the ``_settled`` column of :func:`with_settled`."""

@@ -136,9 +136,9 @@ def _is(pt: str) -> Column:
 _SALE = ("event_id", "currency", "gross", "mg_fee", "payment_type")
 
 
-def _log_and_current(history, orders, events, transfers, period, local, measures) -> DataFrame:
+def _log_and_current(history, orders, events, transfers, period, local, measures, dedupe) -> DataFrame:
     """Sums per branch, event and currency (UNION of the branches, so equal
-    rows once): what the log says of each order, and current paid orders that
+    rows once; both with ``dedupe=False``): what the log says of each order, and current paid orders that
     the log has not taken already.
 
     An order of the log is summed if its newest qualifying version among those
@@ -172,20 +172,22 @@ def _log_and_current(history, orders, events, transfers, period, local, measures
 
     per_order = per_order.withColumn("_anonymous", taken_without_id)
     sales = per_order.select(F.explode(F.concat(tagged("log", logged), tagged("current", fresh))).alias("x")).select("x.branch", "x.s.*")
-    return sales.groupBy("branch", "event_id", "currency").agg(*measures).drop("branch").distinct()
+    sums = sales.groupBy("branch", "event_id", "currency").agg(*measures).drop("branch")
+    return sums.distinct() if dedupe else sums
 
 
 def history_net_sales(history: DataFrame, orders: DataFrame, events: DataFrame, users: DataFrame,
-                      transfers: DataFrame, period: Period) -> DataFrame:
+                      transfers: DataFrame, period: Period, dedupe: bool = True) -> DataFrame:
     """OP2: net sales from the order change log (latest version per order,
     local wall-clock window, plus all transfer orders), unioned with current
     orders the log did not already account for; split into the processor's
-    (epp) and offline parts."""
+    (epp) and offline parts. With ``dedupe=False`` an event whose log and current
+    sums are equal counts both (the worksheet's UNION keeps one)."""
     measures = [
         (-F.sum(F.when(_is(R.EPP_PAYMENT_TYPE), F.col("gross") - F.col("mg_fee")).otherwise(0))).alias("epp_net_sales"),
         F.sum(F.when(_is(R.OFFLINE_PAYMENT_TYPE), F.col("mg_fee")).otherwise(0)).alias("offline_net_sales"),
     ]
-    both = _log_and_current(history, orders, events, transfers, period, True, measures)
+    both = _log_and_current(history, orders, events, transfers, period, True, measures, dedupe)
     # Attributes are functions of the event, so the distinct union, the
     # non-zero filter and the re-aggregation run on (event_id, currency); one
     # inner lookup at the end also drops current orders of unknown events.
@@ -197,12 +199,12 @@ def history_net_sales(history: DataFrame, orders: DataFrame, events: DataFrame,
         "epp_net_sales", "offline_net_sales")
 
 
-def combined_net_sales(history: DataFrame, orders: DataFrame, events: DataFrame, period: Period) -> DataFrame:
+def combined_net_sales(history: DataFrame, orders: DataFrame, events: DataFrame, period: Period, dedupe: bool = True) -> DataFrame:
     """OP3: one signed net-sales figure per (event, status, organiser,
     currency): raw timestamps, no users, no transfer exception."""
     measure = F.sum(F.when(_is(R.EPP_PAYMENT_TYPE), F.col("gross") - F.col("mg_fee"))
                      .otherwise(-F.col("mg_fee"))).alias("net_sales")
-    both = _log_and_current(history, orders, events, None, period, False, [measure]).where(F.col("net_sales") != 0)
+    both = _log_and_current(history, orders, events, None, period, False, [measure], dedupe).where(F.col("net_sales") != 0)
     both = both.groupBy("event_id", "currency").agg(F.sum("net_sales").alias("net_sales"))
     return _event_attributes(both, events, None, with_account=False).select(
         "event_id", "current_status", "org_uid", "currency", "net_sales")

@@ -67,10 +67,11 @@ def latam_rule(period: Period) -> Column:
 
 
 def payout_snapshot(history: DataFrame, current: DataFrame, manual_voids: DataFrame,
-                    period: Period) -> DataFrame:
+                    period: Period, exclude_against: str = "log") -> DataFrame:
     """OP7: one row per payout and source: the latest qualifying log version
     under each of the two rule families, plus current payouts the log never
-    saw.
+    saw (``exclude_against="log"``), or of which it holds no version that
+    qualifies for either family (``"filtered"``: VAR3).
 
     Plan: a single aggregate per ``payout_id`` (partial, so a hot payout is
     folded map-side) of the log rows that qualify for anything yields the newest version under the cutoff
@@ -105,8 +106,11 @@ def payout_snapshot(history: DataFrame, current: DataFrame, manual_voids: DataFr
         F.max(F.when(wired, 1).otherwise(0)).alias("_wired"))
 
     pid = F.col("payout_id")
+    if exclude_against not in ("log", "filtered"):
+        raise ValueError(f"exclude_against: {exclude_against!r}")
+    known = KeySet(history, "payout_id", cutoff_matrix(period) | latam_rule(period) if exclude_against == "filtered" else None)
     # Facts of the three NOT IN sets: one job, two of them in one pass over the log's ids.
-    facts = set_facts(wired=KeySet(history, "payout_id", wired), logged=KeySet(history, "payout_id"), voided=KeySet(manual_voids, "payout_id"))
+    facts = set_facts(wired=KeySet(history, "payout_id", wired), logged=known, voided=KeySet(manual_voids, "payout_id"))
 
     def outside(name: str, member: Column) -> Column:
         if facts[name].nulls:
@@ -127,7 +131,7 @@ def payout_snapshot(history: DataFrame, current: DataFrame, manual_voids: DataFr
         pid, *[F.col(f"_v.{c}").alias(c) for c in cols if c != "payout_id"], F.lit("history_payout").alias("source"))
 
     fresh = current.where(before("created", period.payouts_created_before, day_of(current, "created")))
-    fresh = not_in(fresh, "id", history.select("payout_id"), "payout_id", facts=facts["logged"])
+    fresh = not_in(fresh, "id", known.keys(), "payout_id", facts=facts["logged"])
     fresh = fresh.select(
         *[F.col("id").alias("payout_id") if c == "payout_id" else
           F.col("event").alias("event_id") if c == "event_id" else

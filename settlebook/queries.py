@@ -11,11 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from settlebook.functions.money import cents_to_units, decimals_to_double
-from settlebook.functions.timez import effective_before, effective_local, local_at_or_after, local_before, local_ts, ts_lit
-from settlebook.operators import duplicated_keys, exists_flag, full_merge, latest_as_of, not_in, union_distinct
+from settlebook.functions.timez import at_or_after, before, effective_before, effective_local, local_at_or_after, local_before, local_ts, ts_lit
+from settlebook.operators import (
+    KeySet, duplicated_keys, exists_flag, fold, full_merge, latest_as_of, merged, not_in, not_in_split, set_facts, unfolded, union_distinct,
+)
 from settlebook.plans import FIXTURE, close_period, combined_net_sales, multi_processor_events, payment_type_sets
 from settlebook.plans import rules as R
-from settlebook.plans.payouts import cutoff_matrix, latam_rule
+from settlebook.plans.charge_rules import charge_sums_by_rules, rules_table, sparse_charge_sums
+from settlebook.plans.charges import charge_buckets, charge_snapshot_from_log
+from settlebook.plans.net_sales import history_net_sales
+from settlebook.plans.payouts import cutoff_matrix, latam_rule, payout_snapshot
 from settlebook.sources import DriverTables, SettlementInputs, settlement_inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -341,7 +346,61 @@ def payout_level_duplicates(x, t):
     return pl.groupBy("event_id", "currency").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1)
 
 
+def not_in_bitmap(x, t):
+    """Current payouts that the log never saw, most of them told by a bitmap of the log's ids (JN18)."""
+    logged = KeySet(x.history_payouts, "payout_id")
+    facts = set_facts(logged=logged)["logged"]
+    return not_in_split(x.payouts, "id", x.history_payouts, "payout_id", facts).select("id", "event", "status")
+
+
+def latest_carried_on(x, t):
+    """The newest version per payout before a cutoff: an earlier close's state and the rows since (WIN3)."""
+    order, payload = NEWEST_FIRST, ("status", "amount", "currency")
+    h = x.history_payouts
+    earlier = fold(h.where(before("changed", "2024-01-15")), ["payout_id"], order, payload)
+    since = fold(h.where(at_or_after("changed", "2024-01-15") & before("changed", P.wire_before)), ["payout_id"], order, payload)
+    return unfolded(merged([earlier, since], ["payout_id"]), ["payout_id"])
+
+
+def charge_buckets_by_rules(x, t):
+    """OP10 with the charge types' buckets as a table of rules (AGG10)."""
+    close = _close(x)
+    rules = rules_table(x.invoice_charges.sparkSession)
+    sums = charge_sums_by_rules(close.charge_snapshot, rules, P)
+    return charge_buckets(close.payout_level, None, x.wire_in_events, P, sums=sums)
+
+
+def charge_rule_sums(x, t):
+    """The sparse sums per (event, currency, bucket)."""
+    return sparse_charge_sums(_close(x).charge_snapshot, rules_table(x.invoice_charges.sparkSession), P)
+
+
+def payout_snapshot_filtered(x, t):
+    """VAR3: current payouts are left out only if the log has a qualifying version of them."""
+    return payout_snapshot(x.history_payouts, x.payouts, x.manual_voids, P, exclude_against="filtered")
+
+
+def charge_log_snapshot(x, t):
+    """VAR4: charges as of the cutoff from a change log (the charges with their
+    versions: as created, and as changed)."""
+    return charge_snapshot_from_log(history_charges(x), P)
+
+
+def history_net_sales_all(x, t):
+    """OP2 where equal sums of log and current orders both count (A2's flag)."""
+    return history_net_sales(x.history_orders, x.orders, x.events, x.users, x.transfer_orders, P, dedupe=False)
+
+
+def history_charges(x) -> DataFrame:
+    """A change log of the charges: version 1 unprocessed when created, version 2 as it is."""
+    c = x.invoice_charges.withColumnRenamed("id", "invoice_charge_id")
+    first = c.withColumn("changed", F.col("created")).withColumn("processed", F.lit(0)).withColumn("log_position", F.lit(1).cast("bigint"))
+    return first.unionByName(c.withColumn("log_position", F.lit(2).cast("bigint")))
+
+
 _ALL = [
+    payout_snapshot_filtered, charge_log_snapshot, history_net_sales_all,
+    not_in_bitmap, latest_carried_on, charge_buckets_by_rules, charge_rule_sums,
     scan_project_rename, filter_half_open_range, filter_between_inclusive, filter_in_not_in_list,
     filter_code_null_logic, local_wall_clock, local_cutoff, effective_date, currency_cutoff_matrix,
     join_inner, join_left_computed_key, join_left_two_keys, join_full_outer_merge,
