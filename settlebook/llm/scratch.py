@@ -32,7 +32,7 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-def bounded_batches(spark: SparkSession, most: int = 16 << 20) -> None:
+def bounded_batches(spark: SparkSession, most: int = 4 << 20) -> None:
     """From now on the session's Arrow batches hold at most about ``most`` bytes
     (one row at least), unless it has a bound of its own: by default only rows
     are counted, and 10,000 long texts are hundreds of megabytes."""
