@@ -1,9 +1,11 @@
 """Exact deduplication by deterministic block naming (operator 6).
 
-A normalised text is cut into blocks of fixed size. All distinct blocks are
-sorted, and each gets an integer name; then adjacent names are paired, the
-distinct pairs are sorted and named, and so on, until every document is down to
-one name. Equal names on a level mean equal bytes, by induction, so level and
+A normalised text is cut into blocks of fixed size. The distinct blocks are
+dealt by hash (so that equal ones meet), sorted within each part, and named by
+part and place, an integer each; then adjacent names are paired, the distinct
+pairs are dealt, sorted and named likewise, and so on, until every document is
+down to one name. Which integer a block gets depends on the number of parts;
+which blocks share one does not. Equal names on a level mean equal bytes, by induction, so level and
 last name identify a text without collisions.
 
 Blocks travel once, to be sorted. Their names go back to the documents by a

@@ -117,6 +117,31 @@ def queries() -> dict:
                                     op11_spelling, op12_merkle, op13_mixing)}
 
 
+OP1_SQL = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                   '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                                          ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS g FROM t),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM t UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT r.doc_id, coalesce(n, 0) AS n_shingles, component_id, r.doc_id = component_id AS kept
+FROM (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) r LEFT JOIN n ON n.doc_id = r.doc_id
+"""
+
+OP7_SQL = r"""
+WITH t AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM t)),
+hits AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY md5(g)) AS first FROM windows) WHERE first < doc_id),
+gone AS (SELECT DISTINCT doc_id, i + k AS p FROM (SELECT doc_id, i, unnest(range(50)) AS k FROM hits)),
+words AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM t),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS x FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT t.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(x, '')) AS kept_sha256
+FROM t LEFT JOIN kept USING (doc_id)
+"""
+
 OP4_SQL = """
 WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
 m AS (SELECT payload_digest, max(page_id) AS original FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
@@ -246,4 +271,4 @@ FROM placed JOIN walk USING (s, size) JOIN goal USING (s) WHERE k > 0
 def oracle_sql() -> dict[str, str]:
     from settlebook.llm.quality import STOP_WORDS, verdict
     op5 = OP5_SQL.replace("STOP_WORDS", "|".join(STOP_WORDS)).replace("VERDICT", re.sub(r"(?<=[0-9])D\b", "", verdict()))
-    return {"op4_warc": OP4_SQL, "op5_quality": op5, "op6_exact": OP6_SQL, "op11_spelling": OP11_SQL, "op12_merkle": op12_sql(), "op13_mixing": OP13_SQL}
+    return {"op1_near": OP1_SQL, "op7_substring": OP7_SQL, "op4_warc": OP4_SQL, "op5_quality": op5, "op6_exact": OP6_SQL, "op11_spelling": OP11_SQL, "op12_merkle": op12_sql(), "op13_mixing": OP13_SQL}

@@ -92,16 +92,30 @@ def write(pages: DataFrame, scratch: Scratch, key: str = "page_id", url: str = "
         F.lit(CRLF), http, body)
     path = scratch.path(name)
     r.select(record.alias("value")).write.option("lineSep", CRLF + CRLF).option("compression", "gzip").text(path)
+    # the record that the others name, in a file of its own
+    about = f"software: settlebook{CRLF}format: WARC File Format 1.0{CRLF}"
+    info = (f"WARC/1.0{CRLF}WARC-Type: warcinfo{CRLF}WARC-Record-ID: <urn:uuid:{run}>{CRLF}WARC-Date: {date}{CRLF}"
+            f"Content-Type: application/warc-fields{CRLF}Content-Length: {len(about)}{CRLF}{CRLF}{about}")
+    pages.sparkSession.range(1).select(F.lit(info).alias("value")).write.mode("append").option("lineSep", CRLF + CRLF).option(
+        "compression", "gzip").text(path)
     return path, run
 
 
+def runs(scratch: Scratch, path: str) -> list[str]:
+    """Run ids of the archives in a folder, from their warcinfo records."""
+    raw = scratch.spark.read.option("lineSep", f"WARC/1.0{CRLF}WARC-Type: warcinfo{CRLF}").schema("value string").text(path)
+    found = raw.select(F.regexp_extract("value", r"\AWARC-Record-ID: <urn:uuid:([0-9a-f-]{36})>", 1).alias("run")).where("run <> ''")
+    return sorted(r["run"] for r in found.distinct().collect())
+
+
 def read(scratch: Scratch, path: str, run: str, key_type: str = "long") -> DataFrame:
     """The records of an archive that ``write`` made: page_id, record_type,
     target_uri, payload (binary, null for revisits), payload_bytes,
     payload_digest (of the payload as read; for revisits, as stated),
     stated_digest, refers_to.
     """
-    raw = scratch.spark.read.option("lineSep", _opening(run)).schema("value string").text(path).where("value <> ''")
+    raw = scratch.spark.read.option("lineSep", _opening(run)).schema("value string").text(path).where(
+        (F.col("value") != "") & ~F.startswith("value", F.lit("WARC/1.0")))  # not the warcinfo record
     split = F.instr("value", CRLF + CRLF)
     head = F.concat(F.lit(CRLF), F.substring(F.col("value"), F.lit(1), split + 1))
 
@@ -110,7 +124,7 @@ def read(scratch: Scratch, path: str, run: str, key_type: str = "long") -> DataF
 
     r = raw.select(head.alias("head"), F.col("value").cast("binary").alias("record"))
     r = r.withColumn("block", F.substring(F.col("record"), F.octet_length("head") + 1, field("Content-Length").cast("int")))
-    text = F.decode(F.substring(F.col("block"), F.lit(1), F.lit(300)), "ISO-8859-1")  # the HTTP header is ASCII
+    text = F.decode("block", "ISO-8859-1")  # a character per byte
     r = r.withColumn("http", F.substring_index(text, CRLF + CRLF, 1))
     response = field("WARC-Type") == "response"
     payload = F.when(response, F.substring(F.col("block"), F.length("http") + 5, F.octet_length("block")))

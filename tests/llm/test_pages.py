@@ -165,9 +165,10 @@ def test_archive_round_trip(spark, scratch):
 
 
 def test_archive_records_follow_the_format(spark, scratch):
-    path, _ = warc.write(frame(spark, [(1, "http://a/", "p" * 1500), (2, "http://b/", "p" * 1500)]), scratch)
+    path, run = warc.write(frame(spark, [(1, "http://a/", "p" * 1500), (2, "http://b/", "p" * 1500)]), scratch)
     raw = b"".join(__import__("gzip").decompress(bytes(r["content"])) for r in spark.read.format("binaryFile").load(path + "/*.gz").collect())
-    records = 0
+    records, info = 0, [b for b in raw.split(b"WARC/1.0") if b"Type: warcinfo" in b]
+    assert len(info) == 1 and warc.runs(scratch, path) == [run] and f"<urn:uuid:{run}>".encode() in info[0]
     while raw:
         head, _, rest = raw.partition(b"\r\n\r\n")
         lines = head.split(b"\r\n")
@@ -178,7 +179,7 @@ def test_archive_records_follow_the_format(spark, scratch):
         assert rest[n:n + 4] == b"\r\n\r\n"
         raw = rest[n + 4:]
         records += 1
-    assert records == 2
+    assert records == 3
 
 
 def test_archive_of_nothing(spark, scratch):
