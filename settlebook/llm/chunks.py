@@ -34,7 +34,7 @@ class ChunkEncoder:
     depend on it); longer ones, such as text without spaces, are encoded where
     they stand and forgotten with their text."""
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], most: int = 96 << 20, longest: int = 64):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], most: int = 128 << 20, longest: int = 64):
         self.encode, self.most, self.longest = encode, most, longest
         self.known: dict[str, bytes] = {}
         self.held = 0
@@ -64,4 +64,4 @@ class ChunkEncoder:
             self.held += sum(map(len, ids)) + sum(map(len, short)) + 250 * len(short)  # two objects and a place in the table
         passing = dict(zip(long, self.encode(long))) if long else {}
         for pieces in cut:
-            yield b"".join([known[p] if p in known else passing[p] for p in pieces])
+            yield b"".join([known[p] if p in known else passing[p] for p in pieces]) if long else b"".join(map(known.__getitem__, pieces))

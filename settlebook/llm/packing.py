@@ -22,6 +22,7 @@ buckets, so no task holds a whole length.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 from itertools import groupby
@@ -36,17 +37,56 @@ from settlebook.llm.chunks import ChunkEncoder
 from settlebook.llm.scratch import Scratch
 
 _ENCODERS: dict[str, ChunkEncoder] = {}
+# Fixed value: how the byte-level pre-tokenizer of the tokenizers library cuts texts.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def _byte_of() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for: printable
+    Latin-1 for itself, the others in order for the characters from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+def ranks_of(path: str) -> dict[bytes, int] | None:
+    """Ids by token bytes, if the file is plain byte-level BPE whose merges come in
+    the order of their ids: then merging by lowest id is merging by the file's
+    rules, and the faster of the two libraries gives the same ids. Else None."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    model, cut = spec["model"], spec.get("pre_tokenizer") or {}
+    if (model.get("type", "BPE") != "BPE" or spec.get("normalizer") or cut.get("type") != "ByteLevel" or cut.get("add_prefix_space")
+            or not cut.get("use_regex", True) or model.get("continuing_subword_prefix") or model.get("end_of_word_suffix") or model.get("dropout")):
+        return None
+    byte_of, vocab = _byte_of(), model["vocab"]
+    merged = [vocab.get("".join(m if isinstance(m, list) else m.split(" "))) for m in model["merges"]]
+    if None in merged or merged != sorted(merged):
+        return None
+    special = {t["content"] for t in spec.get("added_tokens", ())}
+    made = [t for t in vocab if t not in special]
+    if any(c not in byte_of for t in made for c in t) or len(made) != len(merged) + 256:
+        return None
+    return {bytes(byte_of[c] for c in t): vocab[t] for t in made}
 
 
 def _encoder(path: str) -> ChunkEncoder:
     if path not in _ENCODERS:
-        from tokenizers import Tokenizer
-        tok = Tokenizer.from_file(path)
-        tok.encode_special_tokens = True  # their strings in a text are ordinary text
-
-        def encode(pieces: list[str]) -> list[bytes]:
-            return [pack_ids("<%dI" % len(ids), *ids) for ids in
-                    (e.ids for e in tok.encode_batch_fast(pieces, add_special_tokens=False))]
+        ranks = ranks_of(path)
+        if ranks:
+            from tiktoken import Encoding
+            ids_of = Encoding(path, pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+            def encode(pieces: list[str]) -> list[bytes]:
+                return [pack_ids("<%dI" % len(ids), *ids) for ids in map(ids_of, pieces)]
+        else:
+            from tokenizers import Tokenizer
+            tok = Tokenizer.from_file(path)
+            tok.encode_special_tokens = True  # their strings in a text are ordinary text
+
+            def encode(pieces: list[str]) -> list[bytes]:
+                return [pack_ids("<%dI" % len(ids), *ids) for ids in
+                        (e.ids for e in tok.encode_batch_fast(pieces, add_special_tokens=False))]
 
         _ENCODERS[path] = ChunkEncoder(encode)
     return _ENCODERS[path]

@@ -178,3 +178,13 @@ def test_equal_rows_are_dealt_over_buckets(spark, scratch):
     packed = packing.pack(rows, scratch, buckets=20)
     assert packed.select("sequence_id", "offset").distinct().count() == 30_000
     assert packed.agg({"sequence_id": "max"}).first()[0] == -(-30_000 // 2048) - 1
+
+
+def test_both_libraries_give_the_same_ids_for_every_token_and_odd_text():
+    tok = Tokenizer.from_file(JSON)
+    tok.encode_special_tokens = True
+    enc = packing._encoder(JSON)
+    assert packing.ranks_of(JSON) and packing.ranks_of(P.path("word_bpe_49k.json")) is None
+    texts = odd_texts() + [tok.decode([i]) for i in range(50256)] + [" " + tok.decode([i]) + "x" for i in range(0, 50256, 7)] + ["<|endoftext|> a", "x" * 5000]
+    want = [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(b, "<u4").tolist() for b in enc(texts)] == want
