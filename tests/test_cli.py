@@ -1,10 +1,13 @@
 """The close CLI writes every stage (run as a separate process)."""
 
+import json
 import os
 import subprocess
 import sys
 import tempfile
 
+from settlebook.plans.closing import STAGES
+
 from conftest import SF_SMALL
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -17,6 +20,7 @@ def test_close_cli_writes_all_stages():
                        cwd=ROOT, capture_output=True, text=True, timeout=600)
     assert r.returncode == 0, r.stderr[-2000:]
     written = sorted(os.listdir(out))
-    assert written == sorted(["itemized", "history", "merged", "parented", "net_sales", "payout_snapshot",
-                              "payout_level", "charge_snapshot", "event_level", "balance"])
-    assert any(f.endswith(".parquet") for f in os.listdir(os.path.join(out, "balance")))
+    assert written == sorted(STAGES)
+    now = json.load(open(os.path.join(out, "balance", "_current.json")))
+    assert any(f.endswith(".parquet") for f in os.listdir(os.path.join(out, "balance", now["version"])))
+    assert len(now["run"]) == 64 and set(now["after"]) == set(STAGES) - {"balance"}
