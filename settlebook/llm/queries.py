@@ -6,6 +6,7 @@ parameters and returns the columns its contract names.
 
 from __future__ import annotations
 
+import functools
 import re
 
 import public_tokenizers
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from settlebook.llm.scratch import Scratch, table
+from settlebook.shipping import ship
 
 
 def op1_near(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,9 +114,18 @@ def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"), Scratch(spark, "op13")).drop("copies")
 
 
+def _shipped(query):
+    """The query, after the session's executors have been sent this package."""
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+    return run
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_near, op2_bpe, op3_html, op4_warc, op5_quality, op6_exact, op7_substring, op8_pii, op9_packing, op10_language,
-                                    op11_spelling, op12_merkle, op13_mixing)}
+    return {f.__name__: _shipped(f) for f in (op1_near, op2_bpe, op3_html, op4_warc, op5_quality, op6_exact, op7_substring, op8_pii, op9_packing,
+                                              op10_language, op11_spelling, op12_merkle, op13_mixing)}
 
 
 OP1_SQL = r"""
