@@ -26,7 +26,7 @@ def con():
 
 # Results that SQL cannot state (learned models, iterated linking, an external
 # tokenizer's ids); tests/llm holds each against brute force.
-WITHOUT_SQL = {"op1_near", "op2_bpe", "op3_html", "op8_pii", "op9_packing", "op10_language", "pipeline"}
+WITHOUT_SQL = {"op2_bpe", "op3_html", "op8_pii", "op9_packing", "op10_language", "pipeline"}
 
 
 def test_every_query_has_an_oracle():
