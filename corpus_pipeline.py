@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from settlebook.llm import exact, langid, near, packing, pii
 from settlebook.llm.scratch import Scratch, table
+from settlebook.operators.split import split_by_keys
 
 KEY = "_settlebook_key"  # a name that no input column has
 LEAST_SCORE = 0.3  # a text scored lower is in none of the learned languages
@@ -34,10 +35,18 @@ def _ordered(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", _digest().alias("digest")).alias("key"), "text")
 
 
-def _kept(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that a dedup operator kept, once each."""
-    digests = found.where("kept").select(F.col("key.digest").alias(KEY)).distinct()
-    return docs.withColumn(KEY, _digest()).join(digests, KEY, "left_semi").dropDuplicates([KEY]).drop(KEY)
+def _kept(docs: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
+    """The rows of ``docs`` that a dedup operator kept, once each.
+
+    Only digests that it dropped or that rows repeat need a shuffle; rows of
+    others stay where they are. A bitmap tells them apart.
+    """
+    seen = found.groupBy(F.col("key.digest").alias("digest")).agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("kept"))
+    marked = scratch.save(seen.where("n > 1 OR NOT kept").select("digest", "kept"), "marked")
+    scratch.keep_only("marked")
+    plain, others = split_by_keys(docs.withColumn(KEY, _digest()), KEY, marked, "digest")
+    dropped = marked.where("NOT kept").select(F.col("digest").alias(KEY))
+    return plain.unionByName(others.join(dropped, KEY, "left_anti").dropDuplicates([KEY])).drop(KEY)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,12 +56,14 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each normalised text, that with the smallest id."""
-    return _kept(docs, exact.dedup(_ordered(docs), Scratch(spark, "pipeline-exact"), key="key"))
+    scratch = Scratch(spark, "pipeline-exact")
+    return _kept(docs, exact.dedup(_ordered(docs), scratch, key="key"), scratch)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each component of near duplicates (0.8 of five-word shingles), that with the smallest id."""
-    return _kept(docs, near.link(_ordered(docs), Scratch(spark, "pipeline-near"), key="key", size=5))
+    scratch = Scratch(spark, "pipeline-near")
+    return _kept(docs, near.link(_ordered(docs), scratch, key="key", size=5), scratch)
 
 
 def redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from settlebook.llm.components import components
 from settlebook.llm.scratch import Scratch
 from settlebook.llm.words import shingles
+from settlebook.operators.split import split_by_keys
 
 HASHES, TREES, DEPTH, REGION = 120, 20, 4, 32
 STEP = HASHES // TREES
@@ -192,12 +193,16 @@ def link(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "te
     rows = trees.select("tree", "cid", F.substring(order, 1, 4 * SORTED).alias("order"))
     rows = rows.withColumn("region", F.xxhash64("tree", F.substring("order", 1, 4 * DEPTH)))
     regions = scratch.save(rows.groupBy("region").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("region"), "regions")
+    # most rows, signatures and texts are of no shared region: a bitmap keeps them out of the shuffles
+    rows = split_by_keys(rows, "region", regions, "region")[1]
     rows = scratch.save(rows.join(regions, "region", "left_semi"), "rows")
-    # texts of the classes that may be linked
-    wanted = rows.select("cid").distinct().join(classes.select("cid", "key", "th"), "cid")
-    wanted = wanted.select("cid", F.col("key").alias("_key"), F.col("th").alias("_th"))
+    # the classes that may be linked, and their texts
+    cids = scratch.save(rows.select("cid").distinct(), "cids")
+    shared = split_by_keys(classes.select("cid", "key", "th", "sig"), "cid", cids, "cid")[1]
+    shared = scratch.save(shared.join(cids, "cid"), "classes_shared")
+    wanted = shared.select("cid", F.col("key").alias("_key"), F.col("th").alias("_th"))
     source = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("th"), F.col(text).alias("t"))
-    texts = source.join(wanted, (F.col("th") == F.col("_th")) & F.col("key").eqNullSafe(F.col("_key"))).select("cid", "t")
+    texts = split_by_keys(source, "th", wanted, "_th")[1].join(wanted, (F.col("th") == F.col("_th")) & F.col("key").eqNullSafe(F.col("_key"))).select("cid", "t")
     texts = scratch.save(texts.dropDuplicates(["cid"]), "texts")
     # 1. the nearest neighbour of every class
     near = scratch.save(_neighbours(rows), "near")
@@ -228,7 +233,7 @@ def link(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "te
         many = mixed.where(f"n > {REGION}").select("region")
         if last or many.isEmpty():
             break
-        live = live.join(many, "region", "left_semi").join(classes.select("cid", "sig"), "cid")
+        live = live.join(many, "region", "left_semi").join(shared.select("cid", "sig"), "cid")
         live = live.select("tree", "cid", F.xxhash64("tree", F.substring(order, F.lit(1), F.lit(4 * DEPTHS[k + 1]))).alias("region"), "root")
     tested = best.select("a", "b")
     more = scratch.save(_confirm(found.distinct().join(tested, ["a", "b"], "left_anti"), texts, size, percent), "links1")

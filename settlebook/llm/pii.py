@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from settlebook.llm import boosting
 from settlebook.llm.scratch import Scratch
+from settlebook.operators.split import split_by_keys
 
 # Base kinds in their order, and their patterns (possessive forms of the contract's).
 BASE = {
@@ -277,7 +278,9 @@ def redact(docs: DataFrame, scratch: Scratch, text: str = "text") -> DataFrame:
     texts = docs.select(F.md5(text).alias(digest), F.col(text).alias("t"))
     spans = find(texts, digest, "t").where(F.size("spans") > 0).select(F.col(digest).alias(mine), F.col("spans").alias(found))
     spans = scratch.save(spans.dropDuplicates([mine]), "spans")
-    joined = docs.join(spans, F.md5(text) == F.col(mine), "left")
+    # most texts have no spans: their rows stay where they are
+    clean, others = split_by_keys(docs.withColumn(digest, F.md5(text)), digest, spans, mine)
+    joined = others.join(spans, F.col(digest) == F.col(mine), "left")
     names = F.array(*map(F.lit, KINDS))
     by_place = F.array_sort(F.transform(found, lambda s: F.struct(s.start, s.end, s.kind)))
     # every span brings the text between it and the furthest end so far
@@ -288,4 +291,4 @@ def redact(docs: DataFrame, scratch: Scratch, text: str = "text") -> DataFrame:
                                                    F.lit("["), F.upper(F.get(names, s["kind"])), F.lit("]"))).otherwise(F.lit("")))).alias("out")),
         lambda a: F.concat(F.array_join(a["out"], ""), F.substring(F.col(text), (a["at"] + 1).cast("int"), F.length(text))))
     redacted = F.when(F.col(found).isNull(), F.col(text)).otherwise(parts)
-    return joined.withColumn(text, redacted).drop(found, mine)
+    return clean.drop(digest).unionByName(joined.withColumn(text, redacted).drop(digest, found, mine))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from settlebook.operators.anti import Facts, not_in
 
-_WORD, _BIT, _MASK, _SET = "_word", "_bit", "_mask", "_member"
+_WORD, _BIT, _MASK, _SET = "_settlebook_word", "_settlebook_bit", "_settlebook_mask", "_settlebook_member"  # names that no input column has
 WORD = 64
 
 
@@ -54,6 +54,14 @@ def split_by_bitmap(df: DataFrame, key: str, keyset: DataFrame, key_col: str, bi
     return probed.where(~hit).drop(*extra), probed.where(hit).drop(*extra)
 
 
+def split_by_keys(df: DataFrame, key: str, keyset: DataFrame, key_col: str, most_bits: int = 1 << 24) -> tuple[DataFrame, DataFrame]:
+    """:func:`split_by_bitmap` with as many bits as the set's rows ask for; where
+    a bitmap would not pay, all rows are among the others. ``keyset`` should be
+    a written table: it is read to be counted and to set the bits."""
+    bits = bits_for(keyset.count(), most_bits)
+    return split_by_bitmap(df, key, keyset, key_col, bits) if bits else (df.where(F.lit(False)), df)
+
+
 def not_in_split(df: DataFrame, key: str, keyset: DataFrame, key_col: str, facts: Facts, most_bits: int = 1 << 27) -> DataFrame:
     """:func:`~settlebook.operators.not_in` by way of a bitmap; the same rows.
     ``facts`` are the set's (``set_facts``): rows may repeat keys."""
